@@ -76,6 +76,36 @@ def ranked_within(
     return counts.withColumn(rank_name, F.dense_rank().over(w)).where(F.col(rank_name) <= k)
 
 
+def within_top_groups(
+    df: DataFrame,
+    group: str | Sequence[str],
+    key: str,
+    weight: str,
+    k: int,
+) -> DataFrame:
+    """Rows of ``df`` whose ``key`` is one of the ``k`` heaviest keys of its group.
+
+    A key's weight is the sum of ``weight`` over its rows; keys are ranked by
+    weight descending, then key ascending with NULLs last, and the first
+    ``k`` kept. A NULL key takes a rank but is never kept, as with an
+    equality filter on the chosen keys.
+
+    This is the semi join "rows whose key is in the group's top k" done with
+    two windows over ``df``: when ``df`` is a grouped count, the raw rows are
+    scanned once and both windows run on the counts (a join to a derived
+    key list would instead be pushed below the aggregate into a second scan).
+    """
+    g = _cols(group)
+    total = F.sum(weight).over(Window.partitionBy(*g, key))
+    order = Window.partitionBy(*g).orderBy(F.col("_key_total").desc_nulls_last(), F.col(key).asc_nulls_last())
+    return (
+        df.withColumn("_key_total", total)
+        .withColumn("_key_rank", F.dense_rank().over(order))
+        .where((F.col("_key_rank") <= k) & F.col(key).isNotNull())
+        .drop("_key_total", "_key_rank")
+    )
+
+
 def histogram(
     df: DataFrame,
     col: str,

@@ -32,8 +32,23 @@ def semi_join_keys(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFra
 
     ``keys`` must be a bounded key list such as a per-year top-k; it is
     broadcast on that bound. NULL keys never match.
+
+    Catalyst pushes a semi join below an aggregate on the same keys, which
+    would rescan the raw rows when ``df`` is a grouped count. Use
+    ``restrict_to_keys`` for that case.
+    """
+    return df.join(F.broadcast(keys.select(*on)), list(on), "left_semi")
+
+
+def restrict_to_keys(counts: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Semi join of an aggregated frame to a bounded key list, kept above the aggregate.
+
+    Written as an inner join on the distinct keys (same rows as a semi join:
+    each row matches at most one key), so the optimizer leaves it where it
+    is: on the small grouped counts, after the one scan of the raw rows,
+    instead of pushing it below the aggregate into a second scan.
     """
-    return df.join(F.broadcast(keys.select(*on).distinct()), list(on), "left_semi")
+    return counts.join(F.broadcast(keys.select(*on).distinct()), list(on), "inner")
 
 
 def fine_table(spark: SparkSession, fines: Mapping[int, int]) -> DataFrame:

@@ -8,10 +8,10 @@ keys are computed: per-year top-k keys feed a broadcast semi join.
 Inputs: ``tickets`` is the master table (all files bound); ``clean`` is
 ``keep_issue_year(tickets)``. Functions that need the clean table take it.
 
-Most questions that chain two steps (top keys, then a breakdown) first count
-the clean rows once per fine-grained key and derive both steps from those
-counts; Spark reuses that one aggregate exchange, so the citation table is
-scanned once per question.
+Questions that chain two steps (top keys, then a breakdown) first count the
+clean rows once per fine-grained key and derive both steps from those counts
+with windows, so the citation table is scanned once per question and only
+partial counts cross the shuffle.
 """
 
 from __future__ import annotations
@@ -22,9 +22,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import season, time_bin
-from ..operators.agg import counts_by, histogram, ranked_within, top_k_per
+from ..operators.agg import counts_by, histogram, ranked_within, top_k_per, within_top_groups
 from ..operators.clean import issued_in_file_year, without_state
-from ..operators.joins import attach_fines, fine_table, semi_join_keys
+from ..operators.joins import attach_fines, fine_table
 from ..schema import YEAR_COL
 
 Y = YEAR_COL
@@ -96,15 +96,13 @@ def codes_in_top_precincts(clean: DataFrame, n_precincts: int = 3, k: int = 10)
     ``n_precincts`` busiest issuer precincts: ``file_year, issuer_precinct, violation_code, n, rk``.
 
     One scan: rows are counted per (year, precinct, code); the precinct
-    ranking and the pair ranking both come from those counts.
+    ranking and the pair ranking are windows over those counts.
     """
     pairs = clean.groupBy(Y, "issuer_precinct", "violation_code").agg(
         F.count("violation_code").alias("n"),
         F.count("issuer_precinct").alias("n_precinct_rows"),
     )
-    per_precinct = pairs.groupBy(Y, "issuer_precinct").agg(F.sum("n_precinct_rows").alias("n"))
-    top_precincts = top_k_per(per_precinct, Y, "n", n_precincts, "issuer_precinct")
-    in_top = semi_join_keys(pairs, top_precincts, [Y, "issuer_precinct"])
+    in_top = within_top_groups(pairs, Y, "issuer_precinct", "n_precinct_rows", n_precincts)
     return top_k_per(
         in_top.select(Y, "issuer_precinct", "violation_code", "n"),
         Y,
@@ -144,17 +142,15 @@ def time_bins_of_top_codes(clean: DataFrame, k: int = 3) -> DataFrame:
     together: ``file_year, time_bin, n``. Rows without a bin form the ``''`` group.
 
     One scan: count per (year, code, bin); the top codes are the largest
-    per-code sums of those counts.
+    per-code sums of those counts (a window), so no second pass picks them.
     """
     by_code_bin = (
         clean.select(Y, "violation_code", time_bin("violation_time", otherwise="").alias("time_bin"))
         .groupBy(Y, "violation_code", "time_bin")
         .agg(F.count("violation_code").alias("n"))
     )
-    per_code = by_code_bin.groupBy(Y, "violation_code").agg(F.sum("n").alias("n"))
-    top_codes = top_k_per(per_code, Y, "n", k, "violation_code")
     return (
-        semi_join_keys(by_code_bin, top_codes, [Y, "violation_code"])
+        within_top_groups(by_code_bin, Y, "violation_code", "n", k)
         .groupBy(Y, "time_bin")
         .agg(F.sum("n").cast("bigint").alias("n"))
         .orderBy(Y, F.desc("n"))
