@@ -9,9 +9,9 @@ Scale notes
   ``rk <= k`` filter sits right above the window so Catalyst plans a partial
   ``WindowGroupLimit`` before the exchange and a final one after it: at most
   k rows (plus ties for dense rank) per group leave each map task.
-* Histograms never collect to the driver. Min and max per year are one row
-  per year; bins are counted with Spark aggregates and empty bins are filled
-  from a generated ``sequence`` (no cross join).
+* Histograms never collect to the driver. Bins are counted with Spark
+  aggregates; empty bins are filled from a per-year map of at most ``nbins``
+  entries and a generated ``sequence`` (no join, no cross join).
 """
 
 from __future__ import annotations
@@ -121,25 +121,31 @@ def histogram(
     is in bin 0. NULLs are left out. All ``nbins`` bins are returned, empty
     ones with ``n = 0``. ``centroid = min + (bin + 0.5) * (max - min) / nbins``.
 
-    ``discrete=True`` suits codes and precincts (few distinct values): rows
-    are first counted per (by, value) in one scan, and min/max and bins are
-    then computed on those counts. ``discrete=False`` suits continuous
-    columns: a first pass finds min/max, a second bins the raw rows, so the
-    shuffle carries at most ``nbins`` rows per group and task.
+    ``discrete=True`` suits codes and precincts (few distinct values): one
+    scan counts rows per (by, value); min and max are windows over those
+    counts (one partition holds the distinct values of one ``by`` group), and
+    the counts are binned. ``discrete=False`` suits continuous columns: a
+    first scan finds min and max per group (one row per group, broadcast), a
+    second bins the raw rows; only partial bin counts cross the shuffle.
 
-    ``by`` must be low-cardinality (one row per year): its min/max table is
-    broadcast on that bound.
+    Empty bins are filled per group from a map of at most ``nbins`` entries
+    and ``explode(sequence(0, nbins - 1))``: no join, no cross join.
     """
     if nbins < 1:
         raise ValueError("nbins must be at least 1")
-    x = F.col(col)
-    present = df.select(by, x.alias("_x")).where(F.col("_x").isNotNull())
+    present = df.select(by, F.col(col).alias("_x")).where(F.col("_x").isNotNull())
     if discrete:
-        weighted = present.groupBy(by, "_x").agg(F.count(F.lit(1)).alias("_w"))
+        per_group = Window.partitionBy(by)
+        weighted = (
+            present.groupBy(by, "_x")
+            .agg(F.count(F.lit(1)).alias("_w"))
+            .withColumn("_lo", F.min("_x").over(per_group))
+            .withColumn("_hi", F.max("_x").over(per_group))
+        )
     else:
-        weighted = present.withColumn("_w", F.lit(1).cast("bigint"))
-
-    stats = weighted.groupBy(by).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+        stats = present.groupBy(by).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+        # one row per group: broadcast on that bound
+        weighted = present.withColumn("_w", F.lit(1).cast("bigint")).join(F.broadcast(stats), by)
 
     span = F.col("_hi") - F.col("_lo")
     integral = dict(df.dtypes)[col] in ("tinyint", "smallint", "int", "bigint")
@@ -155,25 +161,27 @@ def histogram(
     bin_expr = F.coalesce(F.greatest(raw - 1, F.lit(0)), F.lit(0)).cast("int")
 
     binned = (
-        weighted.join(F.broadcast(stats), by)
-        .select(by, "_w", *parts)
-        .select(by, bin_expr.alias("bin"), "_w")
-        .groupBy(by, "bin")
+        weighted.select(by, "_lo", "_hi", "_w", *parts)
+        .select(by, "_lo", "_hi", bin_expr.alias("bin"), "_w")
+        .groupBy(by, "_lo", "_hi", "bin")
         .agg(F.sum("_w").cast("bigint").alias("n"))
     )
+    # At most nbins entries per group.
+    per_group_bins = binned.groupBy(by, "_lo", "_hi").agg(
+        F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("_bins")
+    )
     # centroid = lo + (2*bin + 1) * span / (2*nbins); one division keeps it
     # correctly rounded.
     centroid = (
         F.col("_lo").cast("double") * F.lit(2 * nbins) + (F.col("bin") * 2 + 1).cast("double") * span.cast("double")
     ) / F.lit(float(2 * nbins))
-    grid = stats.select(by, "_lo", "_hi", F.explode(F.sequence(F.lit(0), F.lit(nbins - 1))).alias("bin"))
     return (
-        grid.join(binned, [by, "bin"], "left")
+        per_group_bins.select(by, "_lo", "_hi", "_bins", F.explode(F.sequence(F.lit(0), F.lit(nbins - 1))).alias("bin"))
         .select(
             by,
             F.col("bin").cast("int").alias("bin"),
             centroid.alias("centroid"),
-            F.coalesce(F.col("n"), F.lit(0).cast("bigint")).alias("n"),
+            F.coalesce(F.try_element_at("_bins", F.col("bin")), F.lit(0).cast("bigint")).alias("n"),
         )
         .orderBy(by, "bin")
     )
