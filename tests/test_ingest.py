@@ -110,3 +110,14 @@ def test_register_views_and_sql(spark, files):
     register_views({"tickets_2015": read_year_csv(spark, files[2015], 2015)})
     n = spark.sql("SELECT count(*) AS n FROM tickets_2015 WHERE violation_code IS NOT NULL").collect()[0]["n"]
     assert n == 2
+
+
+def test_store_years_once_and_clean_by_partition(spark, files):
+    from ticketlens.sources.csv import store_years
+
+    everything, clean = store_years(spark, files)
+    assert everything.count() == 6
+    assert sorted(r["summons_number"] for r in clean.collect()) == [1, 3, 4, 5, 6]
+    again, _ = store_years(spark, files)
+    assert again.inputFiles() == everything.inputFiles()  # written once, same files
+    assert tuple(everything.columns) == TICKET_COLUMNS

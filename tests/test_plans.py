@@ -40,3 +40,11 @@ def test_fixture_scan_pushdown_and_big_join(spark, sf_dir):
         "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_suppkey:bigint,l_linenumber:int,l_shipdate"
         in formatted
     )
+
+
+def test_clean_questions_prune_partitions(spark, sf_dir):
+    formatted = spark._jvm.PythonSQLUtils.explainString(
+        E.queries()["top5_codes"](spark, sf_dir)._jdf.queryExecution(), "formatted"
+    )
+    assert "PartitionFilters: [isnotnull(in_file_year" in formatted
+    assert "ReadSchema: struct<violation_code:int>" in formatted

@@ -3,8 +3,9 @@
 Each query reads the driver tables in ``sf_dir`` whole: the citation table is
 derived from them by Spark (``sources.fixture``) and written once per
 application as partitioned parquet in the shared checkpoint folder
-(``sources.store``); the query applies the year filter where the question
-asks for clean rows and returns the lazy result. Nothing is collected here.
+(``sources.store``), partitioned by year and by the year-filter flag; a
+question on clean rows reads only the clean partitions. Each returns the
+lazy result. Nothing is collected here.
 """
 
 from __future__ import annotations
@@ -13,8 +14,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.clean import invalid_states, issue_years, keep_issue_year, missing_address, null_profile
-from ..sources.fixture import FIXTURE_FINES, stored_tickets
+from ..operators.clean import invalid_states, issue_years, missing_address, null_profile
+from ..sources.fixture import FIXTURE_FINES, stored_clean, stored_tickets
 from . import analyses as A
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,7 +26,7 @@ def _on_tickets(fn: Callable[[DataFrame], DataFrame]) -> Query:
 
 
 def _on_clean(fn: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: fn(keep_issue_year(stored_tickets(spark, sf_dir)))
+    return lambda spark, sf_dir: fn(stored_clean(spark, sf_dir))
 
 
 # Top-5 questions: query name -> counted key.

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import EXTRA_COLUMNS, TICKET_FIELDS, USED_COLUMNS, YEAR_COL, build_name
+from .store import stored_citations
 
 
 def _quote(name: str) -> str:
@@ -102,6 +103,14 @@ def read_years(
     )
 
 
+def store_years(
+    spark: SparkSession, paths: Mapping[int, str], columns: str = "used", infer_schema: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Ingest yearly files once into the shared folder: ``(all rows, clean rows)``."""
+    key = "csv:" + ",".join(f"{y}={p}" for y, p in sorted(paths.items()))
+    return stored_citations(spark, key, lambda: read_years(spark, paths, columns, infer_schema))
+
+
 def schema_drift(frames: Mapping[int, DataFrame]) -> DataFrame:
     """Columns not present in every frame: ``column_name, n_files``.
 

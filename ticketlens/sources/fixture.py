@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import TICKET_COLUMNS, YEAR_COL
-from .store import stored
+from .store import stored_citations
 
 # --- Fixed values -----------------------------------------------------------
 # The three order years that play the three fiscal-year files.
@@ -38,7 +38,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def stored_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``tickets(spark, sf_dir)`` written once per application, then scanned."""
-    return stored(spark, f"tickets:{sf_dir.rstrip('/')}", lambda: tickets(spark, sf_dir))
+    return stored_citations(spark, f"tickets:{sf_dir.rstrip('/')}", lambda: tickets(spark, sf_dir))[0]
+
+
+def stored_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean rows of the stored table (``keep_issue_year``), by partition pruning."""
+    return stored_citations(spark, f"tickets:{sf_dir.rstrip('/')}", lambda: tickets(spark, sf_dir))[1]
 
 
 def tickets(spark: SparkSession, sf_dir: str, years: tuple[int, ...] = FIXTURE_YEARS) -> DataFrame:

@@ -10,7 +10,9 @@ re-run of the join.
 
 Files land under ``<checkpoint dir>/ticketlens/<name>-<uuid>``; each task
 writes its own rows to the year folders it meets (no repartition by year,
-which would put a whole year into one task).
+which would put a whole year into one task). ``stored_citations`` adds a
+second partition level for the year filter, so "clean rows" is partition
+pruning.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..schema import YEAR_COL
 from ..session import CHECKPOINT_KEY
@@ -65,13 +68,38 @@ def stored(
             safe = re.sub(r"[^0-9A-Za-z_.-]+", "_", name).strip("_")[-80:]
             path = f"{ensure_shared_dir(spark)}/ticketlens/{safe}-{uuid.uuid4().hex[:12]}"
             built = build()
-            order = built.columns
             built.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
-            scan = spark.read.parquet(path).select(*order)
+            # Read back with the built schema: partition columns keep their
+            # types (a boolean folder value would otherwise be inferred as
+            # text) and no footer-reading job is needed to plan the scan.
+            scan = spark.read.schema(built.schema).parquet(path).select(*built.columns)
             _STORED[key] = scan
     return scan
 
 
+IN_YEAR_COL = "in_file_year"
+
+
+def stored_citations(
+    spark: SparkSession, name: str, build: Callable[[], DataFrame]
+) -> tuple[DataFrame, DataFrame]:
+    """Store a citation table once; return ``(all rows, clean rows)``.
+
+    The table is partitioned by ``file_year`` and by ``in_file_year``, the
+    year-filter predicate evaluated once at ingest. The clean view is then a
+    partition filter: its scans open only the folders of kept rows.
+    """
+    from ..operators.clean import issued_in_file_year
+
+    def with_flag() -> DataFrame:
+        df = build()
+        return df.withColumn(IN_YEAR_COL, F.coalesce(issued_in_file_year(), F.lit(False)))
+
+    scan = stored(spark, name, with_flag, partition_by=(YEAR_COL, IN_YEAR_COL))
+    cols = [c for c in scan.columns if c != IN_YEAR_COL]
+    return scan.select(*cols), scan.where(F.col(IN_YEAR_COL)).select(*cols)
+
+
 def forget(spark: SparkSession) -> None:
     """Drop this application's stored-table handles (files stay in the shared folder)."""
     app = spark.sparkContext.applicationId
