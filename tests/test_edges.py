@@ -188,3 +188,21 @@ def test_empty_input(spark):
     assert A.revenue_top3(df, {1: 5}).count() == 0
     assert histogram(df, "violation_code").count() == 0
     assert null_profile(df).count() == 0
+
+
+def test_histograms_in_one_scan_equal_single_ones(spark, sf_dir):
+    from ticketlens.operators.agg import histograms
+    from ticketlens.sources.fixture import stored_clean
+    from ticketlens.sources.store import persisted
+
+    clean = stored_clean(spark, sf_dir)
+    cols = ["violation_code", "violation_precinct", "issuer_precinct"]
+    together = histograms(clean, cols)
+    plan = together._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    got = {(r["column_name"], r["file_year"], r["bin"]): (r["centroid"], r["n"]) for r in together.collect()}
+    with persisted(clean.select("file_year", *cols)) as narrow:
+        for c in cols:
+            for r in histogram(narrow, c).collect():
+                assert got[(c, r["file_year"], r["bin"])] == (r["centroid"], r["n"])
+    assert len(got) == 3 * 3 * 12
+    assert plan.count("Scan parquet") <= 1

@@ -110,7 +110,7 @@ def histogram(
     df: DataFrame,
     col: str,
     nbins: int = 12,
-    by: str = YEAR_COL,
+    by: str | Sequence[str] = YEAR_COL,
     discrete: bool = True,
 ) -> DataFrame:
     """Equi-width histogram of ``col`` per ``by``: ``[by, bin, centroid, n]``.
@@ -133,17 +133,18 @@ def histogram(
     """
     if nbins < 1:
         raise ValueError("nbins must be at least 1")
-    present = df.select(by, F.col(col).alias("_x")).where(F.col("_x").isNotNull())
+    by = _cols(by)
+    present = df.select(*by, F.col(col).alias("_x")).where(F.col("_x").isNotNull())
     if discrete:
-        per_group = Window.partitionBy(by)
+        per_group = Window.partitionBy(*by)
         weighted = (
-            present.groupBy(by, "_x")
+            present.groupBy(*by, "_x")
             .agg(F.count(F.lit(1)).alias("_w"))
             .withColumn("_lo", F.min("_x").over(per_group))
             .withColumn("_hi", F.max("_x").over(per_group))
         )
     else:
-        stats = present.groupBy(by).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+        stats = present.groupBy(*by).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
         # one row per group: broadcast on that bound
         weighted = present.withColumn("_w", F.lit(1).cast("bigint")).join(F.broadcast(stats), by)
 
@@ -161,13 +162,13 @@ def histogram(
     bin_expr = F.coalesce(F.greatest(raw - 1, F.lit(0)), F.lit(0)).cast("int")
 
     binned = (
-        weighted.select(by, "_lo", "_hi", "_w", *parts)
-        .select(by, "_lo", "_hi", bin_expr.alias("bin"), "_w")
-        .groupBy(by, "_lo", "_hi", "bin")
+        weighted.select(*by, "_lo", "_hi", "_w", *parts)
+        .select(*by, "_lo", "_hi", bin_expr.alias("bin"), "_w")
+        .groupBy(*by, "_lo", "_hi", "bin")
         .agg(F.sum("_w").cast("bigint").alias("n"))
     )
     # At most nbins entries per group.
-    per_group_bins = binned.groupBy(by, "_lo", "_hi").agg(
+    per_group_bins = binned.groupBy(*by, "_lo", "_hi").agg(
         F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("_bins")
     )
     # centroid = lo + (2*bin + 1) * span / (2*nbins); one division keeps it
@@ -176,12 +177,30 @@ def histogram(
         F.col("_lo").cast("double") * F.lit(2 * nbins) + (F.col("bin") * 2 + 1).cast("double") * span.cast("double")
     ) / F.lit(float(2 * nbins))
     return (
-        per_group_bins.select(by, "_lo", "_hi", "_bins", F.explode(F.sequence(F.lit(0), F.lit(nbins - 1))).alias("bin"))
+        per_group_bins.select(*by, "_lo", "_hi", "_bins", F.explode(F.sequence(F.lit(0), F.lit(nbins - 1))).alias("bin"))
         .select(
-            by,
+            *by,
             F.col("bin").cast("int").alias("bin"),
             centroid.alias("centroid"),
             F.coalesce(F.try_element_at("_bins", F.col("bin")), F.lit(0).cast("bigint")).alias("n"),
         )
-        .orderBy(by, "bin")
+        .orderBy(*by, "bin")
     )
+
+
+def histograms(
+    df: DataFrame,
+    cols: Sequence[str],
+    nbins: int = 12,
+    by: str | Sequence[str] = YEAR_COL,
+) -> DataFrame:
+    """Histograms of several columns of one type in one scan:
+    ``[column_name, *by, bin, centroid, n]``.
+
+    The columns are unpivoted to ``(column_name, value)`` rows and binned with
+    ``column_name`` as one more group key, so the table is read once for all
+    of them (the reference cached a projection and binned it three times).
+    """
+    keys = _cols(by)
+    long = df.unpivot(keys, list(cols), "column_name", "_value")
+    return histogram(long, "_value", nbins=nbins, by=["column_name", *keys], discrete=True)

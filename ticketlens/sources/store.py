@@ -21,8 +21,10 @@ import re
 import tempfile
 import threading
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -100,6 +102,20 @@ def stored_citations(
     return scan.select(*cols), scan.where(F.col(IN_YEAR_COL)).select(*cols)
 
 
+@contextmanager
+def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Iterator[DataFrame]:
+    """Keep ``df`` cached while a block reuses it; release it afterwards.
+
+    For a narrow projection read by several actions in a row. Cached blocks
+    live on executors; a lost executor's blocks are recomputed from lineage.
+    """
+    df.persist(level)
+    try:
+        yield df
+    finally:
+        df.unpersist()
+
+
 def forget(spark: SparkSession) -> None:
     """Drop this application's stored-table handles (files stay in the shared folder)."""
     app = spark.sparkContext.applicationId
