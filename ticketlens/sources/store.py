@@ -8,9 +8,9 @@ partitioned by ``file_year``, and hands back a scan of it. The write also
 cuts the lineage: a lost executor costs a re-read of parquet files, not a
 re-run of the join.
 
-Files land under ``<checkpoint dir>/ticketlens/<name>-<uuid>``; each task
-writes its own rows to the year folders it meets (no repartition by year,
-which would put a whole year into one task). ``stored_citations`` adds a
+Files land under ``<checkpoint dir>/ticketlens/<name>-<uuid>``. Rows are
+rebalanced on the partition columns before the write, with AQE splitting
+large folders into advisory-size tasks (never a whole year in one task). ``stored_citations`` adds a
 second partition level for the year filter, so "clean rows" is partition
 pruning.
 """
@@ -70,7 +70,17 @@ def stored(
             safe = re.sub(r"[^0-9A-Za-z_.-]+", "_", name).strip("_")[-80:]
             path = f"{ensure_shared_dir(spark)}/ticketlens/{safe}-{uuid.uuid4().hex[:12]}"
             built = build()
-            built.write.mode("errorifexists").partitionBy(*partition_by).parquet(path)
+            # Rebalance on the partition columns: AQE cuts each folder's rows
+            # into tasks of about spark.sql.adaptive.advisoryPartitionSizeInBytes
+            # (a year holding a third of all rows is split, not one task), so
+            # files come out evenly sized instead of one small file per task
+            # and folder.
+            (
+                built.hint("rebalance", *partition_by)
+                .write.mode("errorifexists")
+                .partitionBy(*partition_by)
+                .parquet(path)
+            )
             # Read back with the built schema: partition columns keep their
             # types (a boolean folder value would otherwise be inferred as
             # text) and no footer-reading job is needed to plan the scan.
