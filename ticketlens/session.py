@@ -47,7 +47,6 @@ def local_session(
     )
     spark.sparkContext.setLogLevel("ERROR")
     if not (spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()):
-        folder = tempfile.mkdtemp(prefix="run-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.sparkContext.setCheckpointDir(folder)
-        spark.conf.set(CHECKPOINT_KEY, spark.sparkContext.getCheckpointDir())
+        # Only where the setting is absent, as in tests: a fresh local folder.
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir=os.environ.get("TMPDIR", "/tmp")))
     return spark

@@ -35,6 +35,11 @@ _LOCK = threading.Lock()
 # (application id, name) -> scan of the written table. Holding the scan keeps
 # its file listing, so later queries skip listing and footer reads.
 _STORED: dict[tuple[str, str], DataFrame] = {}
+_VIEWS: dict[tuple[str, str], tuple[DataFrame, DataFrame]] = {}
+
+
+def _app_id(spark: SparkSession) -> str:
+    return spark.sparkContext.applicationId
 
 
 def ensure_shared_dir(spark: SparkSession) -> str:
@@ -63,7 +68,7 @@ def stored(
     partition_by: Sequence[str] = (YEAR_COL,),
 ) -> DataFrame:
     """Scan of ``build()`` written once per application under the shared folder."""
-    key = (spark.sparkContext.applicationId, name)
+    key = (_app_id(spark), name)
     with _LOCK:
         scan = _STORED.get(key)
         if scan is None:
@@ -103,13 +108,22 @@ def stored_citations(
     """
     from ..operators.clean import issued_in_file_year
 
+    key = (_app_id(spark), "views:" + name)
+    with _LOCK:
+        views = _VIEWS.get(key)
+    if views is not None:
+        return views
+
     def with_flag() -> DataFrame:
         df = build()
         return df.withColumn(IN_YEAR_COL, F.coalesce(issued_in_file_year(), F.lit(False)))
 
     scan = stored(spark, name, with_flag, partition_by=(YEAR_COL, IN_YEAR_COL))
     cols = [c for c in scan.columns if c != IN_YEAR_COL]
-    return scan.select(*cols), scan.where(F.col(IN_YEAR_COL)).select(*cols)
+    views = (scan.select(*cols), scan.where(F.col(IN_YEAR_COL)).select(*cols))
+    with _LOCK:
+        _VIEWS[key] = views
+    return views
 
 
 @contextmanager
@@ -128,7 +142,8 @@ def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK)
 
 def forget(spark: SparkSession) -> None:
     """Drop this application's stored-table handles (files stay in the shared folder)."""
-    app = spark.sparkContext.applicationId
+    app = _app_id(spark)
     with _LOCK:
-        for key in [k for k in _STORED if k[0] == app]:
-            del _STORED[key]
+        for cache in (_STORED, _VIEWS):
+            for key in [k for k in cache if k[0] == app]:
+                del cache[key]
