@@ -3,7 +3,7 @@
 The reference runs every question three times, once per fiscal-year table,
 and pastes the answer of one question (top precincts, top codes) into the
 filter of the next. Here each question is one plan over all years, and the
-keys are computed: per-year top-k keys feed a broadcast semi join.
+keys are computed per year inside the same plan.
 
 Inputs: ``tickets`` is the master table (all files bound); ``clean`` is
 ``keep_issue_year(tickets)``. Functions that need the clean table take it.
