@@ -31,15 +31,25 @@ from pyspark.sql import functions as F
 from ..schema import YEAR_COL
 from ..session import CHECKPOINT_KEY
 
-_LOCK = threading.Lock()
+_LOCK = threading.RLock()
 # (application id, name) -> scan of the written table. Holding the scan keeps
 # its file listing, so later queries skip listing and footer reads.
 _STORED: dict[tuple[str, str], DataFrame] = {}
 _VIEWS: dict[tuple[str, str], tuple[DataFrame, DataFrame]] = {}
+_LOCAL_DIRS: dict[str, str] = {}
 
 
 def _app_id(spark: SparkSession) -> str:
-    return spark.sparkContext.applicationId
+    sc = _context(spark)
+    return sc.applicationId if sc is not None else spark.conf.get("spark.app.id", "connect")
+
+
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None for a Spark Connect session."""
+    try:
+        return spark.sparkContext
+    except Exception:  # Spark Connect sessions have no SparkContext
+        return None
 
 
 def ensure_shared_dir(spark: SparkSession) -> str:
@@ -49,14 +59,21 @@ def ensure_shared_dir(spark: SparkSession) -> str:
     fresh temporary folder is set. On a cluster an absent setting is an
     error: a machine-local folder would not survive a lost executor.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get(CHECKPOINT_KEY, None)
+    sc = _context(spark)
+    current = (sc.getCheckpointDir() if sc is not None else None) or spark.conf.get(CHECKPOINT_KEY, None)
     if current:
-        if not sc.getCheckpointDir():
+        if sc is not None and not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current.rstrip("/")
-    if not sc.master.startswith("local"):
+    master = sc.master if sc is not None else (spark.conf.get("spark.master", None) or "")
+    if not master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_KEY} to a shared folder before running on a cluster")
+    if sc is None:  # a local Connect server: one folder per application
+        app = _app_id(spark)
+        with _LOCK:
+            if app not in _LOCAL_DIRS:
+                _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="run-")
+            return _LOCAL_DIRS[app]
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
     return sc.getCheckpointDir().rstrip("/")
 
