@@ -31,3 +31,13 @@ def test_dirt_counts(spark, sf_dir):
     assert states["99"] == 19 and states["9A"] == 10
     missing = _by_year(clean.where(F.col("house_number").isNull() | F.col("street_name").isNull()))
     assert missing == {1995: 25, 1996: 24, 1997: 38}
+
+
+def test_stored_under_the_shared_folder(spark, sf_dir):
+    from ticketlens.sources.store import ensure_shared_dir
+
+    base = ensure_shared_dir(spark).split(":", 1)[-1].lstrip("/")
+    files = stored_tickets(spark, sf_dir).inputFiles()
+    assert files and all(base in f for f in files)
+    folders = {f.split("/file_year=")[1].split("/")[0] for f in files}
+    assert folders == {"1995", "1996", "1997"}
