@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
-from ticketlens.sources.fixture import tickets
+from ticketlens.sources.fixture import FIXTURE_YEARS, tickets
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonMapInArrow")
 CROSS_NODES = ("CartesianProduct", "BroadcastNestedLoopJoin")
@@ -22,7 +22,11 @@ def final_plan(df):
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_plan(spark, sf_dir, name):
     plan = final_plan(E.queries()[name](spark, sf_dir))
-    assert plan.count("Scan parquet") == 1, plan
+    if name == "union_years":
+        # one scan per yearly table, each pruned to its own year's folders
+        assert plan.count("Scan parquet") == len(FIXTURE_YEARS) and "Union" in plan, plan
+    else:
+        assert plan.count("Scan parquet") == 1, plan
     assert not any(n in plan for n in PYTHON_NODES), plan
     assert not any(n in plan for n in CROSS_NODES), plan
     if name in TOP_K:
@@ -48,3 +52,10 @@ def test_clean_questions_prune_partitions(spark, sf_dir):
     )
     assert "PartitionFilters: [isnotnull(in_file_year" in formatted
     assert "ReadSchema: struct<violation_code:int>" in formatted
+
+
+def test_yearly_tables_are_pruned_to_their_year(spark, sf_dir):
+    df = E.queries()["union_years"](spark, sf_dir)
+    formatted = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    for y in FIXTURE_YEARS:
+        assert f"(file_year#" in formatted and f"= {y})" in formatted

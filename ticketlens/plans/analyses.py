@@ -16,7 +16,7 @@ partial counts cross the shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +26,7 @@ from ..operators.agg import counts_by, histogram, ranked_within, top_k_per, with
 from ..operators.clean import issued_in_file_year, without_state
 from ..operators.joins import attach_fines, fine_table
 from ..schema import YEAR_COL
+from ..sources.csv import union_years as bind_years
 
 Y = YEAR_COL
 
@@ -41,9 +42,14 @@ def row_counts(tickets: DataFrame) -> DataFrame:
     return both.unpivot([], ["loaded", "clean"], "stage", "n")
 
 
-def union_years(tickets: DataFrame) -> DataFrame:
-    """Rows per file year and in total (``file_year`` NULL): ``file_year, n``."""
-    return tickets.rollup(Y).agg(F.count(F.lit(1)).alias("n")).orderBy(F.col(Y).asc_nulls_last())
+def union_years(frames: Sequence[DataFrame]) -> DataFrame:
+    """Row bind of yearly tables (UNION ALL by name), counted per year and in
+    total (``file_year`` NULL): ``file_year, n``.
+
+    The rollup adds the total in the same aggregation (no second pass).
+    """
+    bound = bind_years(frames)
+    return bound.rollup(Y).agg(F.count(F.lit(1)).alias("n")).orderBy(F.col(Y).asc_nulls_last())
 
 
 def clean_counts(clean: DataFrame) -> DataFrame:
