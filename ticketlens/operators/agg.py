@@ -125,8 +125,9 @@ def histogram(
     scan counts rows per (by, value); min and max are windows over those
     counts (one partition holds the distinct values of one ``by`` group), and
     the counts are binned. ``discrete=False`` suits continuous columns: a
-    first scan finds min and max per group (one row per group, broadcast), a
-    second bins the raw rows; only partial bin counts cross the shuffle.
+    first scan finds min and max per group (one row per group, broadcast by
+    AQE when small), a second bins the raw rows; only partial bin counts
+    cross the shuffle.
 
     Empty bins are filled per group from a map of at most ``nbins`` entries
     and ``explode(sequence(0, nbins - 1))``: no join, no cross join.
@@ -145,8 +146,9 @@ def histogram(
         )
     else:
         stats = present.groupBy(*by).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
-        # one row per group: broadcast on that bound
-        weighted = present.withColumn("_w", F.lit(1).cast("bigint")).join(F.broadcast(stats), by)
+        # One row per group. No hint: AQE measures the stats stage and
+        # broadcasts it when it is under the threshold, else shuffles.
+        weighted = present.withColumn("_w", F.lit(1).cast("bigint")).join(stats, by)
 
     span = F.col("_hi") - F.col("_lo")
     integral = dict(df.dtypes)[col] in ("tinyint", "smallint", "int", "bigint")
