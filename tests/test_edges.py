@@ -206,3 +206,33 @@ def test_histograms_in_one_scan_equal_single_ones(spark, sf_dir):
                 assert got[(c, r["file_year"], r["bin"])] == (r["centroid"], r["n"])
     assert len(got) == 3 * 3 * 12
     assert plan.count("Scan parquet") <= 1
+
+
+def test_semi_join_form_equals_window_form(spark, sf_dir):
+    """J1 as the reference shapes it (filter rows by the computed top
+    precincts, then count) gives the rows of the one-scan window form."""
+    from ticketlens.operators.agg import counts_by
+    from ticketlens.operators.joins import restrict_to_keys, semi_join_keys
+    from ticketlens.sources.fixture import stored_clean
+
+    clean = stored_clean(spark, sf_dir)
+    top_precincts = top_k_per(counts_by(clean, ["file_year", "issuer_precinct"], "issuer_precinct"),
+                              "file_year", "n", 3, "issuer_precinct")
+    rows = semi_join_keys(clean, top_precincts, ["file_year", "issuer_precinct"])
+    pairs = counts_by(rows, ["file_year", "issuer_precinct", "violation_code"], "violation_code")
+    by_join = top_k_per(pairs, "file_year", "n", 10, ["issuer_precinct", "violation_code"])
+    cols = ("file_year", "issuer_precinct", "violation_code", "n", "rk")
+    assert rows_of(by_join, *cols) == rows_of(A.codes_in_top_precincts(clean), *cols)
+    # restrict_to_keys on the grouped counts gives the same pairs
+    all_pairs = counts_by(clean, ["file_year", "issuer_precinct", "violation_code"], "violation_code")
+    restricted = top_k_per(restrict_to_keys(all_pairs, top_precincts, ["file_year", "issuer_precinct"]),
+                           "file_year", "n", 10, ["issuer_precinct", "violation_code"])
+    assert rows_of(restricted, *cols) == rows_of(by_join, *cols)
+
+
+def test_semi_join_keys_null_never_matches(spark):
+    from ticketlens.operators.joins import semi_join_keys
+
+    df = spark.createDataFrame([(1, None), (1, 2), (1, 3)], "file_year int, k int")
+    keys = spark.createDataFrame([(1, None), (1, 2)], "file_year int, k int")
+    assert rows_of(semi_join_keys(df, keys, ["file_year", "k"])) == [(1, 2)]
