@@ -97,13 +97,7 @@ def top_k_values(clean: DataFrame, key: str, k: int = 5) -> DataFrame:
     return top_k_per(counts, Y, "n", k, key).orderBy(Y, "rk")
 
 
-def codes_in_top_precincts(clean: DataFrame, n_precincts: int = 3, k: int = 10) -> DataFrame:
-    """The k most frequent (issuer precinct, code) pairs within the year's
-    ``n_precincts`` busiest issuer precincts: ``file_year, issuer_precinct, violation_code, n, rk``.
-
-    One scan: rows are counted per (year, precinct, code); the precinct
-    ranking and the pair ranking are windows over those counts.
-    """
+def _top_pairs(clean: DataFrame, n_precincts: int, k: int) -> DataFrame:
     pairs = clean.groupBy(Y, "issuer_precinct", "violation_code").agg(
         F.count("violation_code").alias("n"),
         F.count("issuer_precinct").alias("n_precinct_rows"),
@@ -115,14 +109,24 @@ def codes_in_top_precincts(clean: DataFrame, n_precincts: int = 3, k: int = 10)
         "n",
         k,
         ["issuer_precinct", "violation_code"],
-    ).orderBy(Y, "rk")
+    )
+
+
+def codes_in_top_precincts(clean: DataFrame, n_precincts: int = 3, k: int = 10) -> DataFrame:
+    """The k most frequent (issuer precinct, code) pairs within the year's
+    ``n_precincts`` busiest issuer precincts: ``file_year, issuer_precinct, violation_code, n, rk``.
+
+    One scan: rows are counted per (year, precinct, code); the precinct
+    ranking and the pair ranking are windows over those counts.
+    """
+    return _top_pairs(clean, n_precincts, k).orderBy(Y, "rk")
 
 
 def code_overlap(clean: DataFrame, n_precincts: int = 3, k: int = 10) -> DataFrame:
     """For each code among the top pairs, in how many of the top precincts it
     appears: ``file_year, violation_code, n_precincts``."""
     return (
-        codes_in_top_precincts(clean, n_precincts, k)
+        _top_pairs(clean, n_precincts, k)
         .groupBy(Y, "violation_code")
         .agg(F.count_distinct("issuer_precinct").alias("n_precincts"))
         .orderBy(Y, F.desc("n_precincts"), F.col("violation_code").asc_nulls_last())
@@ -203,6 +207,10 @@ def revenue_top3(clean: DataFrame, fines: Mapping[int, int], k: int = 3) -> Data
 
     The k codes are picked by count first, then ordered by amount.
     """
+    return _revenue(clean, fines, k).orderBy(Y, F.col("amount").desc_nulls_last())
+
+
+def _revenue(clean: DataFrame, fines: Mapping[int, int], k: int) -> DataFrame:
     counts = counts_by(
         clean.where(F.col("violation_code").isNotNull() & F.col("issue_date").isNotNull()),
         [Y, "violation_code"],
@@ -211,17 +219,15 @@ def revenue_top3(clean: DataFrame, fines: Mapping[int, int], k: int = 3) -> Data
     )
     top = top_k_per(counts, Y, "cnt", k, "violation_code")
     schedule = fine_table(clean.sparkSession, fines)
-    return (
-        attach_fines(top, schedule)
-        .select(Y, "violation_code", "cnt", (F.col("cnt") * F.col("fine")).cast("bigint").alias("amount"))
-        .orderBy(Y, F.col("amount").desc_nulls_last())
+    return attach_fines(top, schedule).select(
+        Y, "violation_code", "cnt", (F.col("cnt") * F.col("fine")).cast("bigint").alias("amount")
     )
 
 
 def top_revenue_code(clean: DataFrame, fines: Mapping[int, int], k: int = 3) -> DataFrame:
     """The code with the highest fine total among the top k, per year:
     ``file_year, violation_code, amount``."""
-    rev = revenue_top3(clean, fines, k)
+    rev = _revenue(clean, fines, k)
     return (
         top_k_per(rev, Y, "amount", 1, "violation_code")
         .select(Y, "violation_code", "amount")
