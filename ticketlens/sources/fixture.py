@@ -9,10 +9,11 @@ year), by the rules of FIXTURES.md §F2.
 Plan shape: the order-date filter is a range on the raw column, so it reaches
 the parquet scan as a pushed filter; each table is pruned to the columns the
 rules read; orders meet customer first (both far smaller than lineitem), so
-lineitem is joined once on the order key and once on the part key. Join
-strategies are left to Catalyst/AQE: small sides are broadcast only when
-their measured size is under ``spark.sql.autoBroadcastJoinThreshold``,
-otherwise the join shuffles.
+lineitem is joined once on the order key and once on the part key. The
+lineitem join is a sort-merge join on the order key (AQE splits skewed
+keys); the customer and part joins are left to Catalyst/AQE, which
+broadcast a side only when its size is under
+``spark.sql.autoBroadcastJoinThreshold`` and shuffle otherwise.
 """
 
 from __future__ import annotations
