@@ -100,3 +100,50 @@ def test_top_pairs_match_brute_force(spark, data):
     got = spark_rows(A.codes_in_top_precincts(tickets_df(spark, data)),
                      ("file_year", "issuer_precinct", "violation_code", "n", "rk"))
     assert got == brute_top_pairs(data)
+
+
+SEASON_OF = {"06": "Summer", "07": "Summer", "08": "Summer", "09": "Fall", "10": "Fall", "11": "Fall",
+             "12": "Winter", "01": "Winter", "02": "Winter", "03": "Spring", "04": "Spring", "05": "Spring"}
+
+season_rows = st.lists(
+    st.builds(
+        lambda y, month, code, summons: ticket(file_year=y, issue_date=f"{month:02d}/10/{y}",
+                                               violation_code=code, summons_number=summons),
+        st.sampled_from([2015, 2016]),
+        st.integers(1, 13),
+        st.one_of(st.none(), st.integers(1, 4)),
+        st.one_of(st.none(), st.integers(1, 10**6)),
+    ),
+    min_size=1,
+    max_size=60,
+)
+
+
+def brute_season_ranks(rows, k=3):
+    n_summons, n_code = Counter(), Counter()
+    for r in rows:
+        s = SEASON_OF.get(r["issue_date"][0:2])
+        if s is None:
+            continue
+        key = (r["file_year"], s, r["violation_code"])
+        n_summons[key] += 0 if r["summons_number"] is None else 1
+        n_code[key] += 0 if r["violation_code"] is None else 1
+    groups = {}
+    for (y, s, c), n in n_code.items():
+        groups.setdefault((y, s), []).append((c, n))
+    out = []
+    for (y, s), items in groups.items():
+        distinct = sorted({n for _, n in items}, reverse=True)
+        for c, n in items:
+            rk = distinct.index(n) + 1
+            if rk <= k:
+                out.append((y, s, c, n_summons[(y, s, c)], rk))
+    return sorted(out, key=lambda t: tuple(nulls_last(x) for x in t))
+
+
+@SETTINGS
+@given(season_rows)
+def test_season_ranks_match_brute_force(spark, data):
+    got = spark_rows(A.top3_codes_by_season(tickets_df(spark, data)),
+                     ("file_year", "season", "violation_code", "n", "rk"))
+    assert got == brute_season_ranks(data)
