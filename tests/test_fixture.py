@@ -41,3 +41,27 @@ def test_stored_under_the_shared_folder(spark, sf_dir):
     assert files and all(base in f for f in files)
     folders = {f.split("/file_year=")[1].split("/")[0] for f in files}
     assert folders == {"1995", "1996", "1997"}
+
+
+def test_cluster_without_shared_folder_is_refused():
+    import pytest
+
+    from ticketlens.sources.store import ensure_shared_dir
+
+    class Ctx:
+        master = "yarn"
+        applicationId = "app-1"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Session:
+        sparkContext = Ctx()
+        conf = Conf()
+
+    with pytest.raises(RuntimeError):
+        ensure_shared_dir(Session())
