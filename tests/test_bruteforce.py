@@ -147,3 +147,45 @@ def test_season_ranks_match_brute_force(spark, data):
     got = spark_rows(A.top3_codes_by_season(tickets_df(spark, data)),
                      ("file_year", "season", "violation_code", "n", "rk"))
     assert got == brute_season_ranks(data)
+
+
+def brute_bins_of_top_codes(rows, k=3):
+    out = Counter()
+    for y in {r["file_year"] for r in rows}:
+        yr = [r for r in rows if r["file_year"] == y]
+        per_code = Counter()
+        for r in yr:
+            per_code[r["violation_code"]] += 0 if r["violation_code"] is None else 1
+        ranked = sorted(per_code.items(), key=lambda kv: (-kv[1], nulls_last(kv[0])))
+        top = {c for c, _ in ranked[:k] if c is not None}
+        for r in yr:
+            if r["violation_code"] in top:
+                out[(y, py_time_bin(r["violation_time"]) or "")] += 1
+    return sorted((y, b, n) for (y, b), n in out.items())
+
+
+def brute_revenue(rows, fines, k=3):
+    out = []
+    for y in {r["file_year"] for r in rows}:
+        cnt = Counter(r["violation_code"] for r in rows
+                      if r["file_year"] == y and r["violation_code"] is not None and r["issue_date"] is not None)
+        for c, n in sorted(cnt.items(), key=lambda kv: (-kv[1], kv[0]))[:k]:
+            out.append((y, c, n, None if c not in fines else n * fines[c]))
+    return sorted(out)
+
+
+@SETTINGS
+@given(rows)
+def test_bins_of_top_codes_match_brute_force(spark, data):
+    got = sorted(tuple(r) for r in A.time_bins_of_top_codes(tickets_df(spark, data)).select(
+        "file_year", "time_bin", "n").collect())
+    assert got == brute_bins_of_top_codes(data)
+
+
+@SETTINGS
+@given(rows)
+def test_revenue_matches_brute_force(spark, data):
+    fines = {1: 55, 2: 115, 4: 50}
+    got = sorted(tuple(r) for r in A.revenue_top3(tickets_df(spark, data), fines).select(
+        "file_year", "violation_code", "cnt", "amount").collect())
+    assert got == brute_revenue(data, fines)
