@@ -6,10 +6,30 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe
+from . import bpe, chat, mixing, quality, warc
 from .base import table
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger of every document with the verdict of the production policy."""
+    return quality.judged(quality.ledger(table(spark, sf_dir, "documents")))
+
+
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All maximal conversations, rendered."""
+    return chat.collapsed(table(spark, sf_dir, "conversations"))
+
+
+def op7_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's block, slot and position in the mix."""
+    return mixing.positions(table(spark, sf_dir, "documents").select("doc_id", "source"))
+
+
+def op8_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page archived, revisits resolved, as read back from the archives."""
+    return warc.deduplicated(table(spark, sf_dir, "pages"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text encoded and decoded: digests of the ids and of the bytes."""
     return bpe.round_trip(table(spark, sf_dir, "documents"))
@@ -17,9 +37,17 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_quality_rules": op2_quality_rules,
+        "op6_chat_formatting": op6_chat_formatting,
+        "op7_pfair_mixing": op7_pfair_mixing,
+        "op8_warc_revisits": op8_warc_revisits,
         "op10_byte_bpe": op10_byte_bpe,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op2_quality_rules": quality.ORACLE,
+        "op6_chat_formatting": chat.ORACLE,
+        "op8_warc_revisits": warc.ORACLE,
+    }
