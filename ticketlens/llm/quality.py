@@ -31,7 +31,7 @@ RULES: dict[str, str] = {
     "few_words": "n_words < 50",
     "repeated_words": "100 * n_repeat_words > 50 * n_words",
     "symbols": "10 * n_symbols > n_words",
-    "repeated_lines": "100 * n_dup_lines > 30 * n_lines",
+    "repeated_lines": "100 * n_dup_lines > 50 * n_lines",
     "short_words": "word_chars < 3 * n_words",
     "long_words": "word_chars > 12 * n_words",
     "few_letters": "10 * n_letter_words < 7 * n_words",
@@ -176,7 +176,7 @@ m AS (
 f AS (
     SELECT *,
         CAST(1 * (n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)::INT
-        + 4 * (10 * n_symbols > n_words)::INT + 8 * (100 * n_dup_lines > 30 * n_lines)::INT
+        + 4 * (10 * n_symbols > n_words)::INT + 8 * (100 * n_dup_lines > 50 * n_lines)::INT
         + 16 * (word_chars < 3 * n_words)::INT + 32 * (word_chars > 12 * n_words)::INT
         + 64 * (10 * n_letter_words < 7 * n_words)::INT
         + 128 * (n_lines > 20 AND n_words < 3 * n_lines)::INT AS BIGINT) AS failed
