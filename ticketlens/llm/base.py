@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +18,8 @@ SPACE_BYTES = b"\x20\x09\x0a\x0b\x0c\x0d"
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan of one table of a data folder (any path Spark's readers open)."""
+    # Python workers import this library from where the driver has it, unless it is installed.
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, mixing, quality, warc
+from . import bpe, chat, mixing, quality, toxicity, warc
 from .base import table
 
 
@@ -15,6 +15,12 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(quality.ledger(table(spark, sf_dir, "documents")))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text scored by a model fitted on the training folds."""
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scores(docs, toxicity.fitted(docs, table(spark, sf_dir, "labels")))
+
+
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All maximal conversations, rendered."""
     return chat.collapsed(table(spark, sf_dir, "conversations"))
@@ -38,6 +44,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_quality_rules": op2_quality_rules,
+        "op4_toxicity": op4_toxicity,
         "op6_chat_formatting": op6_chat_formatting,
         "op7_pfair_mixing": op7_pfair_mixing,
         "op8_warc_revisits": op8_warc_revisits,
