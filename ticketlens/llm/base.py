@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
@@ -59,6 +60,15 @@ def utf8_parts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def slices(raw: np.ndarray, offsets: np.ndarray, limit: int = 1 << 21) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows in turn, as many at once as have about ``limit`` bytes, a long one alone."""
+    at, rows = 0, len(offsets) - 1
+    while at < rows:
+        upto = max(at + 1, int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1)
+        yield raw[offsets[at] : offsets[upto]], offsets[at : upto + 1] - offsets[at]
+        at = upto
+
+
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 

@@ -6,10 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, mixing, quality, toxicity, warc
+from . import bpe, chat, mixing, quality, secrets, toxicity, warc
 from .base import table
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text scanned by the rules and by a CRF fitted on a bounded sample."""
+    docs = table(spark, sf_dir, "documents")
+    return secrets.scanned(docs, secrets.fitted(docs))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ledger of every document with the verdict of the production policy."""
     return quality.judged(quality.ledger(table(spark, sf_dir, "documents")))
@@ -43,6 +49,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_secret_scan": op1_secret_scan,
         "op2_quality_rules": op2_quality_rules,
         "op4_toxicity": op4_toxicity,
         "op6_chat_formatting": op6_chat_formatting,
