@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, mixing, quality, secrets, toxicity, warc
+from . import bpe, chat, mixing, quality, repeats, secrets, toxicity, warc
 from .base import table
 
 
@@ -21,6 +21,11 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(quality.ledger(table(spark, sf_dir, "documents")))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages that start in an earlier one."""
+    return repeats.deduplicated(table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text scored by a model fitted on the training folds."""
     docs = table(spark, sf_dir, "documents")
@@ -51,6 +56,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secret_scan": op1_secret_scan,
         "op2_quality_rules": op2_quality_rules,
+        "op3_substring_dedup": op3_substring_dedup,
         "op4_toxicity": op4_toxicity,
         "op6_chat_formatting": op6_chat_formatting,
         "op7_pfair_mixing": op7_pfair_mixing,
@@ -62,6 +68,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_quality_rules": quality.ORACLE,
+        "op3_substring_dedup": repeats.ORACLE,
         "op6_chat_formatting": chat.ORACLE,
         "op8_warc_revisits": warc.ORACLE,
     }
