@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, mixing, quality, repeats, secrets, toxicity, warc
+from . import bpe, chat, mixing, near, quality, repeats, secrets, toxicity, warc
 from .base import table
 
 
@@ -32,6 +32,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(docs, toxicity.fitted(docs, table(spark, sf_dir, "labels")))
 
 
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's group of near copies."""
+    return near.groups(table(spark, sf_dir, "documents"))
+
+
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All maximal conversations, rendered."""
     return chat.collapsed(table(spark, sf_dir, "conversations"))
@@ -58,6 +63,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_quality_rules": op2_quality_rules,
         "op3_substring_dedup": op3_substring_dedup,
         "op4_toxicity": op4_toxicity,
+        "op5_minhash_near_dedup": op5_minhash_near_dedup,
         "op6_chat_formatting": op6_chat_formatting,
         "op7_pfair_mixing": op7_pfair_mixing,
         "op8_warc_revisits": op8_warc_revisits,

@@ -38,10 +38,11 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.broadcast import Broadcast
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .base import mixed, text_or_empty, written
+from .idset import id_set, packed, unpacked
 
 WINDOW = 13
 DEPTH = 2
@@ -53,8 +54,6 @@ LEAST_BITS = 1 << 20
 SHARD_BITS = 1 << 22
 #: Bytes of a word with its blank, about.
 WORD_BYTES = 6
-#: Documents' places in the sketch of documents with marks.
-DOCUMENT_BITS = 1 << 26
 
 
 def words_of(text: str) -> list[bytes]:
@@ -82,30 +81,6 @@ def _cells(hashes: np.ndarray, row: int, bits: int) -> np.ndarray:
     return (mixed(hashes + np.uint64(row * 0x9E3779B97F4A7C15 & (2**64 - 1))) & np.uint64(bits - 1)).astype(np.int64)
 
 
-def packed(cells: np.ndarray, counts: np.ndarray) -> bytes:
-    """Sorted distinct cells as differences, seven bits a byte; the lowest bit says hit more than once."""
-    values = (np.diff(cells, prepend=0) << 1 | (counts > 1)).astype(np.uint64)
-    size = 1 + (values >= 1 << 7) + (values >= 1 << 14) + (values >= 1 << 21) + (values >= 1 << 28)
-    ends = np.cumsum(size)
-    out = np.zeros(int(ends[-1]) if len(ends) else 0, np.uint8)
-    starts = ends - size
-    for k in range(int(size.max()) if len(size) else 0):
-        on = size > k
-        more = (size[on] > k + 1).astype(np.uint8) << 7
-        out[starts[on] + k] = ((values[on] >> np.uint64(7 * k)) & np.uint64(127)).astype(np.uint8) | more
-    return out.tobytes()
-
-
-def unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """The cells of ``packed`` and whether each was hit more than once."""
-    raw = np.frombuffer(data, np.uint8)
-    last = raw < 128
-    starts = np.flatnonzero(np.r_[True, last[:-1]])
-    place = np.arange(len(raw)) - np.repeat(starts, np.diff(np.r_[starts, len(raw)]))
-    values = np.add.reduceat((raw & 127).astype(np.uint64) << (place * 7).astype(np.uint64), starts) if len(raw) else raw.astype(np.uint64)
-    return np.cumsum((values >> np.uint64(1)).astype(np.int64)), (values & np.uint64(1)).astype(bool)
-
-
 def _pairs(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty("text").alias("text"))
 
@@ -241,33 +216,6 @@ def marks(docs: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     )
 
 
-def _marked_documents(spark: SparkSession, marked: DataFrame) -> Broadcast:
-    """Bits of a hash of the documents with marks, of fixed size: what it lets pass wrongly finds no mark."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = np.concatenate([_document_bit(b.column(0).to_numpy()) for b in batches] or [np.empty(0, np.int64)])
-        at = np.unique(at)
-        shard = at >> 20
-        edges = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]]) if len(at) else at
-        parts = np.split(at, edges[1:]) if len(at) else []
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([int(p[0] >> 20) for p in parts], pa.int32()),
-                pa.array([packed(p & ((1 << 20) - 1), np.ones(len(p))) for p in parts], pa.binary()),
-            ],
-            ["shard", "bits"],
-        )
-
-    bits = np.zeros(DOCUMENT_BITS, bool)
-    for row in marked.select("doc_id").mapInArrow(run, "shard int, bits binary").toLocalIterator():
-        bits[(row["shard"] << 20) + unpacked(row["bits"])[0]] = True
-    return spark.sparkContext.broadcast(np.packbits(bits))
-
-
-def _document_bit(ids: np.ndarray) -> np.ndarray:
-    return (mixed(ids.astype(np.int64).view(np.uint64)) & np.uint64(DOCUMENT_BITS - 1)).astype(np.int64)
-
-
 def kept_words(text: str, places: np.ndarray) -> list[bytes]:
     """The words that no window at these places covers."""
     words = words_of(text)
@@ -280,15 +228,10 @@ def kept_words(text: str, places: np.ndarray) -> list[bytes]:
 
 def deduplicated(docs: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     """``doc_id``, ``n_words``, ``n_removed``, ``kept_sha256`` of every document."""
-    spark = docs.sparkSession
     marked = written(marks(docs, most_bits), "marks")
-    hit = _marked_documents(spark, marked)
+    hit = id_set(marked.select("doc_id"))
     pairs = _pairs(docs)
 
-    def chance(ids: pa.Array) -> np.ndarray:
-        at = _document_bit(ids.fill_null(0).to_numpy(zero_copy_only=False))
-        return ((hit.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).astype(bool) & ~np.array(ids.is_null())
-
     def rows(ids, texts, places) -> pa.RecordBatch:
         counts, removed, digests = [], [], []
         for text, own in zip(texts, places, strict=True):
@@ -311,12 +254,12 @@ def deduplicated(docs: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            batch = batch.filter(pa.array(~chance(batch.column(0))))
+            batch = batch.filter(pa.array(~hit.may_have(batch.column(0))))
             yield rows(batch.column(0), batch.column(1).to_pylist(), [None] * len(batch))
 
     def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(chance(batch.column(0))))
+            yield batch.filter(pa.array(hit.may_have(batch.column(0))))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
