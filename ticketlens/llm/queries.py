@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, mixing, near, quality, repeats, secrets, toxicity, warc
+from . import bpe, chat, mixing, near, neighbours, quality, repeats, secrets, toxicity, warc
 from .base import table
 
 
@@ -52,6 +52,11 @@ def op8_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.deduplicated(table(spark, sf_dir, "pages"))
 
 
+def op9_multiprobe_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nearest 20 of every twentieth vector among all."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text encoded and decoded: digests of the ids and of the bytes."""
     return bpe.round_trip(table(spark, sf_dir, "documents"))
@@ -67,6 +72,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_chat_formatting": op6_chat_formatting,
         "op7_pfair_mixing": op7_pfair_mixing,
         "op8_warc_revisits": op8_warc_revisits,
+        "op9_multiprobe_neighbours": op9_multiprobe_neighbours,
         "op10_byte_bpe": op10_byte_bpe,
     }
 
