@@ -18,7 +18,7 @@ SHARD = 20
 
 
 def packed(cells: np.ndarray, counts: np.ndarray) -> bytes:
-    """Sorted distinct cells as differences, seven bits a byte; the lowest bit says hit more than once."""
+    """Sorted distinct cells (below 2 to the 34) as differences, seven bits a byte; the lowest bit says hit more than once."""
     values = (np.diff(cells, prepend=0) << 1 | (counts > 1)).astype(np.uint64)
     size = 1 + (values >= 1 << 7) + (values >= 1 << 14) + (values >= 1 << 21) + (values >= 1 << 28)
     ends = np.cumsum(size)

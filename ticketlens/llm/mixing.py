@@ -20,8 +20,8 @@ within the bucket. Positions in the whole mix add block sizes the same way.
 Defined cases: a null source is the source ``''``; documents with the same id
 are ordered by their other columns; target weights of sources that are absent
 have no effect, sources without a target weight get one slot of a period; an
-empty table gives an empty mix; extra columns are kept, unless they have the
-name of a column that the schedule adds, which replaces them.
+empty table gives an empty mix; extra columns are kept, but ``scheduled`` and
+``positions`` replace those that have the name of a column they add.
 """
 
 from __future__ import annotations
@@ -151,44 +151,48 @@ def ranked(docs: DataFrame) -> DataFrame:
     )
 
 
-def scheduled(
+def _scheduled(
     docs: DataFrame,
     weights: Mapping[str, float] | None = None,
     exponent: float = EXPONENT,
     period: int = PERIOD,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """``docs`` with the ``block`` of its source, the block's ``release``,
-    ``deadline`` and ``slot``, and the place ``in_block``."""
-    docs = docs.drop(*ADDED)
+    """``docs`` with the schedule's columns, their names after an underscore."""
     names = docs.columns
-    table = F.broadcast(one_period(source_slots(docs, weights, exponent, period))).withColumnsRenamed(
+    slots = source_slots(docs, weights, exponent, period)
+    table = F.broadcast(one_period(slots)).withColumnsRenamed(
         {"source": "_source", "slot": "_at", "k": "_k", "slots": "_slots", "period": "_period"}
     )
-    blocks = (
-        ranked(docs)
-        .withColumns({"block": F.expr(f"_rank div {block_rows}"), "in_block": F.expr(f"CAST(_rank % {block_rows} AS INT)")})
-    )
-    shares = F.broadcast(source_slots(docs, weights, exponent, period).select(F.col("source").alias("_source"), F.col("slots").alias("_per")))
+    shares = F.broadcast(slots.select(F.col("source").alias("_source"), F.col("slots").alias("_per")))
     return (
-        blocks.join(shares, "_source")
-        .withColumn("_k", F.expr("block % _per"))
+        ranked(docs)
+        .withColumns(
+            {"_block": F.expr(f"_rank div {block_rows}"), "_in_block": F.expr(f"CAST(_rank % {block_rows} AS INT)")}
+        )
+        .join(shares, "_source")
+        .withColumn("_k", F.expr("_block % _per"))
         .join(table, ["_source", "_k"])
         .select(
             *names,
-            "block",
-            F.expr("(block * _period) div _slots").alias("release"),
-            F.expr("((block + 1) * _period + _slots - 1) div _slots").alias("deadline"),
-            F.expr("(block div _slots) * _period + _at").alias("slot"),
-            "in_block",
+            "_block",
+            F.expr("(_block * _period) div _slots").alias("_release"),
+            F.expr("((_block + 1) * _period + _slots - 1) div _slots").alias("_deadline"),
+            F.expr("(_block div _slots) * _period + _at").alias("_slot"),
+            "_in_block",
         )
     )
 
 
+def scheduled(docs: DataFrame, **how) -> DataFrame:
+    """``docs`` with the ``block`` of its source, the block's ``release``,
+    ``deadline`` and ``slot``, and the place ``in_block``."""
+    return _scheduled(docs.drop(*ADDED), **how).withColumnsRenamed({"_" + c: c for c in ADDED})
+
+
 def mixed(docs: DataFrame, **how) -> DataFrame:
-    """``docs`` as they come in the mix, without further columns."""
-    names = [c for c in docs.columns if c not in ADDED]
-    return scheduled(docs, **how).orderBy("slot", "in_block").select(*names)
+    """``docs`` as they come in the mix, with their own columns."""
+    return _scheduled(docs, **how).orderBy("_slot", "_in_block").select(*docs.columns)
 
 
 def positions(docs: DataFrame, **how) -> DataFrame:

@@ -57,6 +57,10 @@ ROUNDS = 3
 #: A word is positive if toxic documents have it so many deviations beyond chance.
 BEYOND_CHANCE = 5.5
 COST = 4.0
+#: Texts whose unknown words are worked on at once.
+TOGETHER = 500
+#: A spaced-out word has so many different letters at least, each alone.
+SINGLES = 3
 #: Words of which a worker remembers margins.
 REMEMBERED = 500_000
 THRESHOLD = 0.3
@@ -78,22 +82,15 @@ _SINGLE = re.compile(r"(?<![^\W\d_])[^\W\d_](?:[^\w\n]+[^\W\d_](?![^\W\d_])){2,}
 
 def words_of(text: str) -> set[str]:
     """The distinct words of a text in lower case, and its runs of single letters as words."""
-    text = text.lower()
     words = set(text.split())
-    for run in _SINGLE.findall(text) if _spaced(text) else ():
-        words.add("".join(c for c in run if c.isalpha()))
+    if sum(len(w) == 1 for w in words) >= SINGLES:
+        words.update("".join(c for c in run if c.isalpha()) for run in _SINGLE.findall(text))
     return words
 
 
 #: Signs around a word, which are no part of it.
 _AROUND = ".,;:!?\"'()[]{}<>*#$%&|-_/\\"
 
-_SPACED = re.compile(r"(?:^|[^\w])[^\W\d_][^\w\n][^\W\d_][^\w\n][^\W\d_](?:[^\w]|$)")
-
-
-def _spaced(text: str) -> bool:
-    return _SPACED.search(text) is not None
-
 
 def _pieces(words: list[str]) -> tuple[list[str], np.ndarray]:
     """Words cut to pieces of bounded length, and the word of each piece."""
@@ -207,16 +204,24 @@ class Model:
                 np.maximum.at(out, of[at], got)
         return out
 
-    def evidence(self, text: str | None) -> float:
-        """The three highest margins among a text's words, each occurrence counted, as a sum of 0 to 3."""
-        words = words_of(text) if text else set()
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        new = [w for w in words if w not in self.known]
-        self.known.update(zip(new, self.margins(new).tolist(), strict=True))
-        best = heapq.nlargest(3, ((self.known[w], w) for w in words))
-        top = [m for m, w in best for _ in range(max(1, min(3, text.lower().count(w))) if m > 0 else 1)]
-        return sum(1 / (1 + math.exp(-STEEP * (m - MIDDLE))) for m in top[:3])
+    def evidence(self, texts: list[str | None]) -> list[float]:
+        """For each text the three highest margins among its words, each occurrence counted, as a sum of 0 to 3.
+
+        Margins of words not yet known are worked out for ``TOGETHER`` texts at once.
+        """
+        out = []
+        for at in range(0, len(texts), TOGETHER):
+            some = [(t or "").lower() for t in texts[at : at + TOGETHER]]
+            words = [words_of(t) for t in some]
+            if len(self.known) > REMEMBERED:
+                self.known = {}
+            new = list(set().union(*words).difference(self.known))
+            self.known.update(zip(new, self.margins(new).tolist(), strict=True))
+            for text, own in zip(some, words, strict=True):
+                best = heapq.nlargest(3, zip(map(self.known.__getitem__, own), own, strict=True))
+                top = [m for m, w in best for _ in range(max(1, min(3, text.count(w))) if m > 0 else 1)]
+                out.append(sum(1 / (1 + math.exp(-STEEP * (m - MIDDLE))) for m in top[:3]))
+        return out
 
     def score(self, evidence: np.ndarray) -> np.ndarray:
         if self.curve is None:
@@ -340,7 +345,7 @@ def fitted(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> Model:
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = [sorted({w[:PIECE] for w in words_of(t)}) for t in batch.column("text").to_pylist()]
+            lists = [sorted({w[:PIECE] for w in words_of(t.lower())}) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(lists, pa.list_(pa.string())), batch.column("toxic")], ["words", "toxic"])
 
     both = picked.agg(F.sum("toxic").alias("toxic"), F.count("*").alias("n")).first()
@@ -390,7 +395,7 @@ def fitted(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> Model:
 
     def rate_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [model.evidence(t) for t in batch.column("text").to_pylist()]
+            got = model.evidence(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([pa.array(got, pa.float64()), batch.column("toxic")], ["evidence", "toxic"])
 
     seen = picked.mapInArrow(rate_documents, "evidence double, toxic int").collect()
@@ -398,34 +403,32 @@ def fitted(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> Model:
     return model
 
 
-def _scored(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
+def scores(docs: DataFrame, model: Model) -> DataFrame:
+    """``doc_id``, ``held_out``, ``score`` and ``predicted`` of every whole text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for batch in batches:
-            evidence = [model.evidence(t) for t in batch.column("text").to_pylist()]
-            score = model.score(np.array(evidence, np.float64))
+            score = shared.value.score(np.array(shared.value.evidence(batch.column("text").to_pylist()), np.float64))
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in keep), pa.array(score), pa.array((score >= THRESHOLD).astype(np.int32))],
-                [*keep, "score", "predicted"],
+                [batch.column(0), batch.column(1), pa.array(score), pa.array((score >= THRESHOLD).astype(np.int32))],
+                ["doc_id", "held_out", "score", "predicted"],
             )
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in keep)
-    return docs.mapInArrow(run, f"{fields}, score double, predicted int")
-
-
-def scores(docs: DataFrame, model: Model) -> DataFrame:
-    """``doc_id``, ``held_out``, ``score`` and ``predicted`` of every whole text."""
-    rows = docs.select(
+    return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"),
         F.col("text").cast("string").alias("text"),
-    )
-    return _scored(rows, model, ["doc_id", "held_out"])
+    ).mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
 
 
 def filtered(docs: DataFrame, model: Model) -> DataFrame:
-    """The documents that are not predicted to be toxic, with their columns."""
-    names = [c for c in docs.columns if c not in ("score", "predicted")]
-    return _scored(docs.select(*names), model, names).where("predicted = 0").select(*names)
+    """The documents that are not predicted to be toxic, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            score = shared.value.score(np.array(shared.value.evidence(batch.column("text").to_pylist()), np.float64))
+            yield batch.filter(pa.array(score < THRESHOLD))
+
+    return docs.mapInArrow(run, docs.schema)
