@@ -1,0 +1,75 @@
+import base64
+import glob
+import gzip
+import hashlib
+
+from ticketlens.llm import warc as W
+
+SCHEMA = "page_id long, url string, html string"
+LONG = "é\r\n\r\nWARC/1.1\r\nX" * 20_000
+ROWS = [
+    (1, "http://a/", "same"), (2, "http://b/", "same"), (3, None, "same"), (4, "http://c\r\nX: y", "other\r\n\r\n"),
+    (5, "u", ""), (6, "u", None), (7, "u", "WARC/1.1\r\n\r\nnot a record\r\n\r\nWARC/1.1\r\n"), (8, "u", "日本"), (9, "u", LONG),
+    (10, "u", "\r\n\r\n"), (11, "u", "same\n"), (12, "u", LONG), (3, None, "same"), (13, "u", "\n"), (14, "", " "),
+]
+
+
+def brute(rows, least=0):
+    top, n = {}, {}
+    for p, _, h in rows:
+        h = (h or "").encode()
+        if p is not None:
+            top[h] = max(top.get(h, p), p)
+    out = []
+    for p, _, h in rows:
+        h = (h or "").encode()
+        revisit = len(h) >= least and p is not None and top[h] != p
+        digest = base64.b32encode(hashlib.sha1(h).digest()).decode()
+        out.append((p, len(h), digest, "revisit" if revisit else "response", top[h] if revisit else None))
+    return sorted(out, key=repr)
+
+
+def found(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_round_trip(spark):
+    pages = spark.createDataFrame(ROWS + [(None, "u", "same"), (None, "u", "alone")], SCHEMA)
+    for name in ("digest", "bytes", "payload", "original", "value"):
+        pages = pages.withColumn(name, pages.page_id)
+    assert found(W.deduplicated(pages)) == brute(ROWS + [(None, "u", "same"), (None, "u", "alone")])
+
+
+def test_least_size(spark):
+    pages = spark.createDataFrame(ROWS, SCHEMA)
+    assert found(W.deduplicated(pages, min_bytes=5)) == brute(ROWS, 5)
+
+
+def test_files_are_archives(spark, tmp_path):
+    pages = spark.createDataFrame(ROWS, SCHEMA).repartition(3)
+    path, boundary = W.write_archives(W.resolved(pages), f"file://{tmp_path}/warc")
+    seen = []
+    for name in glob.glob(f"{tmp_path}/warc/*/*.gz"):
+        data = gzip.open(name).read()
+        while data:  # a plain reader goes by the lengths alone
+            head, _, data = data.partition(b"\r\n\r\n")
+            lines = head.decode().split("\r\n")
+            assert lines[0] == "WARC/1.1"
+            fields = dict(x.split(": ", 1) for x in lines[1:])
+            size = int(fields["Content-Length"])
+            payload, data = data[:size], data[size:]
+            assert data.startswith(b"\r\n\r\n")
+            data = data[4:]
+            if fields["WARC-Type"] == "response":
+                assert fields["WARC-Payload-Digest"] == "sha1:" + base64.b32encode(hashlib.sha1(payload).digest()).decode()
+            else:
+                assert size == 0 and "WARC-Refers-To" in fields
+            seen.append(fields["WARC-Record-ID"])
+    assert sorted(seen) == sorted(f"<urn:page:{p}>" for p, _, _ in ROWS)
+    back = {r.page_id: r for r in W.read_archives(spark, path, boundary).where("record_type = 'response'").collect()}
+    assert back[7].payload.decode() == ROWS[6][2] and back[12].payload.decode() == LONG
+    assert back[4].url == "http://c%0D%0AX: y"
+
+
+def test_empty(spark):
+    assert W.deduplicated(spark.createDataFrame([], SCHEMA)).count() == 0
