@@ -61,6 +61,7 @@ COST = 4.0
 TOGETHER = 500
 #: A spaced-out word has so many different letters at least, each alone.
 SINGLES = 3
+SPACED, SPACED_STEP = 8, 2
 #: Words of which a worker remembers margins.
 REMEMBERED = 500_000
 THRESHOLD = 0.3
@@ -84,7 +85,11 @@ def words_of(text: str) -> set[str]:
     """The distinct words of a text in lower case, and its runs of single letters as words."""
     words = set(text.split())
     if sum(len(w) == 1 for w in words) >= SINGLES:
-        words.update("".join(c for c in run if c.isalpha()) for run in _SINGLE.findall(text))
+        for run in _SINGLE.findall(text):
+            word = "".join(c for c in run if c.isalpha())
+            # A long run may be several words: it is read in parts, too.
+            words.add(word)
+            words.update(word[i : i + SPACED] for i in range(0, len(word) - SPACED + 1, SPACED_STEP))
     return words
 
 
