@@ -46,62 +46,24 @@ def _c(col: str | Column) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def _ident(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
-def _quoted(values: tuple[str, ...]) -> str:
-    return ", ".join(f"'{v}'" for v in values)
-
-
-def time_bin_sql(col: str = "violation_time", otherwise: str | None = None) -> str:
-    """SQL text of ``time_bin`` for a named column."""
-    c = _ident(col)
-    whens = " ".join(
-        f"WHEN substring({c}, 1, 2) IN ({_quoted(hours)}) AND substring({c}, 5, 1) = '{mark}' THEN '{name}'"
-        for name, hours, mark in TIME_BINS
-    )
-    tail = "" if otherwise is None else f" ELSE '{otherwise}'"
-    return f"CASE {whens}{tail} END"
-
-
-def season_sql(col: str = "issue_date") -> str:
-    """SQL text of ``season`` for a named column."""
-    c = _ident(col)
-    whens = " ".join(f"WHEN substring({c}, 1, 2) IN ({_quoted(months)}) THEN '{name}'" for name, months in SEASONS)
-    return f"CASE {whens} END"
+def _first_match(rules: list[tuple[Column, str]], otherwise: str | None = None) -> Column:
+    """A searched CASE: the name of the first condition that holds."""
+    expr = F
+    for condition, name in rules:
+        expr = expr.when(condition, F.lit(name))
+    return expr if otherwise is None else expr.otherwise(F.lit(otherwise))
 
 
 def time_bin(col: str | Column = "violation_time", otherwise: str | None = None) -> Column:
-    """Bin name of an ``HHMM[AP]`` time; NULL (or ``otherwise``) if no bin fits.
-
-    A searched CASE over the hour and the mark. For a column name it is one
-    SQL expression (one call into the JVM); for a Column it is built with
-    ``F.when``.
-    """
-    if isinstance(col, str):
-        return F.expr(time_bin_sql(col, otherwise))
-    hour = F.substring(col, 1, 2)
-    mark = F.substring(col, 5, 1)
-    expr = None
-    for name, hours, m in TIME_BINS:
-        cond = hour.isin(*hours) & (mark == F.lit(m))
-        expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
-    if otherwise is not None:
-        expr = expr.otherwise(F.lit(otherwise))
-    return expr
+    """Bin name of an ``HHMM[AP]`` time; NULL (or ``otherwise``) if no bin fits."""
+    hour, mark = F.substring(_c(col), 1, 2), F.substring(_c(col), 5, 1)
+    return _first_match([(hour.isin(*hours) & (mark == m), name) for name, hours, m in TIME_BINS], otherwise)
 
 
 def season(col: str | Column = "issue_date") -> Column:
     """Season of an ``MM/dd/yyyy`` date; NULL if the month is not recognised."""
-    if isinstance(col, str):
-        return F.expr(season_sql(col))
-    month = F.substring(col, 1, 2)
-    expr = None
-    for name, months in SEASONS:
-        cond = month.isin(*months)
-        expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
-    return expr
+    month = F.substring(_c(col), 1, 2)
+    return _first_match([(month.isin(*months), name) for name, months in SEASONS])
 
 
 def issue_year_text(col: str | Column = "issue_date") -> Column:

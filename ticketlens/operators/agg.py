@@ -11,12 +11,13 @@ Scale notes
   k rows (plus ties for dense rank) per group leave each map task.
 * Histograms never collect to the driver. Bins are counted with Spark
   aggregates; empty bins are filled from a per-year map of at most ``nbins``
-  entries and a generated ``sequence`` (no join, no cross join).
+  entries and a generated ``sequence`` (no cross join).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -121,34 +122,33 @@ def histogram(
     is in bin 0. NULLs are left out. All ``nbins`` bins are returned, empty
     ones with ``n = 0``. ``centroid = min + (bin + 0.5) * (max - min) / nbins``.
 
-    ``discrete=True`` suits codes and precincts (few distinct values): one
-    scan counts rows per (by, value); min and max are windows over those
-    counts (one partition holds the distinct values of one ``by`` group), and
-    the counts are binned. ``discrete=False`` suits continuous columns: a
-    first scan finds min and max per group (one row per group, broadcast by
-    AQE when small), a second bins the raw rows; only partial bin counts
-    cross the shuffle.
+    ``discrete=True`` suits codes and precincts (few distinct values): rows
+    are first counted per (by, value), so the rows are scanned once.
+    ``discrete=False`` suits continuous columns, where such a count would have
+    as many rows as the data: rows are scanned twice instead. The answer is
+    the same. Min and max are a two-phase aggregate, one row per group, and
+    meet the values again by a null-safe join that AQE broadcasts by measured
+    size; no task holds the values of a whole group.
 
     Empty bins are filled per group from a map of at most ``nbins`` entries
-    and ``explode(sequence(0, nbins - 1))``: no join, no cross join.
+    and ``explode(sequence(0, nbins - 1))``: no cross join.
     """
     if nbins < 1:
         raise ValueError("nbins must be at least 1")
     by = _cols(by)
     present = df.select(*by, F.col(col).alias("_x")).where(F.col("_x").isNotNull())
     if discrete:
-        per_group = Window.partitionBy(*by)
-        weighted = (
-            present.groupBy(*by, "_x")
-            .agg(F.count(F.lit(1)).alias("_w"))
-            .withColumn("_lo", F.min("_x").over(per_group))
-            .withColumn("_hi", F.max("_x").over(per_group))
-        )
+        weighted = present.groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_w"))
     else:
-        stats = present.groupBy(*by).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
-        # One row per group. No hint: AQE measures the stats stage and
-        # broadcasts it when it is under the threshold, else shuffles.
-        weighted = present.withColumn("_w", F.lit(1).cast("bigint")).join(stats, by)
+        weighted = present.withColumn("_w", F.lit(1).cast("bigint"))
+    groups = {c: f"_by_{i}" for i, c in enumerate(by)}
+    stats = (
+        weighted.groupBy(*by)
+        .agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+        .withColumnsRenamed(groups)
+    )
+    same = [F.col(c).eqNullSafe(F.col(g)) for c, g in groups.items()]
+    weighted = weighted.join(stats, reduce(Column.__and__, same)).drop(*groups.values())
 
     span = F.col("_hi") - F.col("_lo")
     integral = dict(df.dtypes)[col] in ("tinyint", "smallint", "int", "bigint")
@@ -161,7 +161,8 @@ def histogram(
         offset = (F.col("_x") - F.col("_lo")).cast("double") * F.lit(float(nbins))
         parts = [offset.alias("_a"), F.nullif(span.cast("double"), F.lit(0.0)).alias("_b")]
         raw = F.ceil(F.col("_a") / F.col("_b"))
-    bin_expr = F.coalesce(F.greatest(raw - 1, F.lit(0)), F.lit(0)).cast("int")
+    # A double quotient may round to just above nbins for the largest values.
+    bin_expr = F.coalesce(F.least(F.greatest(raw - 1, F.lit(0)), F.lit(nbins - 1)), F.lit(0)).cast("int")
 
     binned = (
         weighted.select(*by, "_lo", "_hi", "_w", *parts)

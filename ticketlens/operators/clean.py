@@ -25,8 +25,13 @@ PROFILE_COLUMNS: tuple[str, ...] = (
 
 
 def issued_in_file_year() -> Column:
-    """True if the issue date's year text equals the file year (the M1 rule)."""
-    return issue_year_text("issue_date") == F.col(YEAR_COL).cast("string")
+    """True if the issue date's year text equals the file year (the M1 rule); false for NULL dates.
+
+    The coalesce also keeps the test a filter: where date and year come from
+    two sides of a join, a bare equality would become a join key, and the date
+    text would be formed in every comparison of its sort.
+    """
+    return F.coalesce(issue_year_text("issue_date") == F.col(YEAR_COL).cast("string"), F.lit(False))
 
 
 def keep_issue_year(
@@ -92,7 +97,7 @@ def missing_address(df: DataFrame) -> DataFrame:
         df.where(F.col("house_number").isNull() | F.col("street_name").isNull())
         .groupBy(YEAR_COL)
         .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.desc("n"))
+        .orderBy(F.desc("n"), YEAR_COL)
     )
 
 

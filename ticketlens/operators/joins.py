@@ -6,9 +6,9 @@
 * ``attach_fines``: left join to a fine schedule (the reference inlined the
   fines in a CASE).
 
-Both broadcast a side whose size is bounded before it is built: top-k keys
-are at most ``k`` rows per year, and the fine schedule is checked against
-``MAX_FINE_ROWS`` when it is made. The big side is never shuffled for them.
+No side is hinted: AQE broadcasts one whose measured size is below
+``spark.sql.autoBroadcastJoinThreshold`` (a top-k key list or a fine schedule as
+a rule is) and shuffles both otherwise.
 """
 
 from __future__ import annotations
@@ -19,9 +19,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A fine schedule lists violation codes; a city has on the order of a hundred.
-MAX_FINE_ROWS = 10_000
-
 FINE_SCHEMA = T.StructType(
     [T.StructField("violation_code", T.IntegerType(), False), T.StructField("fine", T.IntegerType(), True)]
 )
@@ -30,35 +27,27 @@ FINE_SCHEMA = T.StructType(
 def semi_join_keys(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose ``on`` values appear in ``keys`` (LEFT SEMI).
 
-    ``keys`` must be a bounded key list such as a per-year top-k; it is
-    broadcast on that bound. NULL keys never match.
-
-    Catalyst pushes a semi join below an aggregate on the same keys, which
-    would rescan the raw rows when ``df`` is a grouped count. Use
-    ``restrict_to_keys`` for that case.
-    """
-    return df.join(F.broadcast(keys.select(*on)), list(on), "left_semi")
-
-
-def restrict_to_keys(counts: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Semi join of an aggregated frame to a bounded key list, kept above the aggregate.
-
-    Written as an inner join on the distinct keys (same rows as a semi join:
-    each row matches at most one key), so the optimizer leaves it where it
-    is: on the small grouped counts, after the one scan of the raw rows,
-    instead of pushing it below the aggregate into a second scan.
+    NULL keys never match. Catalyst pushes a semi join below an aggregate on
+    the same keys, which would rescan the raw rows when ``df`` is a grouped
+    count; ``agg.within_top_groups`` keeps such a filter above it.
     """
-    return counts.join(F.broadcast(keys.select(*on).distinct()), list(on), "inner")
+    return df.join(keys.select(*on), list(on), "left_semi")
 
 
 def fine_table(spark: SparkSession, fines: Mapping[int, int]) -> DataFrame:
-    """Fine schedule ``violation_code -> fine`` as a DataFrame (size checked)."""
-    if len(fines) > MAX_FINE_ROWS:
-        raise ValueError(f"fine schedule has {len(fines)} rows, more than {MAX_FINE_ROWS}")
+    """Fine schedule ``violation_code -> fine`` as a DataFrame."""
     rows = [(int(code), None if fine is None else int(fine)) for code, fine in sorted(fines.items())]
     return spark.createDataFrame(rows, FINE_SCHEMA)
 
 
 def attach_fines(df: DataFrame, fines: DataFrame) -> DataFrame:
-    """Left join the schedule on ``violation_code``; codes without a fine get NULL."""
-    return df.join(F.broadcast(fines), "violation_code", "left")
+    """Left join the schedule on ``violation_code``; codes without a fine get NULL.
+
+    A code that is listed twice with one fine counts once; with two fines the
+    query fails, as neither is right.
+    """
+    several = F.raise_error(F.concat(F.lit("two fines for code "), F.col("violation_code").cast("string"))).cast("int")
+    one = fines.groupBy("violation_code").agg(
+        F.when(F.count_distinct("fine") > 1, several).otherwise(F.max("fine")).alias("fine")
+    )
+    return df.join(one, "violation_code", "left")

@@ -46,10 +46,11 @@ def union_years(frames: Sequence[DataFrame]) -> DataFrame:
     """Row bind of yearly tables (UNION ALL by name), counted per year and in
     total (``file_year`` NULL): ``file_year, n``.
 
-    The rollup adds the total in the same aggregation (no second pass).
+    Rows are counted per year; the rollup that adds the total runs on those
+    counts, so no row is doubled for it.
     """
-    bound = bind_years(frames)
-    return bound.rollup(Y).agg(F.count(F.lit(1)).alias("n")).orderBy(F.col(Y).asc_nulls_last())
+    counts = counts_by(bind_years(frames), Y)
+    return counts.rollup(Y).agg(F.sum("n").alias("n")).orderBy(F.col(Y).asc_nulls_last())
 
 
 def clean_counts(clean: DataFrame) -> DataFrame:
@@ -59,7 +60,7 @@ def clean_counts(clean: DataFrame) -> DataFrame:
 
 def ticket_count_by_year(clean: DataFrame) -> DataFrame:
     """Tickets per year, counting summons numbers: ``file_year, n``."""
-    return counts_by(clean, Y, "summons_number").orderBy(F.desc("n"))
+    return counts_by(clean, Y, "summons_number").orderBy(F.desc("n"), Y)
 
 
 def unique_states_by_year(clean: DataFrame, excluded: str = "99") -> DataFrame:
@@ -124,11 +125,12 @@ def codes_in_top_precincts(clean: DataFrame, n_precincts: int = 3, k: int = 10)
 
 def code_overlap(clean: DataFrame, n_precincts: int = 3, k: int = 10) -> DataFrame:
     """For each code among the top pairs, in how many of the top precincts it
-    appears: ``file_year, violation_code, n_precincts``."""
+    appears (its pairs are distinct, so they are counted): ``file_year,
+    violation_code, n_precincts``."""
     return (
         _top_pairs(clean, n_precincts, k)
         .groupBy(Y, "violation_code")
-        .agg(F.count_distinct("issuer_precinct").alias("n_precincts"))
+        .agg(F.count("issuer_precinct").alias("n_precincts"))
         .orderBy(Y, F.desc("n_precincts"), F.col("violation_code").asc_nulls_last())
     )
 
@@ -163,7 +165,7 @@ def time_bins_of_top_codes(clean: DataFrame, k: int = 3) -> DataFrame:
         within_top_groups(by_code_bin, Y, "violation_code", "n", k)
         .groupBy(Y, "time_bin")
         .agg(F.sum("n").cast("bigint").alias("n"))
-        .orderBy(Y, F.desc("n"))
+        .orderBy(Y, F.desc("n"), "time_bin")
     )
 
 
@@ -176,7 +178,7 @@ def season_counts(clean: DataFrame) -> DataFrame:
         .where(F.col("season").isNotNull())
         .groupBy(Y, "season")
         .agg(F.count("summons_number").alias("n"))
-        .orderBy(Y, F.desc("n"))
+        .orderBy(Y, F.desc("n"), "season")
     )
 
 
@@ -207,7 +209,7 @@ def revenue_top3(clean: DataFrame, fines: Mapping[int, int], k: int = 3) -> Data
 
     The k codes are picked by count first, then ordered by amount.
     """
-    return _revenue(clean, fines, k).orderBy(Y, F.col("amount").desc_nulls_last())
+    return _revenue(clean, fines, k).orderBy(Y, F.col("amount").desc_nulls_last(), "violation_code")
 
 
 def _revenue(clean: DataFrame, fines: Mapping[int, int], k: int) -> DataFrame:

@@ -1,35 +1,32 @@
 """Independent SQL for every registered query, runnable by DuckDB.
 
 Written as the reference writes it: derived tables, CASE bins, window ranks
-over aggregates, an EXISTS filter for computed keys, a CASE for fines. Only
-the citation-table derivation is shared with ``sources.fixture`` (it is the
-data, not the query). Types are cast to what Spark returns (INTEGER for
+over aggregates, an EXISTS filter for computed keys, a CASE for fines.
+Nothing is imported from the code under test but the names of queries: bins, months, pattern
+and fines are spelt out here once more. Types are cast to what Spark returns (INTEGER for
 years, ranks and bins; BIGINT for counts; DOUBLE for centroids).
 """
 
 from __future__ import annotations
 
-from ..functions.exprs import LOOSE_STATE_PATTERN, SEASONS, TIME_BINS
-from ..sources.fixture import FIXTURE_FINES, FIXTURE_YEARS
 from .registry import HIST_COLUMNS, TOP5_KEYS
 
-_YEARS = ", ".join(str(y) for y in FIXTURE_YEARS)
-
-TICKETS_SQL = f"""
+TICKETS_SQL = """
 tickets AS (
   SELECT
-    CAST(l_orderkey * 1000000 + l_partkey * 10 + l_linenumber AS BIGINT) AS summons_number,
+    CAST(CASE WHEN l_partkey % 20 = 0 THEN NULL ELSE l_orderkey * 1000000 + l_partkey * 10 + l_linenumber END AS BIGINT) AS summons_number,
     CAST(year(o_orderdate) AS INTEGER) AS file_year,
-    strftime(l_shipdate, '%m/%d/%Y') AS issue_date,
+    CASE WHEN l_orderkey % 149 = 0 THEN NULL ELSE strftime(l_shipdate, '%m/%d/%Y') END AS issue_date,
     CASE WHEN l_orderkey % 97 = 0 THEN NULL ELSE
-      lpad(CAST(CASE WHEN h >= 13 THEN h - 12 WHEN h = 0 AND l_linenumber % 2 = 0 THEN 12 ELSE h END AS VARCHAR), 2, '0')
+      lpad(CAST(CASE WHEN h >= 13 THEN h - 12 WHEN h = 0 AND l_linenumber % 2 = 0 THEN 12
+                      WHEN h = 12 AND l_linenumber % 2 = 1 THEN 0 ELSE h END AS VARCHAR), 2, '0')
       || lpad(CAST((l_partkey * 11 + l_linenumber) % 60 AS VARCHAR), 2, '0')
       || CASE WHEN h >= 12 THEN 'P' ELSE 'A' END
     END AS violation_time,
     CAST(CASE WHEN l_partkey % 211 = 0 THEN NULL ELSE (l_partkey % 10) * l_linenumber + 1 END AS INTEGER) AS violation_code,
-    CAST(l_suppkey % 25 AS INTEGER) AS violation_precinct,
+    CAST(CASE WHEN l_suppkey % 25 BETWEEN 9 AND 14 THEN 8 ELSE l_suppkey % 25 END AS INTEGER) AS violation_precinct,
     CAST(CASE WHEN l_orderkey % 16 = 0 THEN 0 ELSE l_suppkey % 25 END AS INTEGER) AS issuer_precinct,
-    CASE WHEN c_nationkey = 24 THEN '99' WHEN c_nationkey = 23 THEN '9A'
+    CASE WHEN l_orderkey % 131 = 0 THEN NULL WHEN c_nationkey = 24 THEN '99' WHEN c_nationkey = 23 THEN '9A' WHEN c_nationkey = 22 THEN '#1'
          ELSE chr(CAST(65 + c_nationkey AS INTEGER)) || 'Y' END AS registration_state,
     p_type AS vehicle_body_type,
     p_brand AS vehicle_make,
@@ -39,7 +36,6 @@ tickets AS (
   JOIN orders ON l_orderkey = o_orderkey
   JOIN customer ON o_custkey = c_custkey
   JOIN part ON l_partkey = p_partkey
-  WHERE year(o_orderdate) IN ({_YEARS})
 ),
 clean AS (
   SELECT * FROM tickets WHERE substring(issue_date, 7, 4) = CAST(file_year AS VARCHAR)
@@ -51,24 +47,24 @@ def _with(body: str, *ctes: str) -> str:
     return f"WITH {TICKETS_SQL.strip()}{extra}\n{body.strip()}\n"
 
 
-def _quoted(values) -> str:
-    return ", ".join(f"'{v}'" for v in values)
-
+def _time_bin_case(otherwise: str = "") -> str:
+    return f"""CASE
+    WHEN violation_time[5:5] = 'A' AND violation_time[1:2] BETWEEN '00' AND '03' THEN 'Early_Morning_AM'
+    WHEN violation_time[5:5] = 'A' AND violation_time[1:2] BETWEEN '04' AND '07' THEN 'Morning_AM'
+    WHEN violation_time[5:5] = 'A' AND violation_time[1:2] BETWEEN '08' AND '11' THEN 'Before_Noon_AM'
+    WHEN violation_time[5:5] = 'P' AND (violation_time[1:2] = '12' OR violation_time[1:2] BETWEEN '01' AND '03') THEN 'After_Noon_PM'
+    WHEN violation_time[5:5] = 'P' AND violation_time[1:2] BETWEEN '04' AND '07' THEN 'Evening_PM'
+    WHEN violation_time[5:5] = 'P' AND violation_time[1:2] BETWEEN '08' AND '11' THEN 'Night_PM'
+    {otherwise}
+  END"""
 
-def _time_bin_case(col: str = "violation_time", otherwise: str | None = None) -> str:
-    whens = "\n".join(
-        f"    WHEN substring({col}, 1, 2) IN ({_quoted(hours)}) AND substring({col}, 5, 1) = '{mark}' THEN '{name}'"
-        for name, hours, mark in TIME_BINS
-    )
-    tail = f"\n    ELSE '{otherwise}'" if otherwise is not None else ""
-    return f"CASE\n{whens}{tail}\n  END"
 
-
-def _season_case(col: str = "issue_date") -> str:
-    whens = "\n".join(
-        f"    WHEN substring({col}, 1, 2) IN ({_quoted(months)}) THEN '{name}'" for name, months in SEASONS
-    )
-    return f"CASE\n{whens}\n  END"
+_SEASON_CASE = """CASE
+    WHEN issue_date[1:2] BETWEEN '03' AND '05' THEN 'Spring'
+    WHEN issue_date[1:2] BETWEEN '06' AND '08' THEN 'Summer'
+    WHEN issue_date[1:2] BETWEEN '09' AND '11' THEN 'Fall'
+    WHEN issue_date[1:2] IN ('12', '01', '02') THEN 'Winter'
+  END"""
 
 
 def _top_k(key: str, k: int) -> str:
@@ -131,9 +127,9 @@ _TOP_PAIRS_CTES = (
 )""",
 )
 
-_FINE_CASE = "CASE " + " ".join(
-    f"WHEN violation_code = {code} THEN cnt * {fine}" for code, fine in sorted(FIXTURE_FINES.items())
-) + " END"
+_FINE_CASE = (
+    "CASE violation_code WHEN 1 THEN cnt * 55 WHEN 7 THEN cnt * 115 WHEN 19 THEN cnt * 50 WHEN 25 THEN cnt * 50 END"
+)
 
 _REVENUE_CTE = f"""revenue AS (
   SELECT file_year, violation_code, cnt, {_FINE_CASE} AS amount FROM (
@@ -161,6 +157,18 @@ SELECT 'clean' AS stage, count(*) AS n FROM clean
 SELECT file_year, count(*) AS n FROM tickets GROUP BY file_year
 UNION ALL
 SELECT CAST(NULL AS INTEGER) AS file_year, count(*) AS n FROM tickets
+"""
+    )
+    q["csv_ingest"] = _with(
+        """
+SELECT file_year, count(*) AS n,
+  count(*) - count(summons_number) AS null_summons_number, count(*) - count(registration_state) AS null_registration_state,
+  count(*) - count(issue_date) AS null_issue_date, count(*) - count(violation_time) AS null_violation_time,
+  count(*) - count(house_number) AS null_house_number, count(*) - count(street_name) AS null_street_name,
+  CAST(sum(summons_number) AS BIGINT) AS sum_summons, CAST(sum(violation_code) AS BIGINT) AS sum_code,
+  CAST(sum(violation_precinct) AS BIGINT) AS sum_precinct, CAST(sum(issuer_precinct) AS BIGINT) AS sum_issuer,
+  count(DISTINCT vehicle_make) AS n_makes, count(DISTINCT vehicle_body_type) AS n_body_types
+FROM tickets GROUP BY file_year
 """
     )
     q["issue_years"] = _with(
@@ -174,7 +182,9 @@ SELECT CAST(NULL AS INTEGER) AS file_year, count(*) AS n FROM tickets
         )
     )
     q["invalid_states"] = _with(
-        f"SELECT DISTINCT registration_state FROM clean WHERE regexp_matches(registration_state, '{LOOSE_STATE_PATTERN}')"
+        "SELECT DISTINCT registration_state FROM clean"
+        " WHERE registration_state[1:1] NOT BETWEEN 'A' AND 'Z' AND registration_state[2:2] NOT BETWEEN 'A' AND 'Z'"
+        " AND length(registration_state) >= 2"
     )
     for name, col in HIST_COLUMNS.items():
         q[name] = _hist(col)
@@ -226,7 +236,7 @@ SELECT file_year, time_bin, violation_code, n, CAST(rk AS INTEGER) AS rk FROM (
     q["time_bins_of_top_codes"] = _with(
         f"""
 SELECT file_year, time_bin, count(violation_code) AS n FROM (
-  SELECT file_year, violation_code, {_time_bin_case(otherwise='')} AS time_bin
+  SELECT file_year, violation_code, {_time_bin_case("ELSE ''")} AS time_bin
   FROM clean c
   WHERE EXISTS (SELECT 1 FROM top_codes t WHERE t.file_year = c.file_year AND t.violation_code = c.violation_code)
 ) x GROUP BY file_year, time_bin
@@ -243,7 +253,7 @@ SELECT file_year, time_bin, count(violation_code) AS n FROM (
     q["season_counts"] = _with(
         f"""
 SELECT file_year, season, count(summons_number) AS n FROM (
-  SELECT file_year, summons_number, {_season_case()} AS season FROM clean
+  SELECT file_year, summons_number, {_SEASON_CASE} AS season FROM clean
 ) t WHERE season IS NOT NULL GROUP BY file_year, season
 """
     )
@@ -252,7 +262,7 @@ SELECT file_year, season, count(summons_number) AS n FROM (
 SELECT file_year, season, violation_code, n, CAST(rk AS INTEGER) AS rk FROM (
   SELECT file_year, season, violation_code, count(summons_number) AS n,
          dense_rank() OVER (PARTITION BY file_year, season ORDER BY count(violation_code) DESC) AS rk
-  FROM (SELECT file_year, summons_number, violation_code, {_season_case()} AS season FROM clean) t
+  FROM (SELECT file_year, summons_number, violation_code, {_SEASON_CASE} AS season FROM clean) t
   GROUP BY file_year, season, violation_code
 ) t1 WHERE season IS NOT NULL AND rk <= 3
 """

@@ -4,8 +4,9 @@ Each query reads the driver tables in ``sf_dir`` whole: the citation table is
 derived from them by Spark (``sources.fixture``) and written once per
 application as partitioned parquet in the shared checkpoint folder
 (``sources.store``), partitioned by year and by the year-filter flag; a
-question on clean rows reads only the clean partitions. Each returns the
-lazy result. Nothing is collected here.
+question on clean rows reads only the clean partitions. Each returns a lazy
+result over the stored table; the first of an application runs the job that
+writes it.
 """
 
 from __future__ import annotations
@@ -17,7 +18,8 @@ from pyspark.sql import functions as F
 
 from ..operators.clean import invalid_states, issue_years, missing_address, null_profile
 from ..schema import YEAR_COL
-from ..sources.fixture import FIXTURE_FINES, FIXTURE_YEARS, stored_clean, stored_tickets
+from ..sources.fixture import FIXTURE_FINES, fixture_years, stored_clean, stored_tickets
+from ..sources.roundtrip import csv_ingest
 from . import analyses as A
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,11 +35,12 @@ def _on_clean(fn: Callable[[DataFrame], DataFrame]) -> Query:
 
 def _yearly_files(fn: Callable[[list[DataFrame]], DataFrame]) -> Query:
     """Hand ``fn`` one table per fiscal year: the year's folders of the stored
-    table (partition pruning), as the reference holds one table per file."""
+    table (partition pruning), as the reference holds one table per file. The
+    years are those that the ingest wrote."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         t = stored_tickets(spark, sf_dir)
-        return fn([t.where(F.col(YEAR_COL) == F.lit(y)) for y in FIXTURE_YEARS])
+        return fn([t.where(F.col(YEAR_COL) == F.lit(y)) for y in fixture_years(spark, sf_dir)])
 
     return run
 
@@ -63,6 +66,7 @@ def queries() -> dict[str, Query]:
     q: dict[str, Query] = {
         "row_counts": _on_tickets(A.row_counts),
         "union_years": _yearly_files(A.union_years),
+        "csv_ingest": csv_ingest,
         "issue_years": _on_tickets(issue_years),
         "clean_counts": _on_clean(A.clean_counts),
         "null_profile": _on_clean(null_profile),

@@ -2,7 +2,7 @@
 
 Library code never builds a session; it takes the caller's. The only shared
 location it uses is the folder named by ``spark.checkpoint.dir``, read from
-the session (``shared_dir``). ``local_session`` sets one in a fresh
+the session (``sources.store.ensure_shared_dir``). ``local_session`` sets one in a fresh
 temporary folder only when the setting is absent, as in tests.
 """
 
@@ -16,14 +16,6 @@ from pyspark.sql import SparkSession
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; raise if none is configured."""
-    value = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
-    if not value:
-        raise RuntimeError(f"{CHECKPOINT_KEY} is not set; the job needs a shared folder for lineage cuts")
-    return value.rstrip("/")
-
-
 def local_session(
     cores: int | str = "*",
     shuffle_partitions: int = 8,

@@ -1,7 +1,8 @@
 """Yearly citation CSV files -> one conformed citation table.
 
-* ``read_year_csv`` reads one fiscal-year file (or folder of parts) with its
-  header. Without ``infer_schema`` no pass over the data is made to plan it:
+* ``read_year_csv`` reads one fiscal year with its header: a file, a folder of
+  parts that share a header, or a list of parts with headers of their own. Parts of a folder
+  whose headers differ are an error, never columns in the wrong place. Without ``infer_schema`` no pass over the data is made to plan it:
   every column is text, and only the columns the analyses use are selected
   and typed (``try_cast``: a malformed number becomes NULL instead of failing
   the job). Spark's CSV reader then parses only those columns.
@@ -15,7 +16,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,16 +32,50 @@ def _quote(name: str) -> str:
 
 def read_year_csv(
     spark: SparkSession,
-    path: str,
+    path: str | Sequence[str],
     file_year: int,
     columns: str = "used",
     infer_schema: bool = False,
 ) -> DataFrame:
-    """One fiscal-year CSV file (header row, empty cell = NULL), conformed."""
-    reader = spark.read.option("header", True).option("mode", "PERMISSIVE")
+    """One fiscal year of CSV (header row, empty cell = NULL), conformed.
+
+    A list of paths is read part by part: parts with one header together, and
+    all bound by name, so their columns may differ in order and number.
+    """
+    # enforceSchema=False: each file's header is checked against the columns
+    # it is read with, and a file with other columns, or in another order, fails the job.
+    reader = spark.read.option("header", True).option("mode", "PERMISSIVE").option("enforceSchema", False)
     if infer_schema:
         reader = reader.option("inferSchema", True)
-    return conform(reader.csv(path), file_year, columns=columns)
+    if isinstance(path, str):
+        return conform(reader.csv(path), file_year, columns=columns)
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for part in path:
+        by_header.setdefault(tuple(spark.read.option("header", True).csv(part).columns), []).append(part)
+    parts = [conform(reader.csv(same), file_year, columns=columns) for same in by_header.values()]
+    if not parts:
+        raise ValueError(f"no parts for {file_year}")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=columns == "all"), parts)
+
+
+def unreadable(raw: DataFrame, file_year: int) -> DataFrame:
+    """What typing loses: cells per typed column that hold text but no value of its type.
+
+    ``raw`` has the file's own columns as text. ``column_name, file_year, n``,
+    zero counts absent; one scan of the typed columns.
+    """
+    typed = {src: (name, t) for src, (name, t) in USED_COLUMNS.items() if t.simpleString() != "string"}
+    lost = raw.agg(
+        *[
+            F.count_if(F.col(_quote(src)).isNotNull() & F.col(_quote(src)).try_cast(t).isNull()).alias(name)
+            for src, (name, t) in typed.items()
+        ]
+    )
+    return (
+        lost.unpivot([], [name for name, _ in typed.values()], "column_name", "n")
+        .where(F.col("n") > 0)
+        .select("column_name", F.lit(int(file_year)).cast("int").alias(YEAR_COL), "n")
+    )
 
 
 def conform(raw: DataFrame, file_year: int, columns: str = "used") -> DataFrame:
@@ -94,9 +129,12 @@ def union_years(frames: Iterable[DataFrame]) -> DataFrame:
 
 
 def read_years(
-    spark: SparkSession, paths: Mapping[int, str], columns: str = "used", infer_schema: bool = False
+    spark: SparkSession,
+    paths: Mapping[int, str | Sequence[str]],
+    columns: str = "used",
+    infer_schema: bool = False,
 ) -> DataFrame:
-    """Master citation table of several fiscal-year files: ``{year: path}``."""
+    """Master citation table of several fiscal years: ``{year: path or list of parts}``."""
     return union_years(
         read_year_csv(spark, path, year, columns=columns, infer_schema=infer_schema)
         for year, path in sorted(paths.items())
@@ -104,11 +142,23 @@ def read_years(
 
 
 def store_years(
-    spark: SparkSession, paths: Mapping[int, str], columns: str = "used", infer_schema: bool = False
+    spark: SparkSession,
+    paths: Mapping[int, str | Sequence[str]],
+    columns: str = "used",
+    infer_schema: bool = False,
+    target: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Ingest yearly files once into the shared folder: ``(all rows, clean rows)``."""
-    key = "csv:" + ",".join(f"{y}={p}" for y, p in sorted(paths.items()))
-    return stored_citations(spark, key, lambda: read_years(spark, paths, columns, infer_schema))
+    """Ingest yearly files once: ``(all rows, clean rows)``. The first call runs a job.
+
+    With ``target`` the table is written there and later applications read
+    it; without, it is this application's. Each task reads one year, so rows
+    are written as they come, without a shuffle.
+    """
+    listed = {y: p if isinstance(p, str) else tuple(p) for y, p in sorted(paths.items())}
+    key = f"csv:{columns}:{infer_schema}:{listed}"
+    return stored_citations(
+        spark, key, lambda: read_years(spark, paths, columns, infer_schema), path=target, mixed=False
+    )
 
 
 def schema_drift(frames: Mapping[int, DataFrame]) -> DataFrame:

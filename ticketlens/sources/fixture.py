@@ -1,19 +1,20 @@
 """Citation table derived from the driver's TPC-H-like tables.
 
-The real input is three fiscal-year CSV files (see ``sources.csv``). The test
+The real input is a CSV file per fiscal year (see ``sources.csv``). The test
 and bench data are parquet tables ``lineitem orders customer part``; this
 module turns them into a citation table with the same columns and the same
 kinds of dirt (NULLs, bad states, odd times, tickets issued outside the file
-year), by the rules of FIXTURES.md §F2.
-
-Plan shape: the order-date filter is a range on the raw column, so it reaches
-the parquet scan as a pushed filter; each table is pruned to the columns the
-rules read; orders meet customer first (both far smaller than lineitem), so
-lineitem is joined once on the order key and once on the part key. The
-lineitem join is a sort-merge join on the order key (AQE splits skewed
-keys); the customer and part joins are left to Catalyst/AQE, which
-broadcast a side only when its size is under
-``spark.sql.autoBroadcastJoinThreshold`` and shuffle otherwise.
+year), by the rules of FIXTURES.md §F2. Every order year is one fiscal year:
+no row of the join is left out.
+
+Plan shape: each table is pruned to the columns the rules read; orders meet
+customer first (both far smaller than lineitem), so lineitem is joined once
+on the order key and once on the part key. All text is formed below the
+joins from lineitem's own columns, where the rule allows it. The lineitem
+join is a sort-merge join on the order key (AQE splits skewed keys); the
+customer and part joins are left to Catalyst/AQE, which broadcast a side only
+when its size is under ``spark.sql.autoBroadcastJoinThreshold`` and shuffle
+otherwise.
 """
 
 from __future__ import annotations
@@ -22,11 +23,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schema import TICKET_COLUMNS, YEAR_COL
-from .store import stored_citations
+from .store import stored_citations, stored_years
 
 # --- Fixed values -----------------------------------------------------------
-# The three order years that play the three fiscal-year files.
-FIXTURE_YEARS: tuple[int, ...] = (1995, 1996, 1997)
 # Violation fines for the fixture's codes (code 13, a top code, is left out on
 # purpose so that its amount is NULL).
 FIXTURE_FINES: dict[int, int] = {1: 55, 7: 115, 19: 50, 25: 50}
@@ -47,66 +46,71 @@ def stored_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored_citations(spark, f"tickets:{sf_dir.rstrip('/')}", lambda: tickets(spark, sf_dir))[1]
 
 
-def tickets(spark: SparkSession, sf_dir: str, years: tuple[int, ...] = FIXTURE_YEARS) -> DataFrame:
-    """Master citation table (all three "files" bound), narrow build schema."""
-    lo, hi = min(years), max(years) + 1
-    orders = (
-        _table(spark, sf_dir, "orders")
-        .select("o_orderkey", "o_custkey", "o_orderdate")
-        .where(
-            (F.col("o_orderdate") >= F.expr(f"TIMESTAMP_NTZ '{lo}-01-01 00:00:00'"))
-            & (F.col("o_orderdate") < F.expr(f"TIMESTAMP_NTZ '{hi}-01-01 00:00:00'"))
-        )
-    )
-    if len(years) != hi - lo:
-        orders = orders.where(F.year("o_orderdate").isin(*years))
+def fixture_years(spark: SparkSession, sf_dir: str) -> list[int]:
+    """The fiscal years that the ingest wrote, in order."""
+    return stored_years(spark, f"tickets:{sf_dir.rstrip('/')}")
+
+
+def tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Master citation table (all years' "files" bound), narrow build schema."""
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customer = _table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     part = _table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_brand")
     lineitem = _table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate"
     )
 
-    order_nation = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select(
-        "o_orderkey", F.year("o_orderdate").cast("int").alias(YEAR_COL), "c_nationkey"
-    )
-    # The lineitem join is the big one: keep it a sort-merge join on the order
-    # key at every size. (Without column statistics Catalyst sizes an inner
-    # join as the product of its inputs, so it would otherwise broadcast
-    # lineitem itself whenever the file is under the threshold.)
-    rows = lineitem.join(order_nation.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")).join(
-        part, F.col("l_partkey") == F.col("p_partkey")
-    )
-
     ok, pk, sk, ln = (F.col(c) for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
     h = (ok * 7 + pk * 5 + ln) % 24
-    hour = F.when(h >= 13, h - 12).when((h == 0) & (ln % 2 == 0), F.lit(12)).otherwise(h)
+    # Hour 12 comes as "12" or "00": 12xxA and 00xxP fall in no bin.
+    hour = (
+        F.when(h >= 13, h - 12)
+        .when((h == 0) & (ln % 2 == 0), F.lit(12))
+        .when((h == 12) & (ln % 2 == 1), F.lit(0))
+        .otherwise(h)
+    )
     minute = (pk * 11 + ln) % 60
     mark = F.when(h >= 12, F.lit("P")).otherwise(F.lit("A"))
     hhmm = F.concat(
         F.lpad(hour.cast("string"), 2, "0"), F.lpad(minute.cast("string"), 2, "0"), mark
     )
-    nation = F.col("c_nationkey")
-
-    return rows.select(
-        (ok * 1000000 + pk * 10 + ln).cast("bigint").alias("summons_number"),
-        F.col(YEAR_COL),
-        F.date_format("l_shipdate", "MM/dd/yyyy").alias("issue_date"),
+    precinct = sk % 25
+    lines = lineitem.select(
+        "l_orderkey",
+        "l_partkey",
+        F.when(pk % 20 == 0, F.lit(None)).otherwise(ok * 1000000 + pk * 10 + ln).cast("bigint").alias("summons_number"),
+        F.when(ok % 149 == 0, F.lit(None).cast("string"))
+        .otherwise(F.date_format("l_shipdate", "MM/dd/yyyy"))
+        .alias("issue_date"),
         F.when(ok % 97 == 0, F.lit(None).cast("string")).otherwise(hhmm).alias("violation_time"),
-        F.when(pk % 211 == 0, F.lit(None)).otherwise((pk % 10) * ln + 1).cast("int").alias(
-            "violation_code"
-        ),
-        (sk % 25).cast("int").alias("violation_precinct"),
-        F.when(ok % 16 == 0, F.lit(0)).otherwise(sk % 25).cast("int").alias("issuer_precinct"),
-        F.when(nation == 24, F.lit("99"))
+        F.when(pk % 211 == 0, F.lit(None)).otherwise((pk % 10) * ln + 1).cast("int").alias("violation_code"),
+        F.when(precinct.between(9, 14), F.lit(8)).otherwise(precinct).cast("int").alias("violation_precinct"),
+        F.when(ok % 16 == 0, F.lit(0)).otherwise(precinct).cast("int").alias("issuer_precinct"),
+        F.when(ok % 5 == 0, F.lit(None).cast("string")).otherwise(pk.cast("string")).alias("house_number"),
+    )
+
+    nation = F.col("c_nationkey")
+    state = (
+        F.when(F.col("o_orderkey") % 131 == 0, F.lit(None).cast("string"))
+        .when(nation == 24, F.lit("99"))
         .when(nation == 23, F.lit("9A"))
+        .when(nation == 22, F.lit("#1"))
         .otherwise(F.concat(F.char(F.lit(65) + nation), F.lit("Y")))
-        .alias("registration_state"),
-        F.col("p_type").alias("vehicle_body_type"),
-        F.col("p_brand").alias("vehicle_make"),
-        F.when(ok % 5 == 0, F.lit(None).cast("string")).otherwise(pk.cast("string")).alias(
-            "house_number"
-        ),
-        F.when(pk % 17 == 0, F.lit(None).cast("string")).otherwise(F.col("p_name")).alias(
-            "street_name"
-        ),
+    )
+    order_nation = orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select(
+        "o_orderkey", F.year("o_orderdate").cast("int").alias(YEAR_COL), state.alias("registration_state")
+    )
+    # The lineitem join is the big one: keep it a sort-merge join on the order
+    # key at every size. (Without column statistics Catalyst sizes an inner
+    # join as the product of its inputs, so it would otherwise broadcast
+    # lineitem itself whenever the file is under the threshold.)
+    rows = lines.join(order_nation.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey")).join(
+        part, F.col("l_partkey") == F.col("p_partkey")
+    )
+    return rows.withColumns(
+        {
+            "vehicle_body_type": F.col("p_type"),
+            "vehicle_make": F.col("p_brand"),
+            "street_name": F.when(F.col("l_partkey") % 17 == 0, F.lit(None).cast("string")).otherwise(F.col("p_name")),
+        }
     ).select(*TICKET_COLUMNS)

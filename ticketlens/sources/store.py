@@ -2,17 +2,20 @@
 
 Building the citation table is the expensive step (CSV parsing for the real
 files, a four-table join for the fixture). The analyses then read a narrow,
-columnar table. ``stored`` writes a built DataFrame once per Spark
-application to the shared folder named by ``spark.checkpoint.dir``,
-partitioned by ``file_year``, and hands back a scan of it. The write also
-cuts the lineage: a lost executor costs a re-read of parquet files, not a
-re-run of the join.
-
-Files land under ``<checkpoint dir>/ticketlens/<name>-<uuid>``. Rows are
-rebalanced on the partition columns before the write, with AQE splitting
-large folders into advisory-size tasks (never a whole year in one task). ``stored_citations`` adds a
-second partition level for the year filter, so "clean rows" is partition
-pruning.
+columnar table. ``stored`` **runs a job**: it writes a built DataFrame as
+parquet and hands back a scan of it. The write also cuts the lineage: a lost
+executor costs a re-read of parquet files, not a re-run of the join.
+
+* With ``path`` the table is durable: the first application writes it there,
+  later ones read it. The caller names a new path for new source files.
+* Without ``path`` it belongs to this application: a folder below the one
+  that ``spark.checkpoint.dir`` names, which ``forget`` removes.
+
+Rows whose tasks hold many years are rebalanced on the partition columns
+before the write (``mixed=True``), with AQE splitting large folders into
+advisory-size tasks. Where each task reads rows of one year, as with a file
+per year, they are written as they come, without a shuffle. ``stored_citations`` adds a second partition level
+for the year filter, so "clean rows" is partition pruning.
 """
 
 from __future__ import annotations
@@ -21,22 +24,31 @@ import re
 import tempfile
 import threading
 import uuid
+from collections import defaultdict
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schema import YEAR_COL
 from ..session import CHECKPOINT_KEY
 
 _LOCK = threading.RLock()
+_KEY_LOCKS: dict[tuple[str, str], threading.RLock] = defaultdict(threading.RLock)
 # (application id, name) -> scan of the written table. Holding the scan keeps
 # its file listing, so later queries skip listing and footer reads.
 _STORED: dict[tuple[str, str], DataFrame] = {}
 _VIEWS: dict[tuple[str, str], tuple[DataFrame, DataFrame]] = {}
-_LOCAL_DIRS: dict[str, str] = {}
+_YEARS: dict[tuple[str, str], list[int]] = {}
+_OWN_PATHS: dict[tuple[str, str], str] = {}
+_DIRS: dict[str, str] = {}
+
+IN_YEAR_COL = "in_file_year"
+MAX_RECORDS_PER_FILE = 10_000_000
 
 
 def _app_id(spark: SparkSession) -> str:
@@ -52,30 +64,45 @@ def _context(spark: SparkSession):
         return None
 
 
+def _lock_of(key: tuple[str, str]) -> threading.RLock:
+    """One lock for each table, so that ingests of different tables don't wait for each other."""
+    with _LOCK:
+        return _KEY_LOCKS[key]
+
+
 def ensure_shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``.
+    """The folder of ``spark.checkpoint.dir``, the same at every call.
 
     If the setting is absent and the master is local (tests, a laptop), a
     fresh temporary folder is set. On a cluster an absent setting is an
     error: a machine-local folder would not survive a lost executor.
     """
     sc = _context(spark)
-    current = (sc.getCheckpointDir() if sc is not None else None) or spark.conf.get(CHECKPOINT_KEY, None)
-    if current:
+    app = _app_id(spark) if sc is None or hasattr(sc, "applicationId") else None
+    with _LOCK:
+        if app in _DIRS:
+            return _DIRS[app]
+        current = spark.conf.get(CHECKPOINT_KEY, None) or (sc.getCheckpointDir() if sc is not None else None)
+        if not current:
+            master = sc.master if sc is not None else (spark.conf.get("spark.master", None) or "")
+            if not master.startswith("local"):
+                raise RuntimeError(f"set {CHECKPOINT_KEY} to a shared folder before running on a cluster")
+            current = tempfile.mkdtemp(prefix="run-")
         if sc is not None and not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
+        if app is not None:
+            _DIRS[app] = current.rstrip("/")
         return current.rstrip("/")
-    master = sc.master if sc is not None else (spark.conf.get("spark.master", None) or "")
-    if not master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_KEY} to a shared folder before running on a cluster")
-    if sc is None:  # a local Connect server: one folder per application
-        app = _app_id(spark)
-        with _LOCK:
-            if app not in _LOCAL_DIRS:
-                _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="run-")
-            return _LOCAL_DIRS[app]
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
-    return sc.getCheckpointDir().rstrip("/")
+
+
+def _written_before(spark: SparkSession, path: str, types: dict[str, T.DataType]) -> DataFrame | None:
+    """Scan of a table at ``path``, its partition columns typed; None if there is none."""
+    try:
+        found = spark.read.parquet(path)
+    except AnalysisException:  # no such folder, or nothing committed in it
+        return None
+    schema = T.StructType([T.StructField(f.name, types.get(f.name, f.dataType)) for f in found.schema])
+    return spark.read.schema(schema).parquet(path)
 
 
 def stored(
@@ -83,23 +110,28 @@ def stored(
     name: str,
     build: Callable[[], DataFrame],
     partition_by: Sequence[str] = (YEAR_COL,),
+    path: str | None = None,
+    mixed: bool = True,
 ) -> DataFrame:
-    """Scan of ``build()`` written once per application under the shared folder."""
-    key = (_app_id(spark), name)
-    with _LOCK:
+    """Scan of ``build()``, written by a job of this call unless it was before.
+
+    ``name`` must tell apart whatever ``build`` makes of different arguments.
+    """
+    key = (_app_id(spark), f"{name}@{path}" if path else name)
+    with _lock_of(key):
         scan = _STORED.get(key)
+        if scan is None and path:
+            scan = _written_before(spark, path, {YEAR_COL: T.IntegerType(), IN_YEAR_COL: T.BooleanType()})
         if scan is None:
-            safe = re.sub(r"[^0-9A-Za-z_.-]+", "_", name).strip("_")[-80:]
-            path = f"{ensure_shared_dir(spark)}/ticketlens/{safe}-{uuid.uuid4().hex[:12]}"
+            if path is None:
+                safe = re.sub(r"[^0-9A-Za-z_.-]+", "_", name).strip("_")[-80:]
+                path = f"{ensure_shared_dir(spark)}/ticketlens/{safe}-{uuid.uuid4().hex[:12]}"
+                _OWN_PATHS[key] = path
             built = build()
-            # Rebalance on the partition columns: AQE cuts each folder's rows
-            # into tasks of about spark.sql.adaptive.advisoryPartitionSizeInBytes
-            # (a year holding a third of all rows is split, not one task), so
-            # files come out evenly sized instead of one small file per task
-            # and folder.
             (
-                built.hint("rebalance", *partition_by)
+                (built.hint("rebalance", *partition_by) if mixed else built)
                 .write.mode("errorifexists")
+                .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
                 .partitionBy(*partition_by)
                 .parquet(path)
             )
@@ -107,15 +139,12 @@ def stored(
             # types (a boolean folder value would otherwise be inferred as
             # text) and no footer-reading job is needed to plan the scan.
             scan = spark.read.schema(built.schema).parquet(path).select(*built.columns)
-            _STORED[key] = scan
+        _STORED[key] = scan
     return scan
 
 
-IN_YEAR_COL = "in_file_year"
-
-
 def stored_citations(
-    spark: SparkSession, name: str, build: Callable[[], DataFrame]
+    spark: SparkSession, name: str, build: Callable[[], DataFrame], path: str | None = None, mixed: bool = True
 ) -> tuple[DataFrame, DataFrame]:
     """Store a citation table once; return ``(all rows, clean rows)``.
 
@@ -125,22 +154,33 @@ def stored_citations(
     """
     from ..operators.clean import issued_in_file_year
 
-    key = (_app_id(spark), "views:" + name)
-    with _LOCK:
-        views = _VIEWS.get(key)
-    if views is not None:
-        return views
+    key = (_app_id(spark), f"{name}@{path}" if path else name)
+    with _lock_of(key):
+        if key not in _VIEWS:
+            scan = stored(
+                spark,
+                name,
+                lambda: build().withColumn(IN_YEAR_COL, issued_in_file_year()),
+                partition_by=(YEAR_COL, IN_YEAR_COL),
+                path=path,
+                mixed=mixed,
+            )
+            cols = [c for c in scan.columns if c != IN_YEAR_COL]
+            _VIEWS[key] = (scan.select(*cols), scan.where(F.col(IN_YEAR_COL)).select(*cols))
+        return _VIEWS[key]
 
-    def with_flag() -> DataFrame:
-        df = build()
-        return df.withColumn(IN_YEAR_COL, F.coalesce(issued_in_file_year(), F.lit(False)))
 
-    scan = stored(spark, name, with_flag, partition_by=(YEAR_COL, IN_YEAR_COL))
-    cols = [c for c in scan.columns if c != IN_YEAR_COL]
-    views = (scan.select(*cols), scan.where(F.col(IN_YEAR_COL)).select(*cols))
-    with _LOCK:
-        _VIEWS[key] = views
-    return views
+def stored_years(spark: SparkSession, name: str) -> list[int]:
+    """The years of a table that ``stored_citations`` wrote in this application, in order.
+
+    One row per year comes to the driver, once per application; the scan
+    reads no column, only the folders' names.
+    """
+    key = (_app_id(spark), name)
+    with _lock_of(key):
+        if key not in _YEARS:
+            _YEARS[key] = sorted(r[0] for r in _STORED[key].select(YEAR_COL).distinct().collect())
+        return _YEARS[key]
 
 
 @contextmanager
@@ -158,9 +198,17 @@ def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK)
 
 
 def forget(spark: SparkSession) -> None:
-    """Drop this application's stored-table handles (files stay in the shared folder)."""
+    """Drop this application's stored-table handles and remove the files that it owns.
+
+    Tables written to a path of the caller's stay.
+    """
     app = _app_id(spark)
     with _LOCK:
-        for cache in (_STORED, _VIEWS):
+        for cache in (_STORED, _VIEWS, _YEARS):
             for key in [k for k in cache if k[0] == app]:
                 del cache[key]
+        own = [_OWN_PATHS.pop(k) for k in list(_OWN_PATHS) if k[0] == app]
+    sc = _context(spark)
+    for path in own if sc is not None else ():
+        folder = sc._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)
