@@ -6,7 +6,6 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from helpers import ticket, tickets_df
-from ticketlens.functions.exprs import TIME_BINS
 from ticketlens.plans import analyses as A
 
 SETTINGS = settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
@@ -15,9 +14,13 @@ SETTINGS = settings(max_examples=10, deadline=None, suppress_health_check=list(H
 def py_time_bin(t):
     if t is None:
         return None
-    for name, hours, mark in TIME_BINS:
-        if t[0:2] in hours and t[4:5] == mark:
-            return name
+    hour, mark = int(t[0:2]), t[4:5]
+    if mark == "A":
+        names = ["Early_Morning_AM", "Morning_AM", "Before_Noon_AM"]
+        return names[hour // 4] if hour < 12 else None
+    if mark == "P":
+        names = ["After_Noon_PM", "Evening_PM", "Night_PM"]
+        return names[hour % 12 // 4] if hour > 0 else None
     return None
 
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ticketlens.operators.clean import keep_issue_year
 from ticketlens.schema import TICKET_COLUMNS
-from ticketlens.sources.fixture import stored_tickets, tickets
+from ticketlens.sources.fixture import fixture_years, stored_tickets, tickets
 
 
 def _by_year(df):
@@ -14,8 +14,8 @@ def _by_year(df):
 def test_rows_per_year(spark, sf_dir):
     t = tickets(spark, sf_dir)
     assert tuple(t.columns) == TICKET_COLUMNS
-    assert _by_year(t) == {1995: 962, 1996: 920, 1997: 908}
-    assert _by_year(keep_issue_year(t)) == {1995: 143, 1996: 140, 1997: 137}
+    assert _by_year(t) == {1995: 962, 1996: 920, 1997: 908, 1998: 957, 1999: 945, 2000: 816, 2001: 492}
+    assert _by_year(keep_issue_year(t)) == {1995: 142, 1996: 140, 1997: 133, 1998: 111, 1999: 144, 2000: 125, 2001: 67}
 
 
 def test_stored_table_equals_derivation(spark, sf_dir):
@@ -28,9 +28,12 @@ def test_stored_table_equals_derivation(spark, sf_dir):
 def test_dirt_counts(spark, sf_dir):
     clean = keep_issue_year(stored_tickets(spark, sf_dir))
     states = {r[0]: r[1] for r in clean.groupBy("registration_state").count().collect()}
-    assert states["99"] == 19 and states["9A"] == 10
+    assert (states["99"], states["9A"], states["#1"], states[None]) == (37, 19, 29, 6)
+    assert clean.where("summons_number IS NULL").count() == 41
+    assert clean.where("violation_time LIKE '00__P'").count() == 13
+    assert clean.where("violation_time IS NULL").count() == 11
     missing = _by_year(clean.where(F.col("house_number").isNull() | F.col("street_name").isNull()))
-    assert missing == {1995: 25, 1996: 24, 1997: 38}
+    assert missing == {1995: 24, 1996: 24, 1997: 38, 1998: 33, 1999: 49, 2000: 22, 2001: 21}
 
 
 def test_stored_under_the_shared_folder(spark, sf_dir):
@@ -40,7 +43,8 @@ def test_stored_under_the_shared_folder(spark, sf_dir):
     files = stored_tickets(spark, sf_dir).inputFiles()
     assert files and all(base in f for f in files)
     folders = {f.split("/file_year=")[1].split("/")[0] for f in files}
-    assert folders == {"1995", "1996", "1997"}
+    assert folders == {str(y) for y in range(1995, 2002)}
+    assert fixture_years(spark, sf_dir) == list(range(1995, 2002))
 
 
 def test_cluster_without_shared_folder_is_refused():
@@ -65,3 +69,58 @@ def test_cluster_without_shared_folder_is_refused():
 
     with pytest.raises(RuntimeError):
         ensure_shared_dir(Session())
+
+
+def test_the_fixture_tells_the_rules_apart(spark, sf_dir):
+    """An empty bin, and a season where summons and code counts rank differently."""
+    from ticketlens.plans import analyses as A
+    from ticketlens.sources.fixture import stored_clean
+
+    clean = stored_clean(spark, sf_dir)
+    assert any(r["n"] == 0 for r in A.hist(clean, "violation_precinct", 12).collect())
+    rows = A.top3_codes_by_season(clean).collect()
+    shown = {}
+    for r in rows:
+        shown.setdefault((r["file_year"], r["season"]), []).append((r["rk"], -r["n"]))
+    assert any([n for _, n in sorted(v)] != sorted(n for _, n in v) for v in shown.values())
+
+
+def test_the_shared_folder_is_one(spark):
+    from ticketlens.sources.store import ensure_shared_dir
+
+    assert ensure_shared_dir(spark) == ensure_shared_dir(spark)
+
+
+def test_durable_table_is_written_once_and_read_later(spark, tmp_path):
+    from ticketlens.sources import store
+
+    df = spark.createDataFrame([(2015, True, "a"), (2016, False, "b")], "file_year int, in_file_year boolean, x string")
+    path, made = f"file://{tmp_path}/durable", []
+
+    def build():
+        made.append(1)
+        return df
+
+    def get():
+        return store.stored(spark, "durable-test", build, ("file_year", "in_file_year"), path=path)
+
+    first = sorted(map(tuple, get().select(*df.columns).collect()))
+    store._STORED.clear()  # as in a later application
+    again = get()
+    assert len(made) == 1 and sorted(map(tuple, again.select(*df.columns).collect())) == first
+    assert dict(again.dtypes)["in_file_year"] == "boolean"
+    store.forget(spark)
+    assert spark.read.parquet(path).count() == 2  # the caller's files stay
+
+
+def test_forget_removes_own_files(spark):
+    from ticketlens.sources import store
+
+    df = spark.createDataFrame([(2015, "a")], "file_year int, x string")
+    scan = store.stored(spark, "own-test", lambda: df)
+    name = scan.inputFiles()[0].removeprefix("file://")
+    import os
+
+    assert os.path.exists(name)
+    store.forget(spark)
+    assert not os.path.exists(name)

@@ -112,6 +112,42 @@ def test_register_views_and_sql(spark, files):
     assert n == 2
 
 
+def test_parts_with_other_columns_are_bound_by_name(spark, tmp_path):
+    wide = BASE + list(EXTRA_COLUMNS)
+    a, b, c = (tmp_path / f"{x}.csv" for x in "abc")
+    _write(a, wide, [_row("1", "01/05/2015", "21", "0143A")])
+    _write(b, list(reversed(BASE)), [_row("2", "02/05/2015", "38", "0143P")])
+    _write(c, wide, [_row("3", "03/05/2015", "14", "0143P")])
+    df = read_year_csv(spark, [str(a), str(b), str(c)], 2015)
+    rows = sorted((r["summons_number"], r["issue_date"], r["violation_code"], r["vehicle_make"]) for r in df.collect())
+    assert rows == [(1, "01/05/2015", 21, "FORD"), (2, "02/05/2015", 38, "FORD"), (3, "03/05/2015", 14, "FORD")]
+    assert read_year_csv(spark, [str(a), str(b)], 2015, columns="all").count() == 2
+
+
+def test_a_folder_of_parts_with_other_headers_is_an_error(spark, tmp_path):
+    _write(tmp_path / "a.csv", BASE, [_row("1", "01/05/2015", "21", "0143A")])
+    _write(tmp_path / "b.csv", list(reversed(BASE)), [_row("2", "02/05/2015", "38", "0143P")])
+    with pytest.raises(Exception, match="(?i)header"):
+        read_year_csv(spark, str(tmp_path), 2015).collect()
+
+
+def test_cells_that_typing_loses_are_counted(spark, files):
+    from ticketlens.sources.csv import unreadable
+
+    raw = spark.read.option("header", True).csv(files[2015])
+    assert [tuple(r) for r in unreadable(raw, 2015).collect()] == [("violation_code", 2015, 1)]
+
+
+def test_store_years_tells_its_arguments_apart(spark, files):
+    from ticketlens.sources.csv import store_years
+
+    used, _ = store_years(spark, files)
+    every, _ = store_years(spark, {2015: files[2015]}, columns="all")
+    narrow, _ = store_years(spark, {2015: files[2015]})
+    assert tuple(used.columns) == tuple(narrow.columns) == TICKET_COLUMNS
+    assert "extra_01" in every.columns and every.count() == narrow.count()
+
+
 def test_store_years_once_and_clean_by_partition(spark, files):
     from ticketlens.sources.csv import store_years
 

@@ -22,7 +22,8 @@ def test_laws_on_fixture(spark, sf_dir):
     stages = _map(A.row_counts(t), "stage")
     per_year = _map(A.ticket_count_by_year(clean), "file_year")
     # 1. year counts add up to the clean total
-    assert sum(per_year.values()) == stages["clean"]
+    assert sum(_map(A.clean_counts(clean), "file_year").values()) == stages["clean"]
+    assert sum(per_year.values()) == stages["clean"] - clean.where("summons_number IS NULL").count()
     # 2. season counts add up to the year counts
     seasons = {}
     for r in A.season_counts(clean).collect():
@@ -41,7 +42,7 @@ def test_laws_on_fixture(spark, sf_dir):
         bins[r["file_year"]] = bins.get(r["file_year"], 0) + r["n"]
     assert bins == top
     # union total row equals the loaded rows
-    union = {r["file_year"]: r["n"] for r in A.union_years([t.where(f"file_year = {y}") for y in (1995, 1996, 1997)]).collect()}
+    union = {r["file_year"]: r["n"] for r in A.union_years([t.where(f"file_year = {y}") for y in range(1995, 2002)]).collect()}
     assert union[None] == stages["loaded"] == sum(v for k, v in union.items() if k is not None)
 
 
@@ -104,3 +105,27 @@ def test_input_order_does_not_matter(spark, data):
     a = A.codes_in_top_precincts(tickets_df(spark, data)).collect()
     b = A.codes_in_top_precincts(tickets_df(spark, list(reversed(data)))).collect()
     assert [tuple(r) for r in a] == [tuple(r) for r in b]
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    rows=st.lists(
+        st.tuples(st.one_of(st.none(), st.integers(1, 3)), st.one_of(st.none(), st.floats(-1e6, 1e6, allow_nan=False))),
+        min_size=1,
+        max_size=40,
+    ),
+    nbins=st.integers(1, 15),
+)
+def test_histogram_counts_every_value(spark, rows, nbins):
+    df = spark.createDataFrame(rows, "file_year int, x double")
+    a = sorted(map(repr, histogram(df, "x", nbins=nbins).collect()))
+    b = sorted(map(repr, histogram(df, "x", nbins=nbins, discrete=False).collect()))
+    assert a == b
+    total = {}
+    for r in histogram(df, "x", nbins=nbins).collect():
+        total[r["file_year"]] = total.get(r["file_year"], 0) + r["n"]
+    want = {}
+    for y, x in rows:
+        if x is not None:
+            want[y] = want.get(y, 0) + 1
+    assert total == want

@@ -144,7 +144,10 @@ def histogram(
     groups = {c: f"_by_{i}" for i, c in enumerate(by)}
     stats = (
         weighted.groupBy(*by)
-        .agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+        .agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"), F.sum("_w").alias("_all"))
+        # Uses the counts, so that Catalyst shares them instead of scanning for min and max.
+        .where("_all > 0")
+        .drop("_all")
         .withColumnsRenamed(groups)
     )
     same = [F.col(c).eqNullSafe(F.col(g)) for c, g in groups.items()]
