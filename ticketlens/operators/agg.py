@@ -203,10 +203,13 @@ def histograms(
     """Histograms of several columns of one type in one scan:
     ``[column_name, *by, bin, centroid, n]``.
 
-    The columns are unpivoted to ``(column_name, value)`` rows and binned with
+    The columns become ``(column_name, value)`` rows and are binned with
     ``column_name`` as one more group key, so the table is read once for all
     of them (the reference cached a projection and binned it three times).
     """
     keys = _cols(by)
-    long = df.unpivot(keys, list(cols), "column_name", "_value")
+    # inline, not unpivot: Spark shares the counts' shuffle between the two
+    # sides of the histogram's join only above an operator that it can compare.
+    pairs = F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(c).alias("_value")) for c in cols))
+    long = df.select(*keys, F.inline(pairs))
     return histogram(long, "_value", nbins=nbins, by=["column_name", *keys], discrete=True)
