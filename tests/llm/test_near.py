@@ -61,6 +61,16 @@ def test_brute_force(make_docs, pool):
     assert got == brute(rows)
 
 
+def test_large_nodes(make_docs, pool, monkeypatch):
+    """Nodes compared in parts that branch on, instead of at once."""
+    monkeypatch.setattr(N, "SMALL", 24)
+    monkeypatch.setattr(N, "SAMPLES", 6)
+    monkeypatch.setattr(N, "OTHERS", 12)
+    rows = rows_of(pool)[100:230]
+    got = sorted((tuple(r) for r in N.groups(make_docs(rows)).collect()), key=repr)
+    assert got == brute(rows)
+
+
 def test_one_of_each_group_stays(make_docs, pool):
     text = " ".join(pool(100, 1))
     docs = make_docs([(5, text), (3, text + " x"), (9, " ".join(pool(100, 2))), (7, None)], extra=True)

@@ -3,26 +3,24 @@
 A document is the set of its three-word runs. Documents with equal sets are
 one class; only classes are compared.
 
-Every class has 64 minwise tokens. A tree of nodes branches by them: a node
-passes each of its documents to the children of ``BRANCHES`` tokens, chosen by the node's
-path, so documents meet in a child if they agree in that token. ``TREES`` independent trees
-start with tokens of their own. Two documents of similarity ``s`` are lost by
-a tree with the probability ``q`` for which ``q = (1 - s + s q) ** BRANCHES``, however
-deep it goes: 3.1 % at 0.85, so one in a million with four trees.
-
-In a node every document is compared with the least one, the pivot, on full
-sets; so small nodes are compared exhaustively, level by level, and what a
-node costs is in proportion to its documents. As links are wanted for their
-components, and ``1 - similarity`` is a metric, a document linked with the pivot need be
-compared further only with documents that are not, and that lie no further
-from the pivot than it does by the distance of a link. All other documents that are linked
-with the pivot leave the node. Thus a group of copies, however
-large, is done in one level, and unrelated documents that met by a common
-passage part at the next token. Levels go on until no node has two documents.
-
-Sketches of one byte per token sort out pairs before their sets are fetched:
-a pair goes if it agrees in so few tokens as one of similarity 0.7 does once
-in ten thousand times, and one of 0.85 never.
+Every class has 64 minwise tokens. A tree of nodes branches by them: the roots' children are
+the classes that agree in one of ``BRANCHES`` tokens of the tree, and a node with more than
+``SMALL`` classes passes each to the children of two more tokens, chosen by the
+node's path. Two documents of similarity ``s`` are lost by a tree with the probability ``q`` for
+which ``q = (1 - s + s q) ** BRANCHES`` at most, however deep it goes: 3.1 % at 0.85, so
+one in a million with ``TREES`` = 4 independent trees.
+
+Small nodes are compared exhaustively. Sketches of one byte per token sort out the pairs that
+agree in so few as linked ones do once in a million times; the others, the likeliest first,
+are confirmed on full sets. As links are wanted for their components, pairs that are
+connected already are passed over: a node whose classes are all connected is done, and so a
+group of copies is done by about as many comparisons as it has members. The first tree's first tokens
+are worked on alone for this reason; what they connect need not meet again.
+
+A large node of which one component has all but ``OTHERS`` classes is done, too: its parts
+are compared each with all of the others. Any other large node is compared in parts of ``SMALL`` classes, each with the same ``SAMPLES`` classes of
+the node, which connects a large group of near copies in one level; and it branches on, which
+parts classes that met by a common passage. Levels go on until every node is small or connected.
 
 Defined cases: words are compared with A-Z in lower case; a document of one
 or two words has these as its one run; a null text, an empty one or one without words
@@ -40,7 +38,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .base import mixed, text_or_empty, written
@@ -53,10 +51,12 @@ PERCENT = 85
 TREES, BRANCHES = 4, 2
 FIRST = TREES * BRANCHES
 BYTES = 56
-#: Pairs below this similarity can't make a linked document meet another (1 - 2 * 0.15).
-NEAR = 0.70
-#: Equal sketch bytes of 56, below which a pair isn't fetched: four deviations under 0.7.
-LEAST_EQUAL = 25
+#: Classes of a node that are compared exhaustively, and those of a large one that go to all its parts.
+SMALL, SAMPLES = 512, 64
+#: Classes of a large node outside its largest component that go to all its parts, at most.
+OTHERS = 256
+#: Equal sketch bytes of 56, below which a pair isn't fetched: five deviations under 0.85.
+LEAST_EQUAL = 34
 
 _SEEDS = mixed(np.arange(1, 2 * (FIRST + BYTES) + 1, dtype=np.uint64))
 _XOR, _ODD = _SEEDS[0::2], _SEEDS[1::2] | np.uint64(1)
@@ -111,31 +111,101 @@ def _signed(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, n_shingles long, key binary, roots array<long>, sketch binary")
 
 
-def _alike(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs whose sizes and sketches allow a similarity of ``NEAR``."""
-    side = lambda name: classes.select(
-        F.col("cid").alias(name), F.col("n").alias(f"n_{name}"), F.col("sketch").alias(f"s_{name}")
-    )
-    rows = (
-        pairs.join(side("cid"), "cid")
-        .join(side("pivot"), "pivot")
-        .where(F.least("n_cid", "n_pivot") >= NEAR * F.greatest("n_cid", "n_pivot"))
-        .select("pivot", "cid", "s_pivot", "s_cid")
-    )
+def _together(rows: DataFrame, work, schema: str) -> DataFrame:
+    """``work`` on Arrow tables that hold whole groups of (node, part), several at once.
+
+    Groups are bounded, so a task holds a batch and what is left of the last one.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest: pa.Table | None = None
         for batch in batches:
-            a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BYTES) for c in (2, 3))
-            yield batch.filter(pa.array((a == b).sum(1) >= LEAST_EQUAL)).select([0, 1])
-
-    return rows.mapInArrow(run, "pivot long, cid long")
-
-
-def _compared(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Exact distances of pairs: ``pivot``, ``cid``, ``distance``, ``linked``."""
-    wanted = id_set(pairs.select(F.explode(F.array("pivot", "cid")).alias("id")))
+            now = pa.Table.from_batches([batch])
+            now = now if rest is None else pa.concat_tables([rest, now])
+            edges = _edges(now)
+            rest = now.slice(int(edges[-2])) if len(edges) > 1 else now
+            if len(edges) > 2:
+                yield work(now.slice(0, int(edges[-2])), edges[:-1])
+        if rest is not None and len(rest):
+            yield work(rest, _edges(rest))
+
+    return rows.repartition("node", "part").sortWithinPartitions("node", "part").mapInArrow(run, schema)
+
+
+def _edges(rows: pa.Table) -> np.ndarray:
+    """Where groups begin, and the end."""
+    if not len(rows):
+        return np.zeros(1, np.int64)
+    node, part = (rows.column(c).to_numpy() for c in ("node", "part"))
+    return np.flatnonzero(np.r_[True, (node[1:] != node[:-1]) | (part[1:] != part[:-1]), True])
+
+
+def _numbers(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    sketch = np.frombuffer(b"".join(rows.column("sketch").to_pylist()), np.uint8).reshape(-1, BYTES)
+    return rows.column("root").to_numpy(), rows.column("n").to_numpy(), sketch
+
+
+def _equal(root: np.ndarray, n: np.ndarray, sketch: np.ndarray) -> np.ndarray:
+    """Equal sketch bytes of each pair of a group; 0 where they are connected or can't be linked."""
+    equal = (sketch[:, None] == sketch[None]).sum(2)
+    least, most = np.minimum(n[:, None], n[None]), np.maximum(n[:, None], n[None])
+    return np.where((root[:, None] != root[None]) & (100 * least >= PERCENT * most) & (equal >= LEAST_EQUAL), equal, 0)
+
+
+def _involved(rows: DataFrame) -> DataFrame:
+    """Rows of groups that have a possible link of their own."""
+
+    def work(table: pa.Table, edges: np.ndarray) -> pa.RecordBatch:
+        root, n, sketch = _numbers(table)
+        keep = np.zeros(len(table), bool)
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            if b - a > 1 and (root[a:b] != root[a]).any():
+                keep[a:b] = _equal(root[a:b], n[a:b], sketch[a:b]).any(1)
+        found = table.filter(pa.array(keep)).combine_chunks()
+        return pa.RecordBatch.from_arrays([c.combine_chunks() if c.num_chunks != 1 else c.chunk(0) for c in found.columns], found.column_names)
+
+    return _together(rows, work, "node long, part int, cid long, key binary, root long, n long, sketch binary")
+
+
+def _confirmed(rows: DataFrame) -> DataFrame:
+    """Links ``u``, ``v`` that connect what full sets link in each group."""
+
+    def work(table: pa.Table, edges: np.ndarray) -> pa.RecordBatch:
+        root, n, sketch = _numbers(table)
+        cid, runs = table.column("cid").to_pylist(), table.column("runs")
+        us, vs = [], []
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            equal = np.triu(_equal(root[a:b], n[a:b], sketch[a:b]))
+            i, j = np.nonzero(equal)
+            sets = [np.frombuffer(r, np.uint64) for r in runs.slice(a, b - a).to_pylist()]
+            parent = {r: r for r in root[a:b].tolist()}
+
+            def find(x: int, parent: dict[int, int] = parent) -> int:
+                while parent[x] != x:
+                    parent[x] = parent[parent[x]]
+                    x = parent[x]
+                return x
+
+            for k in np.argsort(-equal[i, j], kind="stable").tolist():
+                x, y = int(i[k]), int(j[k])
+                one, two = find(int(root[a + x])), find(int(root[a + y]))
+                if one == two:
+                    continue
+                both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                if 100 * both >= PERCENT * (len(sets[x]) + len(sets[y]) - both):
+                    parent[max(one, two)] = min(one, two)
+                    us.append(cid[a + x])
+                    vs.append(cid[a + y])
+        return pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], ["u", "v"])
+
+    return _together(rows, work, "u long, v long")
+
+
+def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``cid``, ``key`` and the full set of the documents with these ids, and perhaps of some more."""
+    wanted = id_set(ids)
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = batch.filter(pa.array(wanted.may_have(batch.column(0))))
             runs = [runs_of(t) for t in batch.column(1).to_pylist()]
@@ -145,93 +215,85 @@ def _compared(pairs: DataFrame, docs: DataFrame) -> DataFrame:
                     pa.array([xxhash.xxh3_128_digest(r.tobytes()) for r in runs], pa.binary()),
                     pa.array([r.tobytes() for r in runs], pa.binary()),
                 ],
-                ["id", "key", "runs"],
+                ["cid", "key", "runs"],
             )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("id"), text_or_empty("text").alias("text"))
-    known = rows.mapInArrow(sets, "id long, key binary, runs binary")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            distance, linked = [], []
-            for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                union = len(x) + len(y) - both
-                distance.append(1 - both / union)
-                linked.append(100 * both >= PERCENT * union)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(distance, pa.float64()), pa.array(linked, pa.bool_())],
-                ["pivot", "cid", "distance", "linked"],
-            )
+    rows = docs.select(F.col("doc_id").cast("long").alias("cid"), text_or_empty("text").alias("text"))
+    # Of rows with one id and one text, one is enough.
+    return rows.mapInArrow(run, "cid long, key binary, runs binary").groupBy("cid", "key").agg(F.first("runs").alias("runs"))
 
-    def side(name: str) -> DataFrame:
-        return known.select(F.col("id").alias(name), F.col("key").alias(f"k_{name}"), F.col("runs").alias(f"r_{name}"))
 
-    met = (
-        pairs.join(side("cid"), ["cid", "k_cid"])
-        .join(side("pivot"), ["pivot", "k_pivot"])
-        .select("pivot", "cid", "r_pivot", "r_cid")
-    )
-    return met.mapInArrow(compare, "pivot long, cid long, distance double, linked boolean")
-
-
-def _children(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """Documents of nodes passed on to the children of their tokens."""
+def _children(rows: DataFrame) -> DataFrame:
+    """Classes of nodes passed on to the children of two more tokens."""
     places = [F.pmod(F.xxhash64("node", F.lit(k)), F.lit(BYTES)).cast("int") for k in range(BRANCHES)]
-    return rows.join(classes.select("cid", "sketch"), "cid").select(
+    return rows.select(
         F.explode(
             F.array(*(F.xxhash64("node", F.lit(k), F.substring("sketch", p + 1, F.lit(1))) for k, p in enumerate(places)))
         ).alias("node"),
-        "cid",
-        "guest",
+        "cid", "key", "n", "sketch",
     )
 
 
+def _parted(rows: DataFrame) -> DataFrame:
+    """Rows of large nodes dealt to parts, and the node's samples to each of them."""
+    order = Window.partitionBy("node").orderBy(F.xxhash64("cid", "node"), "cid")
+    parts = F.ceil(F.col("size") / (SMALL - SAMPLES)).cast("int")
+    samples = rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= SAMPLES).drop("place")
+    dealt = rows.withColumn("part", F.pmod(F.xxhash64("node", "cid", F.lit(1)), parts).cast("int"))
+    spread = samples.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    return dealt.unionByName(spread).distinct()
+
+
+def _around(rows: DataFrame) -> DataFrame:
+    """Rows of nodes with one large component: it is dealt to parts, and all others go to each of them."""
+    parts = F.ceil(F.col("size") / (SMALL - OTHERS)).cast("int")
+    inside = F.col("root") == F.col("top")
+    dealt = rows.where(inside).withColumn("part", F.pmod(F.xxhash64("node", "cid", F.lit(1)), parts).cast("int"))
+    return dealt.unionByName(rows.where(~inside).withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))))
+
+
 def links(classes: DataFrame, docs: DataFrame) -> DataFrame:
     """Links ``u``, ``v`` between classes that connect all that similarity connects.
 
     ``classes`` has ``cid`` (an id of the class), ``n``, ``key``, ``roots``, ``sketch``.
     """
-    found: list[DataFrame] = []
-    rows = classes.select("cid", F.posexplode("roots")).select(
-        F.xxhash64("pos", "col").alias("node"), "cid", F.lit(False).alias("guest")
-    )
-    keys = classes.select("cid", "key")
-    slack = 1 - PERCENT / 100
-    while True:
-        nodes = written(
-            rows.groupBy("node")
-            .agg(F.min(F.when(~F.col("guest"), F.col("cid"))).alias("pivot"), F.count("*").alias("size"))
-            .where("size > 1 AND pivot IS NOT NULL")
-            .select("node", "pivot"),
-            "nodes",
-        )
-        members = written(rows.join(nodes, "node").where("cid <> pivot").distinct(), "members")
-        if members.isEmpty():
-            break
-        pairs = _alike(members.select("pivot", "cid").distinct(), classes)
-        pairs = pairs.join(keys.select("cid", F.col("key").alias("k_cid")), "cid").join(
-            keys.select(F.col("cid").alias("pivot"), F.col("key").alias("k_pivot")), "pivot"
-        )
-        pairs = written(pairs, "pairs")
-        apart = written(_compared(pairs, docs), "distances")
-        found.append(apart.where("linked").select(F.col("pivot").alias("u"), F.col("cid").alias("v")))
-        placed = members.join(apart, ["pivot", "cid"], "left").withColumn("linked", F.coalesce("linked", F.lit(False)))
-        placed = written(placed, "placed")
-        # What may be linked with a document that is linked with the pivot.
-        edge = placed.where(~F.col("linked") & (F.col("distance") <= 1 - NEAR + 1e-9)).groupBy("node").agg(
-            F.min("distance").alias("nearest")
+    spark = classes.sparkSession
+    found = spark.createDataFrame([], "u long, v long")
+    carried = ["cid", "key", "n", "sketch"]
+    for turn in (F.col("pos") < BRANCHES, F.col("pos") >= BRANCHES):
+        rows = (
+            classes.select(*carried, F.posexplode("roots"))
+            .where(turn)
+            .select(F.xxhash64("pos", "col").alias("node"), *carried)
         )
-        edge = written(edge, "edges")
-        guests = (
-            placed.where("linked").join(edge, "node")
-            .where(F.col("nearest") - F.col("distance") <= slack + 1e-9)
-            .select("node", "cid", F.lit(True).alias("guest"))
-        )
-        rest = placed.where("NOT linked").select("node", "cid", "guest")
-        rows = _children(rest.unionByName(guests), classes)
-    return reduce(DataFrame.unionByName, found) if found else classes.select(F.col("cid").alias("u"), F.col("cid").alias("v")).where("false")
+        while True:
+            roots = written(components(found).withColumnRenamed("id", "cid"), "roots")
+            rows = rows.join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+            nodes = written(
+                rows.groupBy("node", "root")
+                .agg(F.count("*").alias("classes"))
+                .groupBy("node")
+                .agg(F.sum("classes").alias("size"), F.max(F.struct("classes", "root")).alias("most"), F.count("*").alias("roots"))
+                .where("roots > 1")
+                .select("node", "size", F.col("most.root").alias("top"), (F.col("size") - F.col("most.classes")).alias("others")),
+                "nodes",
+            )
+            members = written(rows.join(nodes, "node").select("node", *carried, "root", "size", "top", "others"), "members")
+            small = members.where(F.col("size") <= SMALL).withColumn("part", F.lit(0))
+            crowd = members.where((F.col("size") > SMALL) & (F.col("others") <= OTHERS))
+            large = members.where((F.col("size") > SMALL) & (F.col("others") > OTHERS))
+            parts = reduce(
+                DataFrame.unionByName,
+                (x.select("node", "part", "cid", "key", "root", "n", "sketch") for x in (small, _around(crowd), _parted(large))),
+            )
+            involved = written(_involved(parts), "involved")
+            if not involved.isEmpty():
+                sets = _sets(docs, involved.select("cid").distinct())
+                found = found.unionByName(written(_confirmed(involved.join(sets, ["cid", "key"])), "links"))
+            if large.isEmpty():
+                break
+            rows = _children(large)
+    return found
 
 
 def groups(docs: DataFrame) -> DataFrame:
