@@ -55,7 +55,7 @@ def test_empty(make_docs):
 
 def test_the_sketch_never_counts_too_little(make_docs, pool):
     rows = [(i, " ".join(pool(100, i % 7))) for i in range(14)]
-    table = P.sketch(make_docs(rows), 1 << 12)
+    table = P.sketch([(P._pairs(make_docs(rows)), None)], 1 << 12)
     for _, text in rows:
         hashes, _ = P.windows_of(P.words_of(text))
         assert P._repeated(hashes, table).all()

@@ -3,6 +3,9 @@
 A window is 13 consecutive words of one document. A word goes if a window
 that covers it also starts in a document with a smaller id.
 
+0. Documents with the same text as one with a smaller id lose all words (if they
+   have a window) and take no part in what follows: their windows are the first one's. They are
+   found by grouping digests of the texts.
 1. Each task makes a count-min sketch of its windows: for each of ``DEPTH`` rows
    the cells that its windows fall in, with a mark for those hit more than
    once, as differences of sorted cell numbers. The sketches are cut into
@@ -33,6 +36,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .base import mixed, text_or_empty, written
-from .idset import id_set, packed, unpacked
+from .idset import IdSet, id_set, packed, unpacked
 
 WINDOW = 13
 DEPTH = 2
@@ -81,8 +85,51 @@ def _cells(hashes: np.ndarray, row: int, bits: int) -> np.ndarray:
     return (mixed(hashes + np.uint64(row * 0x9E3779B97F4A7C15 & (2**64 - 1))) & np.uint64(bits - 1)).astype(np.int64)
 
 
+#: The place that stands for all words of a document.
+EVERYWHERE = 2**32 - 1
+#: Texts that a worker has in hand at once.
+TOGETHER = 1000
+#: Windows whose cells are packed at once.
+WINDOWS_TOGETHER = 1_500_000
+
+
 def _pairs(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty("text").alias("text"))
+    """Id, text, and 31 bits of the text's hash, which tell rows apart that have the same id."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty("text").alias("text")).withColumn(
+        "mark", F.shiftrightunsigned(F.xxhash64("text"), 33)
+    )
+
+
+def copies(pairs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``mark`` of documents whose text one with a smaller id has, too."""
+    digests = pairs.where("doc_id IS NOT NULL").select(
+        "doc_id", "mark", F.xxhash64("text").alias("d1"), F.xxhash64(F.lit(1), "text").alias("d2")
+    )
+    first = digests.groupBy("d1", "d2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    first = written(first.where("first < last").select("d1", "d2", "first"), "first-texts")
+    return digests.join(first, ["d1", "d2"]).where("first < doc_id").select("doc_id", "mark").distinct()
+
+
+def _judged(pairs: DataFrame, copied: DataFrame, hit: IdSet) -> list[tuple[DataFrame, IdSet | None]]:
+    """The documents to compare: those that the set of copies can't have, and those that it has wrongly.
+
+    The first are all documents, to be filtered by the set; the others are few.
+    """
+
+    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(hit.may_have(batch.column(0))))
+
+    known = pairs.where("doc_id IS NOT NULL")
+    wrong = known.mapInArrow(some, "doc_id long, text string, mark long").join(copied, ["doc_id", "mark"], "left_anti")
+    return [(known, hit), (written(wrong.select("doc_id", "text", "mark"), "no-copies"), None)]
+
+
+def _slices(batches: Iterator[pa.RecordBatch], without: IdSet | None) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, len(batch), TOGETHER):
+            part = batch.slice(at, TOGETHER)
+            yield part if without is None else part.filter(pa.array(~without.may_have(part.column(0))))
 
 
 def sketch_bits(text_bytes: int, most: int = MOST_BITS) -> int:
@@ -91,17 +138,14 @@ def sketch_bits(text_bytes: int, most: int = MOST_BITS) -> int:
     return 1 << min(int(wanted - 1).bit_length(), (most // DEPTH).bit_length() - 1)
 
 
-def sketch(docs: DataFrame, bits: int) -> np.ndarray:
-    """The merged sketch: for each row and cell, whether more than one window fell in."""
+def sketch(judged: list[tuple[DataFrame, IdSet | None]], bits: int) -> bytes:
+    """The merged sketch: for each row and cell a bit, whether more than one window fell in."""
     shard_bits = min(bits, SHARD_BITS)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hashes = [windows_of(words_of(t))[0] for t in batch.column("text").to_pylist()]
-            # Within a document a repeated window counts once.
-            hashes = np.concatenate([np.unique(h) for h in hashes]) if hashes else np.empty(0, np.uint64)
+    def counted(docs: DataFrame, without: IdSet | None) -> DataFrame:
+        def packed_rows(hashes: np.ndarray) -> pa.RecordBatch:
             shards, data = [], []
-            for row in range(DEPTH if len(hashes) else 0):
+            for row in range(DEPTH):
                 cells = np.sort(_cells(hashes, row, bits))
                 first = np.flatnonzero(np.r_[True, cells[1:] != cells[:-1]])
                 counts = np.diff(np.r_[first, len(cells)])
@@ -111,7 +155,22 @@ def sketch(docs: DataFrame, bits: int) -> np.ndarray:
                 for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                     shards.append(row * (bits // shard_bits) + int(own[a]))
                     data.append(packed(cells[a:b] - own[a] * shard_bits, counts[a:b]))
-            yield pa.RecordBatch.from_arrays([pa.array(shards, pa.int32()), pa.array(data, pa.binary())], ["shard", "cells"])
+            return pa.RecordBatch.from_arrays([pa.array(shards, pa.int32()), pa.array(data, pa.binary())], ["shard", "cells"])
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held, size = [], 0
+            for batch in _slices(batches, without):
+                for text in batch.column("text").to_pylist():
+                    # Within a document a repeated window counts once.
+                    held.append(np.unique(windows_of(words_of(text))[0]))
+                    size += len(held[-1])
+                    if size >= WINDOWS_TOGETHER:
+                        yield packed_rows(np.concatenate(held))
+                        held, size = [], 0
+            if size:
+                yield packed_rows(np.concatenate(held))
+
+        return docs.mapInArrow(run, "shard int, cells binary")
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Rows of a task come shard by shard; one shard's counts are held at a time.
@@ -135,22 +194,21 @@ def sketch(docs: DataFrame, bits: int) -> np.ndarray:
             yield done()
 
     merged = (
-        _pairs(docs.where("doc_id IS NOT NULL"))
-        .mapInArrow(count, "shard int, cells binary")
+        reduce(DataFrame.unionByName, (counted(*x) for x in judged))
         .repartition("shard")
         .sortWithinPartitions("shard")
         .mapInArrow(add_up, "shard int, bits binary")
     )
-    out = np.zeros((DEPTH, bits // 8), np.uint8)
-    flat = out.reshape(-1)
+    flat = np.zeros(DEPTH * bits // 8, np.uint8)
     for row in written(merged, "sketch").toLocalIterator():
         at = row["shard"] * (shard_bits // 8)
         flat[at : at + shard_bits // 8] = np.frombuffer(row["bits"], np.uint8)
-    return out
+    return flat.tobytes()
 
 
-def _repeated(hashes: np.ndarray, table: np.ndarray) -> np.ndarray:
+def _repeated(hashes: np.ndarray, sketch_bytes: bytes) -> np.ndarray:
     """Whether every row of the sketch counts a window more than once."""
+    table = np.frombuffer(sketch_bytes, np.uint8).reshape(DEPTH, -1)
     keep = np.ones(len(hashes), bool)
     bits = table.shape[1] * 8
     for row in range(DEPTH):
@@ -160,45 +218,45 @@ def _repeated(hashes: np.ndarray, table: np.ndarray) -> np.ndarray:
     return keep
 
 
-def _text_mark(text: str) -> int:
-    """31 bits of a text's hash, which tell rows apart that have the same id."""
-    return xxhash.xxh3_64_intdigest(text.encode()) >> 33
-
-
-def candidates(docs: DataFrame, table: Broadcast) -> DataFrame:
+def candidates(docs: DataFrame, without: IdSet | None, table: Broadcast) -> DataFrame:
     """Windows that the sketch counts more than once: two hashes, document, and
     the text's mark above the window's place."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches, without):
             a, b, ids, places = [], [], [], []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            for doc_id, text, mark in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 one, two = windows_of(words_of(text))
                 at = np.flatnonzero(_repeated(one, table.value))
                 a.append(one[at])
                 b.append(two[at])
                 ids.append(np.full(len(at), doc_id, np.int64))
-                places.append(at | _text_mark(text) << 32 if len(at) else at)
+                places.append(at.astype(np.int64) | mark << 32)
             if ids:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.concatenate(a).view(np.int64)),
                         pa.array((np.concatenate(b) >> np.uint64(32)).astype(np.uint32).view(np.int32)),
                         pa.array(np.concatenate(ids)),
-                        pa.array(np.concatenate(places).astype(np.int64)),
+                        pa.array(np.concatenate(places)),
                     ],
                     ["a", "b", "doc_id", "place"],
                 )
 
-    return _pairs(docs.where("doc_id IS NOT NULL")).mapInArrow(run, "a long, b int, doc_id long, place long")
+    return docs.mapInArrow(run, "a long, b int, doc_id long, place long")
 
 
 def marks(docs: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
-    """``doc_id`` and the places (below its text's mark) of windows that start in a document with a smaller id."""
-    spark = docs.sparkSession
+    """``doc_id`` and the places (below its text's mark) of windows that start in a document with a smaller id.
+
+    A copy of a whole text has the one place ``EVERYWHERE``.
+    """
+    spark, pairs = docs.sparkSession, _pairs(docs)
+    copied = written(copies(pairs), "copies")
+    judged = _judged(pairs, copied, id_set(copied.select("doc_id")))
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    table = spark.sparkContext.broadcast(sketch(docs, sketch_bits(size, most_bits)))
-    found = candidates(docs, table)
+    table = spark.sparkContext.broadcast(sketch(judged, sketch_bits(size, most_bits)))
+    found = reduce(DataFrame.unionByName, (candidates(rows, without, table) for rows, without in judged))
     first = (
         found.groupBy("a", "b")
         .agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
@@ -208,17 +266,18 @@ def marks(docs: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     # Read from files, the two sides of the join are shuffled for it alone, so that
     # Spark can split a window that very many documents have.
     first = written(first, "first-windows")
-    return (
-        found.join(first, ["a", "b"])
-        .where("first < doc_id")
-        .groupBy("doc_id")
-        .agg(F.collect_set("place").alias("places"))
-    )
+    places = found.join(first, ["a", "b"]).where("first < doc_id").select("doc_id", "place")
+    whole = copied.select("doc_id", F.shiftleft("mark", 32).bitwiseOR(F.lit(EVERYWHERE)).alias("place"))
+    out = written(places.unionByName(whole).groupBy("doc_id").agg(F.collect_set("place").alias("places")), "marks")
+    table.destroy()  # what was written needs the sketch no more
+    return out
 
 
 def kept_words(text: str, places: np.ndarray) -> list[bytes]:
     """The words that no window at these places covers."""
     words = words_of(text)
+    if (places == EVERYWHERE).any():
+        return words if len(words) < WINDOW else []
     cover = np.zeros(len(words) + 1, np.int32)
     np.add.at(cover, places, 1)
     np.add.at(cover, np.minimum(places + WINDOW, len(words)), -1)
@@ -228,19 +287,19 @@ def kept_words(text: str, places: np.ndarray) -> list[bytes]:
 
 def deduplicated(docs: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     """``doc_id``, ``n_words``, ``n_removed``, ``kept_sha256`` of every document."""
-    marked = written(marks(docs, most_bits), "marks")
+    marked = marks(docs, most_bits)
     hit = id_set(marked.select("doc_id"))
     pairs = _pairs(docs)
 
-    def rows(ids, texts, places) -> pa.RecordBatch:
+    def rows(ids, texts, marks_, places) -> pa.RecordBatch:
         counts, removed, digests = [], [], []
-        for text, own in zip(texts, places, strict=True):
+        for text, mark, own in zip(texts, marks_, places, strict=True):
             if own is None:
                 words = words_of(text)
                 n, left = len(words), words
             else:
                 spots = np.array(own, np.int64)
-                spots = spots[spots >> 32 == _text_mark(text)] & (2**32 - 1)
+                spots = spots[spots >> 32 == mark] & EVERYWHERE
                 n, left = len(words_of(text)), kept_words(text, spots)
             counts.append(n)
             removed.append(n - len(left))
@@ -253,9 +312,8 @@ def deduplicated(docs: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            batch = batch.filter(pa.array(~hit.may_have(batch.column(0))))
-            yield rows(batch.column(0), batch.column(1).to_pylist(), [None] * len(batch))
+        for batch in _slices(batches, hit):
+            yield rows(*batch.columns[:1], *(c.to_pylist() for c in batch.columns[1:]), [None] * len(batch))
 
     def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -263,10 +321,11 @@ def deduplicated(docs: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield rows(batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist())
+            yield rows(*batch.columns[:1], *(c.to_pylist() for c in batch.columns[1:]))
 
     untouched = pairs.mapInArrow(whole, schema)
-    touched = pairs.mapInArrow(some, "doc_id long, text string").join(marked, "doc_id", "left").select("doc_id", "text", "places")
+    touched = pairs.mapInArrow(some, "doc_id long, text string, mark long").join(marked, "doc_id", "left")
+    touched = touched.select("doc_id", "text", "mark", "places")
     return untouched.unionByName(touched.mapInArrow(cut, schema))
 
 
