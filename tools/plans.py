@@ -1,4 +1,4 @@
-"""Write PLANS.md: the executed (AQE final) plan shape of every query.
+"""Write PLANS.md: the executed (AQE final) plan shape of every library query.
 
 Usage: python tools/plans.py [sf_dir]   (default /root/testdata/sf0.01)
 """
@@ -11,12 +11,8 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from ticketlens.plans.registry import queries  # noqa: E402
 from ticketlens.session import local_session  # noqa: E402
-from ticketlens.sources.fixture import tickets  # noqa: E402
-
-SHOWN = ("top3_codes_by_time_bin", "codes_in_top_precincts", "hist_violation_code", "revenue_top3")
-
 
 def final_part(text: str) -> str:
     return text.split("+- == Initial Plan ==")[0]
@@ -25,7 +21,6 @@ def final_part(text: str) -> str:
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session(cores=8)
-    explain = spark._jvm.PythonSQLUtils.explainString
     lines = [
         "# Physical plans",
         "",
@@ -35,21 +30,14 @@ def main() -> None:
         "| Query | Scans | Exchanges | WindowGroupLimit | Broadcast joins | Sort-merge joins |",
         "|---|---|---|---|---|---|",
     ]
-    details = []
-    for name, fn in E.queries().items():
+    for name, fn in queries().items():
         df = fn(spark, sf_dir)
         df.collect()
         plan = final_part(df._jdf.queryExecution().executedPlan().toString())
         lines.append(
-            f"| `{name}` | {plan.count('Scan parquet')} | {len(re.findall(r'Exchange', plan)) - plan.count('BroadcastExchange')} "
+            f"| `{name}` | {plan.count('Scan parquet') + plan.count('Scan csv')} | {len(re.findall(r'Exchange', plan)) - plan.count('BroadcastExchange')} "
             f"| {plan.count('WindowGroupLimit')} | {plan.count('BroadcastHashJoin')} | {plan.count('SortMergeJoin')} |"
         )
-        if name in SHOWN:
-            details.append((name, explain(df._jdf.queryExecution(), "formatted")))
-    ingest = tickets(spark, sf_dir)
-    details.append(("ingest: citation table from the driver tables", explain(ingest._jdf.queryExecution(), "formatted")))
-    for title, text in details:
-        lines += ["", f"## {title}", "", "```", text.strip(), "```"]
     with open(os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md"), "w") as fh:
         fh.write("\n".join(lines) + "\n")
     spark.stop()
