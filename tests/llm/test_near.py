@@ -64,6 +64,7 @@ def test_brute_force(make_docs, pool):
 def test_large_nodes(make_docs, pool, monkeypatch):
     """Nodes compared in parts that branch on, instead of at once."""
     monkeypatch.setattr(N, "SMALL", 24)
+    monkeypatch.setattr(N, "MANY", 20)
     monkeypatch.setattr(N, "SAMPLES", 6)
     monkeypatch.setattr(N, "OTHERS", 12)
     rows = rows_of(pool)[100:230]

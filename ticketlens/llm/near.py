@@ -52,9 +52,11 @@ TREES, BRANCHES = 4, 2
 FIRST = TREES * BRANCHES
 BYTES = 56
 #: Classes of a node that are compared exhaustively, and those of a large one that go to all its parts.
-SMALL, SAMPLES = 512, 64
+SMALL, SAMPLES = 1024, 64
 #: Classes of a large node outside its largest component that go to all its parts, at most.
-OTHERS = 256
+OTHERS = 512
+#: Pairs of a node from which on intersections are worked out for all at once.
+MANY = 100
 #: Equal sketch bytes of 56, below which a pair isn't fetched: five deviations under 0.85.
 LEAST_EQUAL = 34
 
@@ -152,6 +154,27 @@ def _equal(root: np.ndarray, n: np.ndarray, sketch: np.ndarray) -> np.ndarray:
     return np.where((root[:, None] != root[None]) & (100 * least >= PERCENT * most) & (equal >= LEAST_EQUAL), equal, 0)
 
 
+def _common(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all pairs of sets, as products of their incidence with runs that two sets have."""
+    flat = np.concatenate(sets)
+    of = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    order = np.argsort(flat, kind="stable")
+    flat, of = flat[order], of[order]
+    first = np.flatnonzero(np.r_[True, flat[1:] != flat[:-1]])
+    times = np.diff(np.r_[first, len(flat)])
+    number = np.cumsum(times > 1) - 1
+    column = np.repeat(np.where(times > 1, number, -1), times)
+    of, column = of[column >= 0], column[column >= 0]
+    out = np.zeros((len(sets), len(sets)), np.float32)
+    width = 4096
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        a, b = np.searchsorted(column, [at, at + width])
+        part = np.zeros((len(sets), width), np.float32)
+        part[of[a:b], column[a:b] - at] = 1
+        out += part @ part.T
+    return out.astype(np.int64)
+
+
 def _involved(rows: DataFrame) -> DataFrame:
     """Rows of groups that have a possible link of their own."""
 
@@ -186,13 +209,19 @@ def _confirmed(rows: DataFrame) -> DataFrame:
                     x = parent[x]
                 return x
 
+            if len(i) > MANY:  # all at once: only pairs that are links are looked at one by one
+                both, sizes = _common(sets)[i, j], n[a:b]
+                linked = 100 * both >= PERCENT * (sizes[i] + sizes[j] - both)
+                i, j = i[linked], j[linked]
+            else:
+                linked = None
             for k in np.argsort(-equal[i, j], kind="stable").tolist():
                 x, y = int(i[k]), int(j[k])
                 one, two = find(int(root[a + x])), find(int(root[a + y]))
                 if one == two:
                     continue
-                both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
-                if 100 * both >= PERCENT * (len(sets[x]) + len(sets[y]) - both):
+                both = 0 if linked is not None else len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                if linked is not None or 100 * both >= PERCENT * (len(sets[x]) + len(sets[y]) - both):
                     parent[max(one, two)] = min(one, two)
                     us.append(cid[a + x])
                     vs.append(cid[a + y])
