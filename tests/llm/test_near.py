@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 from ticketlens.llm import components as C
@@ -72,6 +73,22 @@ def test_large_nodes(make_docs, pool, monkeypatch):
     assert got == brute(rows)
 
 
+def test_long_texts_branch(make_docs):
+    """Unlinked long texts with a common passage part by their tokens, whose bytes are not all 0."""
+    rnd = random.Random(3)
+    passage = [f"p{k}" for k in range(200)]
+    n = N.SMALL + 76
+    rows = [(k, " ".join([f"w{rnd.randrange(10**6)}" for _ in range(1800)] + passage)) for k in range(n)]
+    docs = make_docs(rows)
+    signed = N.written(N._signed(docs), "signed")
+    sketches = np.array([list(r.sketch) for r in signed.select("sketch").collect()])
+    assert len(np.unique(sketches)) == 256
+    # Two of these sets have a twentieth in common.
+    assert (sketches[1:] == sketches[:-1]).mean() < 0.1
+    got = N.groups(docs)
+    assert got.count() == n and got.where("kept AND component_id = doc_id").count() == n
+
+
 def test_one_of_each_group_stays(make_docs, pool):
     text = " ".join(pool(100, 1))
     docs = make_docs([(5, text), (3, text + " x"), (9, " ".join(pool(100, 2))), (7, None)], extra=True)

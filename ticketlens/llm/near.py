@@ -95,7 +95,8 @@ def _signed(docs: DataFrame) -> DataFrame:
                 keys.append(xxhash.xxh3_128_digest(runs.tobytes()) if len(runs) else None)
                 tokens = tokens_of(runs) if len(runs) else np.zeros(FIRST + BYTES, np.uint64)
                 roots.append(tokens[:FIRST].view(np.int64))
-                sketches.append((tokens[FIRST:] >> np.uint64(56)).astype(np.uint8))
+                # Minima are small numbers: only after mixing are their top bytes even.
+                sketches.append((mixed(tokens[FIRST:]) >> np.uint64(56)).astype(np.uint8))
             n = len(sizes)
             flat = np.concatenate(roots) if n else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays(
