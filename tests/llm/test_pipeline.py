@@ -1,3 +1,5 @@
+import random
+
 import corpus_pipeline as P
 from ticketlens.llm import mixing, near, secrets
 from ticketlens.llm.base import table
@@ -23,6 +25,32 @@ def test_stages_in_turn(spark, sf_dir):
     assert len(last) == docs.count() and all(r.lossless for r in last)
 
 
+def test_near_copies_by_five_words_and_four_fifths(spark, sf_dir, make_docs, pool):
+    """The stage against all pairs: passages put in or cut, and scattered changes, about a similarity of 0.8."""
+    rnd = random.Random(5)
+    texts = []
+    for g in range(40):
+        words = pool(300, 500 + g)
+        other = list(words)
+        if g % 2:
+            at = rnd.randrange(300)
+            other[at:at] = pool(45 + g, 700 + g)
+        else:
+            for at in range(20, 300, 280 // (4 + g // 4)):
+                other[at] = f"new{at}"
+        texts += [" ".join(words), " ".join(other)]
+    sets = [set(zip(*(w[k:] for k in range(5)), strict=False)) for w in (t.split() for t in texts)]
+    dropped, near_limit = set(), 0
+    for i in range(1, len(texts), 2):
+        alike = len(sets[i] & sets[i - 1]) / len(sets[i] | sets[i - 1])
+        near_limit += 0.8 <= alike < 0.85
+        if alike >= 0.8:
+            dropped.add(i)
+    assert near_limit >= 5 and 5 <= len(dropped) <= 35
+    got = P.near_dedup_stage(spark, make_docs(list(enumerate(texts))), sf_dir)
+    assert sorted(r.doc_id for r in got.collect()) == sorted(set(range(len(texts))) - dropped)
+
+
 def test_run(spark, sf_dir):
     assert P.run(spark, sf_dir).where("lossless").count() > 0
 

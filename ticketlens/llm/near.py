@@ -1,14 +1,15 @@
 """MinHash near-dedup by a chosen-path set similarity join.
 
-A document is the set of its three-word runs. Documents with equal sets are
+A document is the set of its runs of ``run`` words (three); documents are linked from a similarity of
+``percent`` of a hundred (85). Documents with equal sets are
 one class; only classes are compared.
 
-Every class has 64 minwise tokens. A tree of nodes branches by them: the roots' children are
+Every class has 64 minwise tokens (more if more trees need them). A tree of nodes branches by them: the roots' children are
 the classes that agree in one of ``BRANCHES`` tokens of the tree, and a node with more than
 ``SMALL`` classes passes each to the children of two more tokens, chosen by the
 node's path. Two documents of similarity ``s`` are lost by a tree with the probability ``q`` for
 which ``q = (1 - s + s q) ** BRANCHES`` at most, however deep it goes: 3.1 % at 0.85, so
-one in a million with ``TREES`` = 4 independent trees.
+one in a million with 4 independent trees; 6.3 % at 0.8, so 5 trees.
 
 Small nodes are compared exhaustively. Sketches of one byte per token sort out the pairs that
 agree in so few as linked ones do once in a million times; the others, the likeliest first,
@@ -22,8 +23,8 @@ are compared each with all of the others. Any other large node is compared in pa
 the node, which connects a large group of near copies in one level; and it branches on, which
 parts classes that met by a common passage. Levels go on until every node is small or connected.
 
-Defined cases: words are compared with A-Z in lower case; a document of one
-or two words has these as its one run; a null text, an empty one or one without words
+Defined cases: words are compared with A-Z in lower case; a document of fewer words than a run
+has these as its one run; a null text, an empty one or one without words
 has no set, is linked with nothing and kept; rows with one id share the links
 of all of them, and stay together; rows without an id are in no component and kept; an empty table
 gives an empty result; extra columns are kept by ``deduplicated`` and not
@@ -32,7 +33,9 @@ read by ``groups``.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -45,58 +48,86 @@ from .base import mixed, text_or_empty, written
 from .components import components
 from .idset import id_set
 
+#: Words of a run, and a link's parts of a hundred in common, at least, unless others are asked for.
 RUN = 3
-#: A link: at least so many parts of a hundred in common.
 PERCENT = 85
-TREES, BRANCHES = 4, 2
-FIRST = TREES * BRANCHES
+BRANCHES = 2
 BYTES = 56
+#: A pair at exactly ``percent`` is lost by all trees with this chance at most.
+LOST = 1e-6
 #: Classes of a node that are compared exhaustively, and those of a large one that go to all its parts.
 SMALL, SAMPLES = 1024, 64
 #: Classes of a large node outside its largest component that go to all its parts, at most.
 OTHERS = 512
 #: Pairs of a node from which on intersections are worked out for all at once.
 MANY = 100
-#: Equal sketch bytes of 56, below which a pair isn't fetched: five deviations under 0.85.
-LEAST_EQUAL = 34
 
-_SEEDS = mixed(np.arange(1, 2 * (FIRST + BYTES) + 1, dtype=np.uint64))
-_XOR, _ODD = _SEEDS[0::2], _SEEDS[1::2] | np.uint64(1)
 
+@dataclass(frozen=True)
+class Measure:
+    """Which documents are linked, and what of the join follows from that."""
 
-def runs_of(text: str) -> np.ndarray:
-    """The set of a text's runs of three words as sorted 64-bit hashes."""
+    run: int = RUN
+    percent: int = PERCENT
+
+    def __post_init__(self) -> None:
+        # Two branches find nothing for sure where half of the tokens differ.
+        if self.run < 1 or not 50 < self.percent <= 100:
+            raise ValueError("run must be 1 or more, percent over 50 and at most 100")
+
+    @property
+    def first(self) -> int:
+        """Tokens of the roots: ``BRANCHES`` for each tree, as many trees as ``LOST`` asks for."""
+        s = self.percent / 100
+        one = ((1 - s) / s) ** 2
+        return BRANCHES * max(1, math.ceil(math.log(LOST) / math.log(one)) if one else 1)
+
+    @property
+    def least_equal(self) -> int:
+        """Equal sketch bytes below which a pair isn't fetched: five deviations under ``percent``."""
+        s = self.percent / 100
+        return math.floor(BYTES * s - 5 * math.sqrt(BYTES * s * (1 - s)))
+
+
+def runs_of(text: str, run: int = RUN) -> np.ndarray:
+    """The set of a text's runs of ``run`` words as sorted 64-bit hashes."""
     words = text.encode().lower().split()
     if not words:
         return np.empty(0, np.uint64)
     h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-    if len(h) < RUN:
+    if len(h) < run:
         return mixed(np.array([xxhash.xxh3_64_intdigest(b" ".join(words))], np.uint64) + np.uint64(len(h)))
-    return np.unique(mixed(mixed(mixed(h[:-2]) + h[1:-1]) + h[2:]))
-
-
-def tokens_of(runs: np.ndarray) -> np.ndarray:
-    """The minwise tokens of a set."""
-    out = np.empty(FIRST + BYTES, np.uint64)
-    for k in range(len(out)):
-        out[k] = ((runs ^ _XOR[k]) * _ODD[k]).min()
+    n = len(h) - run + 1
+    out = mixed(h[:n])
+    for k in range(1, run):
+        out = mixed(out + h[k : k + n])
+    return np.unique(out)
+
+
+def tokens_of(runs: np.ndarray, number: int) -> np.ndarray:
+    """The first minwise tokens of a set."""
+    seeds = mixed(np.arange(1, 2 * number + 1, dtype=np.uint64))
+    out = np.empty(number, np.uint64)
+    for k in range(number):
+        out[k] = ((runs ^ seeds[2 * k]) * (seeds[2 * k + 1] | np.uint64(1))).min()
     return out
 
 
-def _signed(docs: DataFrame) -> DataFrame:
+def _signed(docs: DataFrame, by: Measure = Measure()) -> DataFrame:
     """Id, size and key of each document's set, and its tokens: whole ones for the roots, bytes for the rest."""
+    first = by.first
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, keys, roots, sketches = [], [], [], []
             for text in batch.column("text").to_pylist():
-                runs = runs_of(text)
+                runs = runs_of(text, by.run)
                 sizes.append(len(runs))
                 keys.append(xxhash.xxh3_128_digest(runs.tobytes()) if len(runs) else None)
-                tokens = tokens_of(runs) if len(runs) else np.zeros(FIRST + BYTES, np.uint64)
-                roots.append(tokens[:FIRST].view(np.int64))
+                tokens = tokens_of(runs, first + BYTES) if len(runs) else np.zeros(first + BYTES, np.uint64)
+                roots.append(tokens[:first].view(np.int64))
                 # Minima are small numbers: only after mixing are their top bytes even.
-                sketches.append((mixed(tokens[FIRST:]) >> np.uint64(56)).astype(np.uint8))
+                sketches.append((mixed(tokens[first:]) >> np.uint64(56)).astype(np.uint8))
             n = len(sizes)
             flat = np.concatenate(roots) if n else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -104,7 +135,7 @@ def _signed(docs: DataFrame) -> DataFrame:
                     batch.column("doc_id"),
                     pa.array(sizes, pa.int64()),
                     pa.array(keys, pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * FIRST), pa.array(flat)),
+                    pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * first), pa.array(flat)),
                     pa.array([s.tobytes() for s in sketches], pa.binary()),
                 ],
                 ["doc_id", "n_shingles", "key", "roots", "sketch"],
@@ -148,11 +179,11 @@ def _numbers(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return rows.column("root").to_numpy(), rows.column("n").to_numpy(), sketch
 
 
-def _equal(root: np.ndarray, n: np.ndarray, sketch: np.ndarray) -> np.ndarray:
+def _equal(root: np.ndarray, n: np.ndarray, sketch: np.ndarray, by: Measure) -> np.ndarray:
     """Equal sketch bytes of each pair of a group; 0 where they are connected or can't be linked."""
     equal = (sketch[:, None] == sketch[None]).sum(2)
     least, most = np.minimum(n[:, None], n[None]), np.maximum(n[:, None], n[None])
-    return np.where((root[:, None] != root[None]) & (100 * least >= PERCENT * most) & (equal >= LEAST_EQUAL), equal, 0)
+    return np.where((root[:, None] != root[None]) & (100 * least >= by.percent * most) & (equal >= by.least_equal), equal, 0)
 
 
 def _common(sets: list[np.ndarray]) -> np.ndarray:
@@ -176,7 +207,7 @@ def _common(sets: list[np.ndarray]) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def _involved(rows: DataFrame) -> DataFrame:
+def _involved(rows: DataFrame, by: Measure) -> DataFrame:
     """Rows of groups that have a possible link of their own."""
 
     def work(table: pa.Table, edges: np.ndarray) -> pa.RecordBatch:
@@ -184,14 +215,14 @@ def _involved(rows: DataFrame) -> DataFrame:
         keep = np.zeros(len(table), bool)
         for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
             if b - a > 1 and (root[a:b] != root[a]).any():
-                keep[a:b] = _equal(root[a:b], n[a:b], sketch[a:b]).any(1)
+                keep[a:b] = _equal(root[a:b], n[a:b], sketch[a:b], by).any(1)
         found = table.filter(pa.array(keep)).combine_chunks()
         return pa.RecordBatch.from_arrays([c.combine_chunks() if c.num_chunks != 1 else c.chunk(0) for c in found.columns], found.column_names)
 
     return _together(rows, work, "node long, part int, cid long, key binary, root long, n long, sketch binary")
 
 
-def _confirmed(rows: DataFrame) -> DataFrame:
+def _confirmed(rows: DataFrame, by: Measure) -> DataFrame:
     """Links ``u``, ``v`` that connect what full sets link in each group."""
 
     def work(table: pa.Table, edges: np.ndarray) -> pa.RecordBatch:
@@ -199,7 +230,7 @@ def _confirmed(rows: DataFrame) -> DataFrame:
         cid, runs = table.column("cid").to_pylist(), table.column("runs")
         us, vs = [], []
         for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-            equal = np.triu(_equal(root[a:b], n[a:b], sketch[a:b]))
+            equal = np.triu(_equal(root[a:b], n[a:b], sketch[a:b], by))
             i, j = np.nonzero(equal)
             sets = [np.frombuffer(r, np.uint64) for r in runs.slice(a, b - a).to_pylist()]
             parent = {r: r for r in root[a:b].tolist()}
@@ -212,7 +243,7 @@ def _confirmed(rows: DataFrame) -> DataFrame:
 
             if len(i) > MANY:  # all at once: only pairs that are links are looked at one by one
                 both, sizes = _common(sets)[i, j], n[a:b]
-                linked = 100 * both >= PERCENT * (sizes[i] + sizes[j] - both)
+                linked = 100 * both >= by.percent * (sizes[i] + sizes[j] - both)
                 i, j = i[linked], j[linked]
             else:
                 linked = None
@@ -222,7 +253,7 @@ def _confirmed(rows: DataFrame) -> DataFrame:
                 if one == two:
                     continue
                 both = 0 if linked is not None else len(np.intersect1d(sets[x], sets[y], assume_unique=True))
-                if linked is not None or 100 * both >= PERCENT * (len(sets[x]) + len(sets[y]) - both):
+                if linked is not None or 100 * both >= by.percent * (len(sets[x]) + len(sets[y]) - both):
                     parent[max(one, two)] = min(one, two)
                     us.append(cid[a + x])
                     vs.append(cid[a + y])
@@ -231,14 +262,14 @@ def _confirmed(rows: DataFrame) -> DataFrame:
     return _together(rows, work, "u long, v long")
 
 
-def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
+def _sets(docs: DataFrame, ids: DataFrame, by: Measure) -> DataFrame:
     """``cid``, ``key`` and the full set of the documents with these ids, and perhaps of some more."""
     wanted = id_set(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = batch.filter(pa.array(wanted.may_have(batch.column(0))))
-            runs = [runs_of(t) for t in batch.column(1).to_pylist()]
+            runs = [runs_of(t, by.run) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -282,7 +313,7 @@ def _around(rows: DataFrame) -> DataFrame:
     return dealt.unionByName(rows.where(~inside).withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))))
 
 
-def links(classes: DataFrame, docs: DataFrame) -> DataFrame:
+def links(classes: DataFrame, docs: DataFrame, by: Measure = Measure()) -> DataFrame:
     """Links ``u``, ``v`` between classes that connect all that similarity connects.
 
     ``classes`` has ``cid`` (an id of the class), ``n``, ``key``, ``roots``, ``sketch``.
@@ -316,19 +347,20 @@ def links(classes: DataFrame, docs: DataFrame) -> DataFrame:
                 DataFrame.unionByName,
                 (x.select("node", "part", "cid", "key", "root", "n", "sketch") for x in (small, _around(crowd), _parted(large))),
             )
-            involved = written(_involved(parts), "involved")
+            involved = written(_involved(parts, by), "involved")
             if not involved.isEmpty():
-                sets = _sets(docs, involved.select("cid").distinct())
-                found = found.unionByName(written(_confirmed(involved.join(sets, ["cid", "key"])), "links"))
+                sets = _sets(docs, involved.select("cid").distinct(), by)
+                found = found.unionByName(written(_confirmed(involved.join(sets, ["cid", "key"]), by), "links"))
             if large.isEmpty():
                 break
             rows = _children(large)
     return found
 
 
-def groups(docs: DataFrame) -> DataFrame:
+def groups(docs: DataFrame, run: int = RUN, percent: int = PERCENT) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` of every document."""
-    signed = written(_signed(docs), "signed")
+    by = Measure(run, percent)
+    signed = written(_signed(docs, by), "signed")
     classes = written(
         signed.where("key IS NOT NULL AND doc_id IS NOT NULL")
         .groupBy("key")
@@ -342,7 +374,7 @@ def groups(docs: DataFrame) -> DataFrame:
     )
     # One text stands for a class; classes are told apart by id and key.
     named = classes.select(F.col("least").alias("cid"), "n", "key", "roots", "sketch")
-    roots = components(links(named, docs))
+    roots = components(links(named, docs, by))
     of_class = classes.join(roots.withColumnRenamed("id", "least"), "least", "left").select(
         "key", F.coalesce("root", "least").alias("component_id")
     )
@@ -355,7 +387,7 @@ def groups(docs: DataFrame) -> DataFrame:
     ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
-def deduplicated(docs: DataFrame) -> DataFrame:
+def deduplicated(docs: DataFrame, run: int = RUN, percent: int = PERCENT) -> DataFrame:
     """The documents of which each group keeps one, with their columns."""
-    dropped = groups(docs).where("NOT kept").select(F.col("doc_id").alias("_dropped")).distinct()
+    dropped = groups(docs, run, percent).where("NOT kept").select(F.col("doc_id").alias("_dropped")).distinct()
     return docs.join(dropped, docs["doc_id"] == F.col("_dropped"), "left_anti")

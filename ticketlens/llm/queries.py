@@ -34,7 +34,7 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's group of near copies."""
-    return near.groups(table(spark, sf_dir, "documents"))
+    return near.groups(table(spark, sf_dir, "documents"), run=3, percent=85)
 
 
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
