@@ -89,3 +89,28 @@ def test_visits_come_by_chance():
     visited = h.visits(q, 0)
     assert len(set(visited.tolist())) == len(visited)
     assert h.buckets(x[None], 0)[0] in visited[:3]
+
+
+@pytest.mark.parametrize("n", [20_000, 50_000_000])
+def test_lists_reach_the_target(n):
+    """A table's list holds the bucket of a neighbour at the radius as often as asked for, however many vectors there are."""
+    h = N.Hashing(64, n, 1.0, 1.1)
+    rnd = np.random.default_rng(4)
+    hit = []
+    for _ in range(8):
+        q, u = rnd.normal(size=64), rnd.normal(size=(200, 64))
+        q /= np.linalg.norm(q)
+        u -= (u @ q)[:, None] * q
+        u /= np.linalg.norm(u, axis=1)[:, None]
+        cos = 1 - 1.1**2 / 2
+        for t in range(h.tables):
+            hit.append(np.isin(h.buckets(cos * q + np.sqrt(1 - cos * cos) * u, t), h.visits(q, t)).mean())
+    assert np.mean(hit) >= h.each - 0.08
+
+
+def test_queries_with_few_candidates_are_compared_with_all(spark):
+    rnd = np.random.default_rng(3)
+    rows = [(5 * i, rnd.normal(size=8).tolist()) for i in range(30)]
+    got, want = found(N.nearest(frame(spark, rows), target=0.01)), brute(rows)
+    assert {q: len(v) for q, v in got.items()} == dict.fromkeys(want, 20)
+    assert sum([i for i, _ in got[q]] == [i for i, _ in want[q]] for q in want) >= len(want) - 1

@@ -14,7 +14,9 @@ the nearest is the one with the largest inner product.
 ``r`` is measured: ``PROBES`` queries are compared with all vectors. The number of projections follows the
 number of vectors, so buckets keep their size. Where the data has no structure, as random
 directions have none, a high recall takes a large share of the buckets; that
-share is then what the method needs, and it is not cut.
+share is then what the method needs, and it is not cut: the list of buckets goes on until ``TARGET``
+is met. So that it stays bounded, so does the number of projections; more vectors then make larger
+buckets. Queries that get too few candidates are compared with all vectors.
 
 Equal vectors are one class with its smallest ids, so a vector that very many rows share is
 compared once. Buckets are dealt to units of a bounded number of
@@ -48,8 +50,12 @@ BUCKET, UNIT, PART = 256, 8192, 4096
 #: Chance that a neighbour is in a visited bucket, of all tables together.
 TARGET = 0.985
 PROBES = 64
-#: Buckets of a lower chance are left out of the list (their chances are counted as missed).
-LEAST_CHANCE = 1e-6
+#: Buckets of a lower chance are listed only if the others don't add up to the target; the bound is then lowered by ``LOWER``.
+LEAST_CHANCE, LOWER = 1e-6, 8
+#: Bits that the number of a neighbour's bucket holds for a query, at most: a list is some times two to this power.
+LIST_BITS = 17
+#: Queries compared with a unit at once where they are compared with all vectors.
+AT_ONCE = 256
 SEED = 20
 
 
@@ -96,7 +102,8 @@ class Hashing:
 
     def __init__(self, dim: int, n: int, longest: float, radius: float, tables: int = TABLES, target: float = TARGET):
         # A projection on a unit's slots of width 1 tells about two bits.
-        self.k = max(1, round(math.log2(max(2.0, n / BUCKET)) / 2.05))
+        bits = max(0.5, 2.05 + math.log2(max(radius, 1e-9)))  # of a slot, for a query
+        self.k = max(1, min(round(math.log2(max(2.0, n / BUCKET)) / 2.05), int(LIST_BITS / bits)))
         self.tables, self.longest, self.radius = tables, longest, radius
         self.each = 1 - (1 - target) ** (1 / tables)
         rng = np.random.default_rng(SEED)
@@ -119,20 +126,24 @@ class Hashing:
         """Buckets that one query visits in a table, the likeliest first."""
         unit = np.append(q / np.sqrt(q @ q), 0.0)
         place = (self.normal[t] @ unit + self.shift[t]) / WIDTH
-        slots = np.zeros((1, 0), np.int64)
-        chance = np.ones(1)
-        reach = math.ceil(5 * self.radius / WIDTH)
-        for at in place:
-            own = np.arange(math.floor(at) - reach, math.floor(at) + reach + 1)
-            edges = (np.r_[own, own[-1] + 1] - at) * WIDTH / max(self.radius, 1e-9)
-            share = np.diff(0.5 * (1 + np.vectorize(math.erf)(edges / math.sqrt(2))))
-            chance = (chance[:, None] * share[None]).ravel()
-            slots = np.c_[np.repeat(slots, len(own), 0), np.tile(own, len(slots))]
-            likely = chance >= LEAST_CHANCE
-            chance, slots = chance[likely], slots[likely]
-        order = np.argsort(-chance, kind="stable")
-        n = int(np.searchsorted(np.cumsum(chance[order]), self.each)) + 1
-        return self.numbers(slots[order[:n]])
+        reach = math.ceil(6 * self.radius / WIDTH)
+        own = np.floor(place).astype(np.int64)[:, None] + np.arange(-reach, reach + 2)
+        edges = (own - place[:, None]) * WIDTH / max(self.radius, 1e-9)
+        shares = np.diff(0.5 * (1 + np.vectorize(math.erf)(edges / math.sqrt(2))), axis=1)
+        least = LEAST_CHANCE
+        while True:
+            slots, chance = np.zeros((1, 0), np.int64), np.ones(1)
+            for at, share in zip(own, shares, strict=True):
+                i, j = np.nonzero(chance[:, None] * share[None] >= least)
+                chance, slots = chance[i] * share[j], np.c_[slots[i], at[j]]
+            order = np.argsort(-chance, kind="stable")
+            sums = np.cumsum(chance[order])
+            if len(sums) and sums[-1] >= self.each:
+                n = int(np.searchsorted(sums, self.each)) + 1
+                return self.numbers(slots[order[:n]])
+            if not least:  # all buckets within reach
+                return self.numbers(slots[order])
+            least = least / LOWER if least > 1e-15 else 0.0
 
 
 def _radius(kinds: DataFrame, queries: list[np.ndarray], longest: float, top: int) -> float:
@@ -263,14 +274,46 @@ def nearest(vectors: DataFrame, every: int = 20, top: int = TOP, target: float =
             return none
         return pd.DataFrame({"query": np.concatenate(out_q), "cid": np.concatenate(out_c), "score": np.concatenate(out_s)})
 
+    def match_all(data: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
+        out = [pd.DataFrame({"query": pd.Series(dtype="int64"), "cid": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})]
+        if not data.empty and not asks.empty:
+            x, ids = np.stack(data["vec"].to_numpy()), data["cid"].to_numpy()
+            for at in range(0, len(asks), AT_ONCE):
+                some = asks.iloc[at : at + AT_ONCE]
+                for own, s in zip(some["cid"], np.stack(some["vec"].to_numpy()) @ x.T, strict=True):
+                    pick = np.lexsort((ids, -s))[: top + 1]
+                    out.append(pd.DataFrame({"query": own, "cid": ids[pick], "score": s[pick]}))
+        return pd.concat(out[1:] or out, ignore_index=True)
+
     key = ["t", "unit", "split", "part"]
-    found = (
-        left.groupBy(*key).cogroup(right.groupBy(*key)).applyInPandas(match, "query long, cid long, score double")
-        .groupBy("query", "cid").agg(F.max("score").alias("score"))
-    )
-    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "cid"))
-    found = found.withColumn("rank", rank).where(F.col("rank") <= top + 1)
-    found = written(found.join(kinds.select("cid", "ids"), "cid").select("query", "score", F.explode("ids").alias("vec_id")), "found")
+
+    def best_of(data: DataFrame, asks: DataFrame, work) -> DataFrame:
+        found = (
+            data.groupBy(*key).cogroup(asks.groupBy(*key)).applyInPandas(work, "query long, cid long, score double")
+            .groupBy("query", "cid").agg(F.max("score").alias("score"))
+        )
+        rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "cid"))
+        found = found.withColumn("rank", rank).where(F.col("rank") <= top + 1)
+        return written(found.join(kinds.select("cid", "ids"), "cid").select("query", "score", F.explode("ids").alias("vec_id")), "found")
+
+    found = best_of(left, right, match)
+    # Queries with too few candidates are compared with all vectors, in the units of the first table.
+    enough = min(top + 1, kinds.agg(F.sum(F.size("ids"))).first()[0])
+    served = found.groupBy("query").agg(F.count("*").alias("n")).where(F.col("n") >= enough)
+    lacking = written(asked.join(served, asked["cid"] == served["query"], "left_anti").select("cid", "vec"), "lacking")
+    n_lacking = lacking.count()
+    if n_lacking:
+        parts = -(-n_lacking // PART)
+        one = splits.where("t = 0").withColumn("split", F.explode(F.sequence(F.lit(0), F.col("splits") - 1)))
+        everything = (
+            dealt.where("t = 0").join(splits, ["t", "unit"])
+            .withColumn("split", F.pmod(F.xxhash64("cid"), F.col("splits")).cast("int"))
+            .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+            .select(*key, "cid", "vec")
+        )
+        asking = lacking.withColumn("part", F.pmod(F.xxhash64("cid"), F.lit(parts)).cast("int")).crossJoin(one)
+        exact = best_of(everything, asking.select(*key, "cid", "vec"), match_all)
+        found = found.join(lacking.select(F.col("cid").alias("query")), "query", "left_anti").unionByName(exact)
     # Of a query's class, what any of its queries can get: one more than a result, as its own id may be among them.
     rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id"))
     found = written(found.withColumn("rank", rank).where(F.col("rank") <= top + 1), "ranked")
