@@ -2,8 +2,10 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame. All but
 the last return the columns of ``documents``; what a stage decides shows in
-its rows: toxic documents and near copies are gone, secrets are masked, and
-rows come in the order of the mix. The last returns the encoded corpus.
+its rows: toxic documents and near copies are gone, and secrets are masked. The
+last returns the encoded corpus. Files read again have no order, so the encoded
+corpus says where each document comes in the mix: the schedule follows from the set of rows alone,
+whatever files they are in.
 
 Defined cases: a stage takes an empty table, null texts and repeated rows as
 its operator does (see their modules); further columns of ``docs`` pass
@@ -42,8 +44,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every whole text encoded and decoded: digests of the ids and of the bytes."""
-    return bpe.round_trip(docs)
+    """Every whole text encoded and decoded: digests of the ids and of the bytes, with ``slot``, ``in_block`` and ``position`` in the mix."""
+    return bpe.round_trip(mixing.positions(docs), keep=("slot", "in_block", "position"))
 
 
 STAGES = [

@@ -51,6 +51,20 @@ def test_near_copies_by_five_words_and_four_fifths(spark, sf_dir, make_docs, poo
     assert sorted(r.doc_id for r in got.collect()) == sorted(set(range(len(texts))) - dropped)
 
 
+def test_the_mix_outlasts_files(spark, sf_dir, make_docs):
+    """Positions of the encoded corpus are those of the mix, from files in any order."""
+    sizes = {"a": 700, "b": 150, "c": 40, None: 10}
+    rows = [(k, f"text {k}", s) for k, s in enumerate(s for s, n in sizes.items() for _ in range(n))]
+    docs = make_docs(rows + rows[:1] + [(None, None, "a")])
+    order = [r.doc_id for r in mixing.mixed(docs).collect()]
+    read = P.written(P.mixing_stage(spark, docs, sf_dir).repartition(7), "several")
+    assert len(read.inputFiles()) > 1 and [r.doc_id for r in read.collect()] != order
+    got = sorted(P.encoding_stage(spark, read, sf_dir).collect(), key=lambda r: r.position)
+    assert [r.position for r in got] == list(range(len(order))) and [r.doc_id for r in got] == order
+    slots = {(r.doc_id, r.slot, r.in_block) for r in mixing.scheduled(docs).collect()}
+    assert {(r.doc_id, r.slot, r.in_block) for r in got} == slots
+
+
 def test_run(spark, sf_dir):
     assert P.run(spark, sf_dir).where("lossless").count() > 0
 

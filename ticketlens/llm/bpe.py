@@ -23,7 +23,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 from itertools import chain
 
@@ -192,13 +192,13 @@ def decoded(df: DataFrame, path: str | None = None, ids_col: str = "ids") -> Dat
 
 
 def round_trip(
-    df: DataFrame, path: str | None = None, text_col: str = "text", id_col: str = "doc_id"
+    df: DataFrame, path: str | None = None, text_col: str = "text", id_col: str = "doc_id", keep: Sequence[str] = ()
 ) -> DataFrame:
     """Encode each text, decode its ids, and return digests of both.
 
     One row per input row: id, ``n_tokens``, ``ids_sha256`` (decimal ids
     joined by one blank), ``decoded_sha256`` (decoded bytes) and ``lossless``
-    (the decoded bytes are the text's). The ids stay in the worker, so only digests travel.
+    (the decoded bytes are the text's), and the columns to ``keep``. The ids stay in the worker, so only digests travel.
     """
     path = path or default_vocabulary()
 
@@ -221,10 +221,11 @@ def round_trip(
                     pa.array(ids_digest, pa.string()),
                     pa.array(digest, pa.string()),
                     pa.array(lossless, pa.bool_()),
+                    *batch.columns[2:],
                 ],
-                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "lossless"],
+                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "lossless", *keep],
             )
 
-    return df.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text")).mapInArrow(
-        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, lossless boolean"
-    )
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, lossless boolean"
+    schema = ", ".join([schema, *(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)])
+    return df.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"), *keep).mapInArrow(run, schema)
