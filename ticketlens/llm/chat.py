@@ -55,7 +55,8 @@ def prefix_keys(turns: DataFrame) -> DataFrame:
     """
     key = ["conv_id", "block"]
     inside = Window.partitionBy(*key).orderBy("turn", "role", "text")
-    running = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # By the place, which no two rows share: tied turns roll in the order that numbered them.
+    running = Window.partitionBy(*key).orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     earlier = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("conv_id")
 
