@@ -12,7 +12,7 @@ def test_stages_in_turn(spark, sf_dir):
         assert after.columns == before.columns, name
         after = P.written(after, name)
         if name == "near_dedup":
-            assert {r.doc_id for r in after.collect()} == {r.doc_id for r in near.groups(docs).where("kept").collect()}
+            assert {r.doc_id for r in after.collect()} == {r.doc_id for r in near.groups(docs, P.NEAR_RUN, P.NEAR_PERCENT).where("kept").collect()}
         if name in ("secrets", "mixing"):
             assert sorted(r.doc_id for r in after.collect()) == sorted(r.doc_id for r in docs.collect())
         if name == "secrets":
