@@ -22,7 +22,7 @@ def test_registered():
     names = set(E.queries())
     assert set(Q.queries()) <= names
     assert "pipeline" in names
-    assert {n.split("_")[0] for n in Q.queries()} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in Q.queries()} == {f"op{i}" for i in range(1, 14)}
     assert set(Q.oracle_sql()) <= set(Q.queries())
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, mixing, near, neighbours, quality, repeats, secrets, toxicity, warc
+from . import bpe, chat, divergence, infill, mixing, near, neighbours, quality, repeats, secrets, toxicity, urls, warc
 from .base import table
 
 
@@ -62,6 +62,22 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"))
 
 
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's URL judged by the rules, else by a model fitted on the labelled table."""
+    model = urls.fitted(spark.createDataFrame(urls.labelled_urls(), "label int, url string"))
+    return urls.judged(table(spark, sf_dir, "pages"), model, keep=["page_id"])
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text cut and rebuilt: counts, form and digests."""
+    return infill.digests(table(spark, sf_dir, "documents"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pairs of sources of each language, and each source's most divergent terms."""
+    return divergence.audited(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_secret_scan": op1_secret_scan,
@@ -74,6 +90,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_warc_revisits": op8_warc_revisits,
         "op9_multiprobe_neighbours": op9_multiprobe_neighbours,
         "op10_byte_bpe": op10_byte_bpe,
+        "op11_url_filter": op11_url_filter,
+        "op12_fill_in_middle": op12_fill_in_middle,
+        "op13_source_divergence": op13_source_divergence,
     }
 
 
@@ -83,4 +102,6 @@ def oracle_sql() -> dict[str, str]:
         "op3_substring_dedup": repeats.ORACLE,
         "op6_chat_formatting": chat.ORACLE,
         "op8_warc_revisits": warc.ORACLE,
+        "op12_fill_in_middle": infill.ORACLE,
+        "op13_source_divergence": divergence.ORACLE,
     }
