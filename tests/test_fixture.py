@@ -91,28 +91,6 @@ def test_the_shared_folder_is_one(spark):
     assert ensure_shared_dir(spark) == ensure_shared_dir(spark)
 
 
-def test_durable_table_is_written_once_and_read_later(spark, tmp_path):
-    from ticketlens.sources import store
-
-    df = spark.createDataFrame([(2015, True, "a"), (2016, False, "b")], "file_year int, in_file_year boolean, x string")
-    path, made = f"file://{tmp_path}/durable", []
-
-    def build():
-        made.append(1)
-        return df
-
-    def get():
-        return store.stored(spark, "durable-test", build, ("file_year", "in_file_year"), path=path)
-
-    first = sorted(map(tuple, get().select(*df.columns).collect()))
-    store._STORED.clear()  # as in a later application
-    again = get()
-    assert len(made) == 1 and sorted(map(tuple, again.select(*df.columns).collect())) == first
-    assert dict(again.dtypes)["in_file_year"] == "boolean"
-    store.forget(spark)
-    assert spark.read.parquet(path).count() == 2  # the caller's files stay
-
-
 def test_forget_removes_own_files(spark):
     from ticketlens.sources import store
 

@@ -139,7 +139,7 @@ def test_cells_that_typing_loses_are_counted(spark, files):
 
 
 def test_store_years_tells_its_arguments_apart(spark, files):
-    from ticketlens.sources.csv import store_years
+    from ticketlens.sources.yearly import store_years
 
     used, _ = store_years(spark, files)
     every, _ = store_years(spark, {2015: files[2015]}, columns="all")
@@ -149,7 +149,7 @@ def test_store_years_tells_its_arguments_apart(spark, files):
 
 
 def test_store_years_once_and_clean_by_partition(spark, files):
-    from ticketlens.sources.csv import store_years
+    from ticketlens.sources.yearly import store_years
 
     everything, clean = store_years(spark, files)
     assert everything.count() == 6

@@ -28,8 +28,6 @@ def test_query_plan(spark, sf_dir, name):
         assert plan.count("Scan parquet") == len(fixture_years(spark, sf_dir)) and "Union" in plan, plan
         # rows are counted before the rollup doubles anything
         assert plan.index("Expand") < plan.rindex("HashAggregate") < plan.index("Scan parquet"), plan
-    elif name == "csv_ingest":
-        assert plan.count("Scan csv") == 2 * len(fixture_years(spark, sf_dir)), plan
     else:
         assert plan.count("Scan parquet") == 1, plan
     assert not any(n in plan for n in PYTHON_NODES), plan

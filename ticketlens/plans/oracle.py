@@ -171,6 +171,33 @@ SELECT file_year, count(*) AS n,
 FROM tickets GROUP BY file_year
 """
     )
+    q["csv_broken_records"] = _with(
+        """
+SELECT file_year, reason, count(*) AS n, CAST(sum(length(CAST(summons_number AS VARCHAR)) + more) AS BIGINT) AS chars FROM (
+  SELECT file_year, summons_number,
+    CASE summons_number % 120 WHEN 3 THEN 'too long' WHEN 43 THEN 'too short' WHEN 83 THEN 'open quote' END AS reason,
+    CASE summons_number % 120 WHEN 3 THEN 51 WHEN 43 THEN 41 WHEN 83 THEN 44 END AS more
+  FROM tickets
+) t WHERE reason IS NOT NULL GROUP BY file_year, reason
+"""
+    )
+    q["csv_inferred_types"] = _with(
+        """
+SELECT file_year, 'feet_from_curb' AS column_name, 'double' AS type, count(violation_code) AS n,
+  CAST(coalesce(sum(violation_code * 10 + half * 5), 0) AS DOUBLE) AS total FROM halves GROUP BY file_year
+UNION ALL
+SELECT file_year, 'vehicle_year', 'bigint', count(summons_number),
+  CAST(coalesce(sum((CAST(summons_number AS HUGEINT) + half * 1000000000000) * 10), 0) AS DOUBLE) FROM halves GROUP BY file_year
+UNION ALL
+SELECT file_year, 'meter_number', 'string', count(violation_code),
+  CAST(coalesce(sum(CASE half WHEN 0 THEN 4 ELSE 1 + length(CAST(violation_code AS VARCHAR)) END) FILTER (WHERE violation_code IS NOT NULL), 0) AS DOUBLE)
+FROM halves GROUP BY file_year
+UNION ALL
+SELECT file_year, 'unregistered_vehicle', 'int', count(violation_code) FILTER (WHERE half = 1),
+  CAST(coalesce(sum(violation_code * 10) FILTER (WHERE half = 1), 0) AS DOUBLE) FROM halves GROUP BY file_year
+""",
+        "halves AS (SELECT *, (coalesce(violation_precinct, 0) + coalesce(length(street_name), 0)) % 2 AS half FROM tickets)",
+    )
     q["issue_years"] = _with(
         "SELECT DISTINCT substring(issue_date, 7, 4) AS issue_year FROM tickets ORDER BY issue_year DESC"
     )

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..operators.clean import invalid_states, issue_years, missing_address, null_profile
 from ..schema import YEAR_COL
 from ..sources.fixture import FIXTURE_FINES, fixture_years, stored_clean, stored_tickets
-from ..sources.roundtrip import csv_ingest
+from ..sources.roundtrip import csv_broken_records, csv_inferred_types, csv_ingest
 from . import analyses as A
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,6 +67,8 @@ def queries() -> dict[str, Query]:
         "row_counts": _on_tickets(A.row_counts),
         "union_years": _yearly_files(A.union_years),
         "csv_ingest": csv_ingest,
+        "csv_broken_records": csv_broken_records,
+        "csv_inferred_types": csv_inferred_types,
         "issue_years": _on_tickets(issue_years),
         "clean_counts": _on_clean(A.clean_counts),
         "null_profile": _on_clean(null_profile),

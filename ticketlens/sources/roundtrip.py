@@ -1,65 +1,139 @@
-"""The citation table through CSV: written as yearly files, read back and profiled.
+"""The citation table through CSV: written as yearly files, stored year by year, read back and profiled.
 
 Each year is written as two parts whose columns come in different orders;
-every other year has the eight surplus columns (51 columns against 43). The
-files go to the shared folder once per application and are read by
-``read_years``, by name.
+every other year has the eight surplus columns (51 columns against 43). Some of the carried
+columns hold other kinds of values in the one part than in the other, and a third part of each year
+holds lines that are no records: too long, too short, or with a quote left open. The files go to the shared folder
+once per application. The table is stored in two steps, all years but the last, then all,
+so what the queries read has grown by a year.
 """
 
 from __future__ import annotations
 
 import threading
-import uuid
+from collections import defaultdict
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schema import EXTRA_COLUMNS, USED_COLUMNS, YEAR_COL
-from .csv import read_years
+from ..schema import EXTRA_COLUMNS, USED_COLUMNS, YEAR_COL, build_name
 from .fixture import fixture_years, stored_tickets
-from .store import ensure_shared_dir
+from .store import own_folder, persisted
+from .yearly import broken_records, store_years
 
+#: Carried columns whose parts hold different kinds of values, with the type that holds both.
+MIXED = {
+    "Feet From Curb": "double",
+    "Vehicle Year": "bigint",
+    "Meter Number": "string",
+    "Unregistered Vehicle": "int",
+}
 #: Columns that are only carried, as many as the real files have.
-CARRIED = tuple(f"Extra {i:02d}" for i in range(1, 33))
-_LOCK = threading.RLock()
-_PATHS: dict[tuple[str, str], dict[int, list[str]]] = {}
+CARRIED = tuple(f"Extra {i:02d}" for i in range(1, 33 - len(MIXED)))
+#: Of so many summons numbers one brings a line that is no record, by its remainder.
+PLANTED_OF = 120
+PLANTED = {3: "too long", 43: "too short", 83: "open quote"}
+_LOCKS: dict[str, threading.RLock] = defaultdict(threading.RLock)
+_WRITTEN: set[str] = set()
 
 
-def _columns(wide: bool, other_order: bool) -> list[Column]:
+def _mixed_cells(part: int) -> list[Column]:
+    """Whole numbers in the first part; in the second fractions, larger numbers, text, and any number at all."""
+    code, summons = F.col("violation_code"), F.col("summons_number")
+    cells = (
+        (code, summons, F.lpad(code.cast("string"), 4, "0"), F.lit(None).cast("int")),
+        (code + F.lit(0.5), summons + F.lit(10**12), F.concat(F.lit("M"), code.cast("string")), code),
+    )[part]
+    return [c.cast("string").alias(name) for name, c in zip(MIXED, cells, strict=True)]
+
+
+def _columns(wide: bool, part: int) -> list[Column]:
     own = [F.col(name).cast("string").alias(source) for source, (name, _) in USED_COLUMNS.items()]
     carried = [F.lit("x").alias(c) for c in (*CARRIED, *(EXTRA_COLUMNS if wide else ()))]
-    return list(reversed(own + carried)) if other_order else own + carried
+    out = own + _mixed_cells(part) + carried
+    return list(reversed(out)) if part else out
+
+
+def _planted_line(header: list[str]) -> Column:
+    """A line that is no record of ``header``, by the summons number's remainder."""
+    cells = [F.col("summons_number").cast("string")] + [F.lit("")] * (len(header) - 1)
+    kinds = {
+        "too long": F.concat_ws(",", *cells, F.lit("one more")),
+        "too short": F.concat_ws(",", *cells[:-1]),
+        "open quote": F.concat_ws(",", cells[0], F.lit('"x'), *cells[2:]),
+    }
+    remainder = F.col("summons_number") % PLANTED_OF
+    out = F
+    for k, name in PLANTED.items():
+        out = out.when(remainder == k, kinds[name])
+    return out
 
 
 def write_yearly_csv(tickets: DataFrame, years: list[int], base: str) -> dict[int, list[str]]:
-    """Write a citation table as CSV parts; ``{year: its two parts}``."""
-    half = F.pmod(F.xxhash64("house_number", "violation_time"), F.lit(2))
-    for wide in (True, False):
-        shape = [y for i, y in enumerate(years) if (i % 2 == 0) == wide]
-        for part in (0, 1) if shape else ():
-            (
-                tickets.where(F.col(YEAR_COL).isin(*shape) & (half == part))
-                .select(*_columns(wide, part == 1), YEAR_COL)
-                .write.partitionBy(YEAR_COL)
-                .option("header", True)
-                .csv(f"{base}/{'wide' if wide else 'narrow'}-{part}")
-            )
+    """Write a citation table as CSV parts; ``{year: its parts}``.
+
+    The table is read once and kept, its years together, while the five shapes are written.
+    """
+    half = (F.coalesce("violation_precinct", F.lit(0)) + F.coalesce(F.length("street_name"), F.lit(0))) % 2
+    with persisted(tickets.hint("rebalance", YEAR_COL)) as rows:
+        for wide in (True, False):
+            shape = [y for i, y in enumerate(years) if (i % 2 == 0) == wide]
+            for part in (0, 1) if shape else ():
+                (
+                    rows.where(F.col(YEAR_COL).isin(*shape) & (half == part))
+                    .select(*_columns(wide, part), YEAR_COL)
+                    .write.partitionBy(YEAR_COL)
+                    .option("header", True)
+                    .csv(f"{base}/{'wide' if wide else 'narrow'}-{part}")
+                )
+        header = rows.select(*_columns(False, 0)).columns
+        # One column whose name is the header and whose cells are lines: nothing in them is quoted.
+        (
+            rows.where((F.col("summons_number") % PLANTED_OF).isin(*PLANTED))
+            .select(_planted_line(header).alias(",".join(header)), YEAR_COL)
+            .write.partitionBy(YEAR_COL)
+            .option("header", True)
+            .option("sep", "\u0002")
+            .option("quote", "\u0003")
+            .csv(f"{base}/planted")
+        )
+    held = {r[0] for r in tickets.where((F.col("summons_number") % PLANTED_OF).isin(*PLANTED)).select(YEAR_COL).distinct().collect()}
     return {
         y: [f"{base}/{'wide' if i % 2 == 0 else 'narrow'}-{part}/{YEAR_COL}={y}" for part in (0, 1)]
+        + ([f"{base}/planted/{YEAR_COL}={y}"] if y in held else [])
         for i, y in enumerate(years)
     }
 
 
+_PATHS: dict[str, dict[int, list[str]]] = {}
+
+
+def _yearly_files(spark: SparkSession, sf_dir: str) -> dict[int, list[str]]:
+    base = own_folder(spark, f"yearly-csv:{sf_dir}")
+    with _LOCKS[base]:
+        if base not in _PATHS:
+            _PATHS[base] = write_yearly_csv(stored_tickets(spark, sf_dir), fixture_years(spark, sf_dir), base)
+        return _PATHS[base]
+
+
+def _stored(spark: SparkSession, sf_dir: str, **how) -> tuple[DataFrame, str]:
+    """The table that was first stored without its last year, then with all; and its folder."""
+    paths = _yearly_files(spark, sf_dir)
+    target = own_folder(spark, f"yearly-table:{sf_dir}:{sorted(how.items())}")
+    with _LOCKS[target]:
+        if target not in _WRITTEN:
+            first = dict(sorted(paths.items())[:-1]) or paths
+            store_years(spark, first, target, **how)
+            _WRITTEN.add(target)
+        rows, _ = store_years(spark, paths, target, broken="quarantine", **how)
+    return rows, target
+
+
 def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per year of the files read back: rows, NULLs and sums of typed columns."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    with _LOCK:
-        if key not in _PATHS:
-            base = f"{ensure_shared_dir(spark)}/ticketlens/csv-{uuid.uuid4().hex[:12]}"
-            _PATHS[key] = write_yearly_csv(stored_tickets(spark, sf_dir), fixture_years(spark, sf_dir), base)
-    read = read_years(spark, _PATHS[key])
+    """Per year of the stored files: rows, NULLs and sums of typed columns, broken records left out."""
+    rows, _ = _stored(spark, sf_dir)
     return (
-        read.groupBy(YEAR_COL)
+        rows.groupBy(YEAR_COL)
         .agg(
             F.count(F.lit(1)).alias("n"),
             *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in ("summons_number", "registration_state", "issue_date", "violation_time", "house_number", "street_name")],
@@ -72,3 +146,32 @@ def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .orderBy(YEAR_COL)
     )
+
+
+def csv_broken_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records that are too long, too short or badly quoted, per year: ``file_year, reason, n, chars``."""
+    _, target = _stored(spark, sf_dir)
+    return (
+        broken_records(spark, target)
+        .groupBy(YEAR_COL, "reason")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("record")).alias("chars"))
+        .orderBy(YEAR_COL, "reason")
+    )
+
+
+def csv_inferred_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stated types of columns whose parts hold different kinds of values, per year:
+    ``file_year, column_name, type, n, total`` (tenths of numbers added up, or characters of text)."""
+    rows, _ = _stored(spark, sf_dir, columns="all", infer_schema=True)
+    names = [build_name(c) for c in MIXED]
+    kinds = dict(rows.dtypes)
+
+    def told(c: str) -> Column:
+        cell = F.length(c) if kinds[c] == "string" else F.round(F.col(c).cast("decimal(30,1)") * 10, 0)
+        return F.struct(
+            F.lit(c).alias("column_name"), F.lit(kinds[c]).alias("type"),
+            F.count(c).alias("n"), F.coalesce(F.sum(cell.cast("decimal(30,0)")), F.lit(0)).cast("decimal(38,0)").alias("total"),
+        )
+
+    per_year = rows.groupBy(YEAR_COL).agg(F.array(*(told(c) for c in names)).alias("columns"))
+    return per_year.select(YEAR_COL, F.inline("columns")).select(YEAR_COL, "column_name", "type", "n", F.col("total").cast("double").alias("total"))

@@ -6,15 +6,12 @@ columnar table. ``stored`` **runs a job**: it writes a built DataFrame as
 parquet and hands back a scan of it. The write also cuts the lineage: a lost
 executor costs a re-read of parquet files, not a re-run of the join.
 
-* With ``path`` the table is durable: the first application writes it there,
-  later ones read it. The caller names a new path for new source files.
-* Without ``path`` it belongs to this application: a folder below the one
-  that ``spark.checkpoint.dir`` names, which ``forget`` removes.
-
-Rows whose tasks hold many years are rebalanced on the partition columns
-before the write (``mixed=True``), with AQE splitting large folders into
-advisory-size tasks. Where each task reads rows of one year, as with a file
-per year, they are written as they come, without a shuffle. ``stored_citations`` adds a second partition level
+The table belongs to this application: a folder below the one that
+``spark.checkpoint.dir`` names, which ``forget`` removes. A table that outlives the application and grows with its source
+files is the matter of ``sources.yearly``.
+
+Rows are rebalanced on the partition columns before the write, with AQE
+splitting large folders into advisory-size tasks. ``stored_citations`` adds a second partition level
 for the year filter, so "clean rows" is partition pruning.
 """
 
@@ -29,10 +26,8 @@ from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..schema import YEAR_COL
 from ..session import CHECKPOINT_KEY
@@ -95,14 +90,14 @@ def ensure_shared_dir(spark: SparkSession) -> str:
         return current.rstrip("/")
 
 
-def _written_before(spark: SparkSession, path: str, types: dict[str, T.DataType]) -> DataFrame | None:
-    """Scan of a table at ``path``, its partition columns typed; None if there is none."""
-    try:
-        found = spark.read.parquet(path)
-    except AnalysisException:  # no such folder, or nothing committed in it
-        return None
-    schema = T.StructType([T.StructField(f.name, types.get(f.name, f.dataType)) for f in found.schema])
-    return spark.read.schema(schema).parquet(path)
+def own_folder(spark: SparkSession, name: str) -> str:
+    """A folder of this application below the shared one, the same for one name; ``forget`` removes it."""
+    key = (_app_id(spark), name)
+    with _LOCK:
+        if key not in _OWN_PATHS:
+            safe = re.sub(r"[^0-9A-Za-z_.-]+", "_", name).strip("_")[-80:]
+            _OWN_PATHS[key] = f"{ensure_shared_dir(spark)}/ticketlens/{safe}-{uuid.uuid4().hex[:12]}"
+        return _OWN_PATHS[key]
 
 
 def stored(
@@ -110,27 +105,19 @@ def stored(
     name: str,
     build: Callable[[], DataFrame],
     partition_by: Sequence[str] = (YEAR_COL,),
-    path: str | None = None,
-    mixed: bool = True,
 ) -> DataFrame:
     """Scan of ``build()``, written by a job of this call unless it was before.
 
     ``name`` must tell apart whatever ``build`` makes of different arguments.
     """
-    key = (_app_id(spark), f"{name}@{path}" if path else name)
+    key = (_app_id(spark), name)
     with _lock_of(key):
-        scan = _STORED.get(key)
-        if scan is None and path:
-            scan = _written_before(spark, path, {YEAR_COL: T.IntegerType(), IN_YEAR_COL: T.BooleanType()})
-        if scan is None:
-            if path is None:
-                safe = re.sub(r"[^0-9A-Za-z_.-]+", "_", name).strip("_")[-80:]
-                path = f"{ensure_shared_dir(spark)}/ticketlens/{safe}-{uuid.uuid4().hex[:12]}"
-                _OWN_PATHS[key] = path
-            built = build()
+        if key not in _STORED:
+            built, path = build(), own_folder(spark, name)
+            # A first write that failed leaves files without a handle: they are written over.
             (
-                (built.hint("rebalance", *partition_by) if mixed else built)
-                .write.mode("errorifexists")
+                built.hint("rebalance", *partition_by)
+                .write.mode("overwrite")
                 .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
                 .partitionBy(*partition_by)
                 .parquet(path)
@@ -138,14 +125,11 @@ def stored(
             # Read back with the built schema: partition columns keep their
             # types (a boolean folder value would otherwise be inferred as
             # text) and no footer-reading job is needed to plan the scan.
-            scan = spark.read.schema(built.schema).parquet(path).select(*built.columns)
-        _STORED[key] = scan
-    return scan
+            _STORED[key] = spark.read.schema(built.schema).parquet(path).select(*built.columns)
+        return _STORED[key]
 
 
-def stored_citations(
-    spark: SparkSession, name: str, build: Callable[[], DataFrame], path: str | None = None, mixed: bool = True
-) -> tuple[DataFrame, DataFrame]:
+def stored_citations(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> tuple[DataFrame, DataFrame]:
     """Store a citation table once; return ``(all rows, clean rows)``.
 
     The table is partitioned by ``file_year`` and by ``in_file_year``, the
@@ -154,7 +138,7 @@ def stored_citations(
     """
     from ..operators.clean import issued_in_file_year
 
-    key = (_app_id(spark), f"{name}@{path}" if path else name)
+    key = (_app_id(spark), name)
     with _lock_of(key):
         if key not in _VIEWS:
             scan = stored(
@@ -162,8 +146,6 @@ def stored_citations(
                 name,
                 lambda: build().withColumn(IN_YEAR_COL, issued_in_file_year()),
                 partition_by=(YEAR_COL, IN_YEAR_COL),
-                path=path,
-                mixed=mixed,
             )
             cols = [c for c in scan.columns if c != IN_YEAR_COL]
             _VIEWS[key] = (scan.select(*cols), scan.where(F.col(IN_YEAR_COL)).select(*cols))
@@ -200,7 +182,7 @@ def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK)
 def forget(spark: SparkSession) -> None:
     """Drop this application's stored-table handles and remove the files that it owns.
 
-    Tables written to a path of the caller's stay.
+    Tables that the caller named a folder for stay.
     """
     app = _app_id(spark)
     with _LOCK:
