@@ -1,0 +1,168 @@
+"""The count cube: answers as from the rows, and what the questions read."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import ticket, tickets_df
+from ticketlens.operators import cube as C
+from ticketlens.operators.agg import binned, histogram
+from ticketlens.operators.clean import invalid_states
+from ticketlens.plans import analyses as A
+from ticketlens.plans import registry as R
+from ticketlens.sources.fixture import FIXTURE_FINES, fixture_ranges, stored_clean, stored_cube
+
+QUESTIONS = {
+    "clean_counts": A.clean_counts,
+    "ticket_count_by_year": A.ticket_count_by_year,
+    "state_counts": A.state_counts,
+    "top5_codes": lambda s: A.top_k_values(s, "violation_code", 5),
+    "top5_body_types": lambda s: A.top_k_values(s, "vehicle_body_type", 5),
+    "top5_makes": lambda s: A.top_k_values(s, "vehicle_make", 5),
+    "top5_violation_precincts": lambda s: A.top_k_values(s, "violation_precinct", 5),
+    "top5_issuer_precincts": lambda s: A.top_k_values(s, "issuer_precinct", 5),
+    "top3_codes": lambda s: A.top_k_values(s, "violation_code", 3),
+    "codes_in_top_precincts": A.codes_in_top_precincts,
+    "code_overlap": A.code_overlap,
+    "top3_codes_by_time_bin": A.top3_codes_by_time_bin,
+    "time_bins_of_top_codes": A.time_bins_of_top_codes,
+    "season_counts": A.season_counts,
+    "top3_codes_by_season": A.top3_codes_by_season,
+    "revenue_top3": lambda s: A.revenue_top3(s, FIXTURE_FINES),
+    "top_revenue_code": lambda s: A.top_revenue_code(s, FIXTURE_FINES),
+    "hist_violation_code": lambda s: A.hist(s, "violation_code"),
+    "hist_violation_precinct": lambda s: A.hist(s, "violation_precinct"),
+    "hist_issuer_precinct": lambda s: A.hist(s, "issuer_precinct"),
+}
+#: Answered without the rows, from the cube or what was made of it.
+ON_CUBE = [*QUESTIONS, "invalid_states", "unique_states_by_year"]
+
+
+def rows_of(df):
+    return [tuple(r) for r in df.collect()]
+
+
+def odd_rows(spark, seed):
+    rnd = random.Random(seed)
+    pick = lambda *xs: rnd.choice([*xs, None])
+    return tickets_df(
+        spark,
+        [
+            ticket(
+                summons_number=pick(k), file_year=rnd.choice([2015, 2016]), issue_date=pick("01/05/2015", "07/01/2015", "13/01/2015"),
+                violation_code=pick(1, 7, 13, 21), violation_precinct=pick(0, 5, 19), issuer_precinct=pick(0, 3, 8, 19),
+                violation_time=pick("0143A", "1205P", "1205A", "junk"), registration_state=pick("NY", "99", "#1"),
+                vehicle_body_type=pick("SUBN", "VAN"), vehicle_make=pick("FORD", "BMW"),
+            )
+            for k in range(300)
+        ],
+    )
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_same_answers_from_rows_and_cube(spark, seed):
+    """Also with NULLs in any key, rows without a bin or season, and ties."""
+    clean = odd_rows(spark, seed)
+    cube = C.Cube(C.build(clean).persist())
+    for name, question in QUESTIONS.items():
+        a, b = question(clean), question(cube)
+        assert a.dtypes == b.dtypes, name
+        assert rows_of(a) == rows_of(b), name
+    assert sorted(rows_of(invalid_states(clean))) == sorted(rows_of(invalid_states(cube.cuboid(["registration_state"]))))
+    cube.rows.unpersist()
+
+
+def test_same_answers_on_the_fixture(spark, sf_dir):
+    clean = stored_clean(spark, sf_dir)
+    for name, question in QUESTIONS.items():
+        assert rows_of(R.queries()[name](spark, sf_dir)) == rows_of(question(clean)), name
+
+
+@pytest.mark.parametrize("name", ON_CUBE)
+def test_reads_no_row(spark, sf_dir, name):
+    df = R.queries()[name](spark, sf_dir)
+    files = df.inputFiles()
+    part = "/by=" if name == "unique_states_by_year" else f"/{C.CUBOID_COL}="
+    assert files and all(part in f for f in files)
+    if part != "/by=":
+        # one cuboid's folder, by partition pruning
+        plan = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+        assert "PartitionFilters: [isnotnull(cuboid" in plan
+
+
+def test_the_cube_is_counted_in_one_scan(spark, sf_dir):
+    df = C.build(stored_clean(spark, sf_dir))
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Scan parquet") == 1 and plan.count("Exchange") - plan.count("ReusedExchange") == 1
+    # rows are combined in their task before they are sent
+    assert plan.rindex("partial_count") > plan.index("Exchange hashpartitioning")
+
+
+def test_keys_that_no_cuboid_has(spark):
+    cube = C.Cube(C.build(odd_rows(spark, 4)))
+    with pytest.raises(KeyError):
+        C.counts(cube, ["file_year", "vehicle_make", "season"], n=None)
+    with pytest.raises(KeyError):
+        C.counts(cube, ["file_year", "vehicle_make"], n="violation_code")
+
+
+def test_empty(spark):
+    cube = C.Cube(C.build(tickets_df(spark, [])))
+    for name, question in QUESTIONS.items():
+        assert rows_of(question(cube)) == [], name
+
+
+# --- ranges known beforehand ---------------------------------------------------------
+
+
+def test_ranges_come_from_footers(spark, sf_dir):
+    clean = stored_clean(spark, sf_dir)
+    for col in R.HIST_COLUMNS.values():
+        want = {r[0]: (r[1], r[2]) for r in clean.groupBy("file_year").agg(F.min(col), F.max(col)).collect()}
+        assert fixture_ranges(spark, sf_dir, col) == want
+
+
+def test_row_counts_read_no_row(spark, sf_dir):
+    df = R.queries()["row_counts"](spark, sf_dir)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*)]" in plan and "PushedGroupBy: [file_year, in_file_year]" in plan
+
+
+@pytest.mark.parametrize("name", sorted(R.HIST_COLUMNS))
+def test_histograms_have_two_exchanges(spark, sf_dir, name):
+    df = R.queries()[name](spark, sf_dir)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # the cuboid's rows by value, the bins, and the order of the few rows of the result
+    assert plan.count("Exchange ") <= 3 and "Join" not in plan
+    assert plan.count("Scan parquet") == 1
+
+
+def test_a_file_without_values_has_no_footer_range(spark, tmp_path):
+    from ticketlens.sources.footers import column_ranges, footer_counts
+
+    df = spark.createDataFrame([(2015, True, None), (2016, True, 5), (2016, False, None)], "file_year int, in_file_year boolean, x int")
+    df.repartition("file_year", "in_file_year").write.partitionBy("file_year", "in_file_year").parquet(f"{tmp_path}/t")
+    got = column_ranges(spark, f"{tmp_path}/t", df.schema, ["file_year", "in_file_year"], "x")
+    assert sorted(got, key=repr) == [((2015, True), None, None), ((2016, False), None, None), ((2016, True), 5, 5)]
+    assert footer_counts(spark, f"{tmp_path}/t", df.schema, ["file_year", "in_file_year"]).count() == 3
+    assert spark.conf.get("spark.sql.parquet.aggregatePushdown") == "false"
+    with pytest.raises(ValueError):
+        column_ranges(spark, f"{tmp_path}/t", df.schema, ["file_year", "in_file_year"], "in_file_year")
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_binned_equals_histogram(spark, seed):
+    rnd = random.Random(seed)
+    values = [(rnd.choice([2015, 2016]), rnd.choice([None, rnd.randint(-9, 9), rnd.randint(0, 400)]), rnd.randint(1, 3)) for _ in range(60)]
+    values += [(2017, 4, 2), (2017, 4, 1), (2018, None, 1)]
+    df = spark.createDataFrame(values, "file_year int, x int, w long")
+    ranges = {r[0]: (r[1], r[2]) for r in df.groupBy("file_year").agg(F.min("x"), F.max("x")).collect()}
+    for nbins in (1, 5, 12):
+        want = histogram(df, "x", nbins=nbins, weight="w")
+        assert rows_of(binned(df, "x", "w", ranges, nbins)) == rows_of(want)
+        plain = df.select("file_year", "x", F.explode(F.sequence(F.lit(1).cast("long"), "w")))
+        assert rows_of(histogram(plain, "x", nbins=nbins)) == rows_of(want) == rows_of(histogram(plain, "x", nbins=nbins, discrete=False))
+    assert binned(df, "x", "w", {}, 5).collect() == []

@@ -4,13 +4,14 @@ import pytest
 
 from ticketlens.plans import registry as E
 from ticketlens.operators.clean import keep_issue_year
-from ticketlens.sources.fixture import fixture_years, stored_tickets, tickets
+from ticketlens.plans import analyses as A
+from ticketlens.sources.fixture import fixture_years, stored_clean, stored_tickets, tickets
 
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "PythonMapInArrow")
 CROSS_NODES = ("CartesianProduct", "BroadcastNestedLoopJoin")
 TOP_K = {
     "top5_codes", "top5_body_types", "top5_makes", "top5_violation_precincts", "top5_issuer_precincts",
-    "top3_codes", "codes_in_top_precincts", "top3_codes_by_time_bin", "top3_codes_by_season", "revenue_top3",
+    "top3_codes", "top5_streets", "codes_in_top_precincts", "top3_codes_by_time_bin", "top3_codes_by_season", "revenue_top3",
 }
 
 
@@ -28,6 +29,8 @@ def test_query_plan(spark, sf_dir, name):
         assert plan.count("Scan parquet") == len(fixture_years(spark, sf_dir)) and "Union" in plan, plan
         # rows are counted before the rollup doubles anything
         assert plan.index("Expand") < plan.rindex("HashAggregate") < plan.index("Scan parquet"), plan
+    elif name == "peak_year_precincts":
+        assert plan.count("Scan parquet") == 3, plan  # the rows once, the cube for year and keys
     else:
         assert plan.count("Scan parquet") == 1, plan
     assert not any(n in plan for n in PYTHON_NODES), plan
@@ -50,10 +53,10 @@ def test_fixture_scan_pushdown_and_big_join(spark, sf_dir):
 
 def test_clean_questions_prune_partitions(spark, sf_dir):
     formatted = spark._jvm.PythonSQLUtils.explainString(
-        E.queries()["top5_codes"](spark, sf_dir)._jdf.queryExecution(), "formatted"
+        E.queries()["missing_address"](spark, sf_dir)._jdf.queryExecution(), "formatted"
     )
     assert "PartitionFilters: [isnotnull(in_file_year" in formatted
-    assert "ReadSchema: struct<violation_code:int>" in formatted
+    assert "ReadSchema: struct<house_number:string,street_name:string>" in formatted
 
 
 def test_yearly_tables_are_pruned_to_their_year(spark, sf_dir):
@@ -72,14 +75,21 @@ def test_year_rule_is_no_join_key(spark, sf_dir):
     assert not any("substring" in line or "date_format" in line for line in sorts), plan
 
 
-@pytest.mark.parametrize("name", ["revenue_top3", "top_revenue_code", "hist_violation_code"])
+JOINED = {
+    "revenue_top3": E.queries()["revenue_top3"],
+    "top_revenue_code": E.queries()["top_revenue_code"],
+    "peak_year_precincts": E.queries()["peak_year_precincts"],
+    "hist": lambda spark, sf_dir: A.hist(stored_clean(spark, sf_dir), "violation_code"),
+}
+
+
+@pytest.mark.parametrize("name", sorted(JOINED))
 def test_small_sides_are_left_to_aqe(spark, sf_dir, name):
-    query = E.queries()[name](spark, sf_dir)
-    logical = query._jdf.queryExecution().optimizedPlan().toString()
+    logical = JOINED[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
     assert "strategy=broadcast" not in logical, logical
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert "BroadcastHashJoin" not in final_plan(E.queries()[name](spark, sf_dir))
+        assert "BroadcastHashJoin" not in final_plan(JOINED[name](spark, sf_dir))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 

@@ -10,13 +10,13 @@ Scale notes
   ``WindowGroupLimit`` before the exchange and a final one after it: at most
   k rows (plus ties for dense rank) per group leave each map task.
 * Histograms never collect to the driver. Bins are counted with Spark
-  aggregates; empty bins are filled from a per-year map of at most ``nbins``
-  entries and a generated ``sequence`` (no cross join).
+  aggregates; empty bins come as rows of weight zero from a generated
+  ``sequence`` (no cross join).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -107,12 +107,36 @@ def within_top_groups(
     )
 
 
+def _bin(x: Column, lo: Column, hi: Column, nbins: int, integral: bool) -> Column:
+    """The bin of ``x``: right-closed, the least value in bin 0, all in bin 0 where ``lo = hi``."""
+    if integral:
+        # ceil(a / b) for a >= 0, b > 0 as (a + b - 1) div b: exact integers.
+        a = (x.cast("bigint") - lo.cast("bigint")) * F.lit(nbins)
+        b = F.nullif((hi - lo).cast("bigint"), F.lit(0))
+        raw = F.call_function("div", a + b - 1, b)
+    else:
+        raw = F.ceil((x - lo).cast("double") * F.lit(float(nbins)) / F.nullif((hi - lo).cast("double"), F.lit(0.0)))
+    # A double quotient may round to just above nbins for the largest values.
+    return F.coalesce(F.least(F.greatest(raw - 1, F.lit(0)), F.lit(nbins - 1)), F.lit(0)).cast("int")
+
+
+def _centroid(lo: Column, hi: Column, nbins: int) -> Column:
+    """``lo + (bin + 0.5) * (hi - lo) / nbins``; one division keeps it correctly rounded."""
+    twice = lo.cast("double") * F.lit(2 * nbins) + (F.col("bin") * 2 + 1).cast("double") * (hi - lo).cast("double")
+    return twice / F.lit(float(2 * nbins))
+
+
+def _is_integral(df: DataFrame, col: str) -> bool:
+    return dict(df.dtypes)[col] in ("tinyint", "smallint", "int", "bigint")
+
+
 def histogram(
     df: DataFrame,
     col: str,
     nbins: int = 12,
     by: str | Sequence[str] = YEAR_COL,
     discrete: bool = True,
+    weight: str | None = None,
 ) -> DataFrame:
     """Equi-width histogram of ``col`` per ``by``: ``[by, bin, centroid, n]``.
 
@@ -123,24 +147,28 @@ def histogram(
     ones with ``n = 0``. ``centroid = min + (bin + 0.5) * (max - min) / nbins``.
 
     ``discrete=True`` suits codes and precincts (few distinct values): rows
-    are first counted per (by, value), so the rows are scanned once.
+    are first counted per (by, value), so the rows are scanned once;
+    ``weight`` names a column of such counts that are there already.
     ``discrete=False`` suits continuous columns, where such a count would have
     as many rows as the data: rows are scanned twice instead. The answer is
     the same. Min and max are a two-phase aggregate, one row per group, and
     meet the values again by a null-safe join that AQE broadcasts by measured
     size; no task holds the values of a whole group.
 
-    Empty bins are filled per group from a map of at most ``nbins`` entries
-    and ``explode(sequence(0, nbins - 1))``: no cross join.
+    Every group's bins come as rows of weight zero beside the binned values, so the
+    aggregate that counts the bins fills the empty ones, too.
     """
     if nbins < 1:
         raise ValueError("nbins must be at least 1")
     by = _cols(by)
-    present = df.select(*by, F.col(col).alias("_x")).where(F.col("_x").isNotNull())
-    if discrete:
-        weighted = present.groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_w"))
+    integral = _is_integral(df, col)
+    present = df.where(F.col(col).isNotNull())
+    if weight is not None:
+        weighted = present.select(*by, F.col(col).alias("_x"), F.col(weight).cast("bigint").alias("_w"))
+    elif discrete:
+        weighted = present.select(*by, F.col(col).alias("_x")).groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("_w"))
     else:
-        weighted = present.withColumn("_w", F.lit(1).cast("bigint"))
+        weighted = present.select(*by, F.col(col).alias("_x"), F.lit(1).cast("bigint").alias("_w"))
     groups = {c: f"_by_{i}" for i, c in enumerate(by)}
     stats = (
         weighted.groupBy(*by)
@@ -148,52 +176,52 @@ def histogram(
         # Uses the counts, so that Catalyst shares them instead of scanning for min and max.
         .where("_all > 0")
         .drop("_all")
-        .withColumnsRenamed(groups)
     )
     same = [F.col(c).eqNullSafe(F.col(g)) for c, g in groups.items()]
-    weighted = weighted.join(stats, reduce(Column.__and__, same)).drop(*groups.values())
-
-    span = F.col("_hi") - F.col("_lo")
-    integral = dict(df.dtypes)[col] in ("tinyint", "smallint", "int", "bigint")
-    if integral:
-        # ceil(a / b) for a >= 0, b > 0 as (a + b - 1) div b: exact integers.
-        offset = (F.col("_x").cast("bigint") - F.col("_lo").cast("bigint")) * F.lit(nbins)
-        parts = [offset.alias("_a"), F.nullif(span.cast("bigint"), F.lit(0)).alias("_b")]
-        raw = F.expr("(_a + _b - 1) div _b")
-    else:
-        offset = (F.col("_x") - F.col("_lo")).cast("double") * F.lit(float(nbins))
-        parts = [offset.alias("_a"), F.nullif(span.cast("double"), F.lit(0.0)).alias("_b")]
-        raw = F.ceil(F.col("_a") / F.col("_b"))
-    # A double quotient may round to just above nbins for the largest values.
-    bin_expr = F.coalesce(F.least(F.greatest(raw - 1, F.lit(0)), F.lit(nbins - 1)), F.lit(0)).cast("int")
-
-    binned = (
-        weighted.select(*by, "_lo", "_hi", "_w", *parts)
-        .select(*by, "_lo", "_hi", bin_expr.alias("bin"), "_w")
-        .groupBy(*by, "_lo", "_hi", "bin")
-        .agg(F.sum("_w").cast("bigint").alias("n"))
+    in_bins = weighted.join(stats.withColumnsRenamed(groups), reduce(Column.__and__, same)).select(
+        *by, "_lo", "_hi", _bin(F.col("_x"), F.col("_lo"), F.col("_hi"), nbins, integral).alias("bin"), "_w"
     )
-    # At most nbins entries per group.
-    per_group_bins = binned.groupBy(*by, "_lo", "_hi").agg(
-        F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("_bins")
+    zeros = stats.select(
+        *by, "_lo", "_hi", F.explode(F.sequence(F.lit(0), F.lit(nbins - 1))).alias("bin"), F.lit(0).cast("bigint").alias("_w")
     )
-    # centroid = lo + (2*bin + 1) * span / (2*nbins); one division keeps it
-    # correctly rounded.
-    centroid = (
-        F.col("_lo").cast("double") * F.lit(2 * nbins) + (F.col("bin") * 2 + 1).cast("double") * span.cast("double")
-    ) / F.lit(float(2 * nbins))
     return (
-        per_group_bins.select(*by, "_lo", "_hi", "_bins", F.explode(F.sequence(F.lit(0), F.lit(nbins - 1))).alias("bin"))
-        .select(
-            *by,
-            F.col("bin").cast("int").alias("bin"),
-            centroid.alias("centroid"),
-            F.coalesce(F.try_element_at("_bins", F.col("bin")), F.lit(0).cast("bigint")).alias("n"),
-        )
+        in_bins.unionByName(zeros)
+        .groupBy(*by, "_lo", "_hi", "bin")
+        .agg(F.sum("_w").cast("bigint").alias("n"))
+        .select(*by, "bin", _centroid(F.col("_lo"), F.col("_hi"), nbins).alias("centroid"), "n")
         .orderBy(*by, "bin")
     )
 
 
+def binned(
+    per_value: DataFrame, col: str, weight: str, ranges: Mapping[object, tuple[int, int]], nbins: int = 12, by: str = YEAR_COL
+) -> DataFrame:
+    """``histogram`` of counts per value where each group's least and largest value is known beforehand.
+
+    ``ranges`` has an entry per group, as many as the listing of a table has folders. The values need no look at
+    their own minimum first, so one shuffle counts the bins; the empty ones come from a
+    local list of ``ranges`` times ``nbins`` rows.
+    """
+    if nbins < 1:
+        raise ValueError("nbins must be at least 1")
+    spark, kind = per_value.sparkSession, per_value.schema[by].dataType.simpleString()
+    known = [(g, int(lo), int(hi), b, 0) for g, (lo, hi) in sorted(ranges.items()) if lo is not None for b in range(nbins)]
+    zeros = spark.createDataFrame(known, f"`{by}` {kind}, _lo long, _hi long, bin int, _w long")
+    if not known:
+        return zeros.select(by, "bin", F.lit(0.0).alias("centroid"), F.col("_w").alias("n"))
+    bounds = F.create_map(*(x for g, lo, hi, b, _ in known if not b for x in (F.lit(g).cast(kind), F.struct(F.lit(lo).cast("long").alias("lo"), F.lit(hi).cast("long").alias("hi")))))
+    mine = F.element_at(bounds, F.col(by))
+    values = per_value.where(F.col(col).isNotNull()).select(by, mine["lo"].alias("_lo"), mine["hi"].alias("_hi"), F.col(col).alias("_x"), F.col(weight).alias("_w"))
+    in_bins = values.select(by, "_lo", "_hi", _bin(F.col("_x"), F.col("_lo"), F.col("_hi"), nbins, True).alias("bin"), "_w")
+    return (
+        in_bins.unionByName(zeros)
+        .groupBy(by, "_lo", "_hi", "bin")
+        .agg(F.sum("_w").cast("bigint").alias("n"))
+        .select(by, "bin", _centroid(F.col("_lo"), F.col("_hi"), nbins).alias("centroid"), "n")
+        .orderBy(by, "bin")
+    )
+
+
 def histograms(
     df: DataFrame,
     cols: Sequence[str],

@@ -198,6 +198,25 @@ SELECT file_year, 'unregistered_vehicle', 'int', count(violation_code) FILTER (W
 """,
         "halves AS (SELECT *, (coalesce(violation_precinct, 0) + coalesce(length(street_name), 0)) % 2 AS half FROM tickets)",
     )
+    told = """count(*) AS n, CAST(sum(summons_number) AS BIGINT) AS sum_summons,
+  count(*) FILTER (WHERE house_number IS NULL OR street_name IS NULL) AS n_missing_address, count(*) - count(violation_time) AS n_missing_time"""
+    q["top5_streets"] = _top_k("street_name", 5)
+    q["peak_year_precincts"] = _with(
+        f"""
+SELECT file_year, issuer_precinct, {told} FROM clean c
+WHERE file_year = (SELECT file_year FROM clean GROUP BY file_year ORDER BY count(*) DESC, file_year LIMIT 1)
+  AND EXISTS (SELECT 1 FROM top_precincts p WHERE p.file_year = c.file_year AND p.issuer_precinct = c.issuer_precinct)
+GROUP BY file_year, issuer_precinct
+""",
+        _TOP_PAIRS_CTES[0],
+    )
+    q["code_lookup"] = _with(
+        f"""
+SELECT file_year, violation_code, issuer_precinct, {told} FROM clean
+WHERE (violation_code = 7 OR violation_code = 13 OR violation_code = 25) AND (issuer_precinct = 0 OR issuer_precinct = 8 OR issuer_precinct = 19)
+GROUP BY file_year, violation_code, issuer_precinct
+"""
+    )
     q["issue_years"] = _with(
         "SELECT DISTINCT substring(issue_date, 7, 4) AS issue_year FROM tickets ORDER BY issue_year DESC"
     )

@@ -19,11 +19,15 @@ otherwise.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import cube as C
+from ..operators.distinct import add_years
 from ..schema import TICKET_COLUMNS, YEAR_COL
-from .store import stored_citations, stored_years
+from .store import clean_ranges, folder_counts, own_folder, stored, stored_citations, stored_years
 
 # --- Fixed values -----------------------------------------------------------
 # Violation fines for the fixture's codes (code 13, a top code, is left out on
@@ -31,24 +35,61 @@ from .store import stored_citations, stored_years
 FIXTURE_FINES: dict[int, int] = {1: 55, 7: 115, 19: 50, 25: 50}
 # ---------------------------------------------------------------------------
 
+_LOCK = threading.RLock()
+_STATES: set[str] = set()
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _name(sf_dir: str) -> str:
+    return f"tickets:{sf_dir.rstrip('/')}"
+
+
 def stored_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``tickets(spark, sf_dir)`` written once per application, then scanned."""
-    return stored_citations(spark, f"tickets:{sf_dir.rstrip('/')}", lambda: tickets(spark, sf_dir))[0]
+    return stored_citations(spark, _name(sf_dir), lambda: tickets(spark, sf_dir))[0]
 
 
 def stored_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The clean rows of the stored table (``keep_issue_year``), by partition pruning."""
-    return stored_citations(spark, f"tickets:{sf_dir.rstrip('/')}", lambda: tickets(spark, sf_dir))[1]
+    return stored_citations(spark, _name(sf_dir), lambda: tickets(spark, sf_dir))[1]
+
+
+def stored_cube(spark: SparkSession, sf_dir: str) -> C.Cube:
+    """The cube of the clean rows, counted once per application."""
+    rows = stored(spark, f"cube:{_name(sf_dir)}", lambda: C.build(stored_clean(spark, sf_dir)), partition_by=[C.CUBOID_COL])
+    return C.Cube(rows)
+
+
+def stored_states(spark: SparkSession, sf_dir: str, excluded: str = "99") -> str:
+    """Folder of the bitmaps of each year's states, made once per application from the cube."""
+    path = own_folder(spark, f"states:{excluded}:{_name(sf_dir)}")
+    with _LOCK:
+        if path not in _STATES:
+            states = stored_cube(spark, sf_dir).cuboid(["registration_state"])
+            add_years(spark, path, states.where(F.col("registration_state") != excluded), "registration_state")
+            _STATES.add(path)
+    return path
 
 
 def fixture_years(spark: SparkSession, sf_dir: str) -> list[int]:
     """The fiscal years that the ingest wrote, in order."""
-    return stored_years(spark, f"tickets:{sf_dir.rstrip('/')}")
+    stored_tickets(spark, sf_dir)
+    return stored_years(spark, _name(sf_dir))
+
+
+def fixture_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows by year and year filter, from file footers: ``file_year, in_file_year, n``."""
+    stored_tickets(spark, sf_dir)
+    return folder_counts(spark, _name(sf_dir))
+
+
+def fixture_ranges(spark: SparkSession, sf_dir: str, column: str) -> dict[int, tuple[int, int]]:
+    """Each year's least and largest value of an integral column among clean rows, from file footers."""
+    stored_tickets(spark, sf_dir)
+    return clean_ranges(spark, _name(sf_dir), column)
 
 
 def tickets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 
 from ..schema import YEAR_COL
 from ..session import CHECKPOINT_KEY
+from .footers import column_ranges, footer_counts
+from .layout import LOOKUP_COLS, ordered
 
 _LOCK = threading.RLock()
 _KEY_LOCKS: dict[tuple[str, str], threading.RLock] = defaultdict(threading.RLock)
@@ -39,6 +41,7 @@ _KEY_LOCKS: dict[tuple[str, str], threading.RLock] = defaultdict(threading.RLock
 _STORED: dict[tuple[str, str], DataFrame] = {}
 _VIEWS: dict[tuple[str, str], tuple[DataFrame, DataFrame]] = {}
 _YEARS: dict[tuple[str, str], list[int]] = {}
+_RANGES: dict[tuple[str, str], dict[int, tuple[int, int]]] = {}
 _OWN_PATHS: dict[tuple[str, str], str] = {}
 _DIRS: dict[str, str] = {}
 
@@ -100,24 +103,40 @@ def own_folder(spark: SparkSession, name: str) -> str:
         return _OWN_PATHS[key]
 
 
+def spooled(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written below the shared folder and read back, for a result that several later steps use.
+
+    Cuts the lineage as ``stored`` does, under a fresh name at every call; ``forget`` removes it.
+    """
+    path = own_folder(df.sparkSession, f"spool-{name}-{uuid.uuid4().hex[:12]}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def stored(
     spark: SparkSession,
     name: str,
     build: Callable[[], DataFrame],
     partition_by: Sequence[str] = (YEAR_COL,),
+    sort_by: Sequence[str] = (),
 ) -> DataFrame:
     """Scan of ``build()``, written by a job of this call unless it was before.
 
-    ``name`` must tell apart whatever ``build`` makes of different arguments.
+    ``name`` must tell apart whatever ``build`` makes of different arguments. ``sort_by``
+    orders the rows within files, so a filter on these columns passes over the row groups and
+    pages without a match; the order begins with the partition columns, by which a task writes
+    anyway.
     """
     key = (_app_id(spark), name)
     with _lock_of(key):
         if key not in _STORED:
             built, path = build(), own_folder(spark, name)
             # A first write that failed leaves files without a handle: they are written over.
+            dealt = built.hint("rebalance", *partition_by)
+            if sort_by:
+                dealt = ordered(dealt, partition_by, sort_by)
             (
-                built.hint("rebalance", *partition_by)
-                .write.mode("overwrite")
+                dealt.write.mode("overwrite")
                 .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
                 .partitionBy(*partition_by)
                 .parquet(path)
@@ -146,6 +165,7 @@ def stored_citations(spark: SparkSession, name: str, build: Callable[[], DataFra
                 name,
                 lambda: build().withColumn(IN_YEAR_COL, issued_in_file_year()),
                 partition_by=(YEAR_COL, IN_YEAR_COL),
+                sort_by=LOOKUP_COLS,
             )
             cols = [c for c in scan.columns if c != IN_YEAR_COL]
             _VIEWS[key] = (scan.select(*cols), scan.where(F.col(IN_YEAR_COL)).select(*cols))
@@ -155,16 +175,32 @@ def stored_citations(spark: SparkSession, name: str, build: Callable[[], DataFra
 def stored_years(spark: SparkSession, name: str) -> list[int]:
     """The years of a table that ``stored_citations`` wrote in this application, in order.
 
-    One row per year comes to the driver, once per application; the scan
-    reads no column, only the folders' names.
+    One row per folder comes to the driver, once per application, from file footers.
     """
     key = (_app_id(spark), name)
     with _lock_of(key):
         if key not in _YEARS:
-            _YEARS[key] = sorted(r[0] for r in _STORED[key].select(YEAR_COL).distinct().collect())
+            _YEARS[key] = sorted({r[YEAR_COL] for r in folder_counts(spark, name).collect()})
         return _YEARS[key]
 
 
+def folder_counts(spark: SparkSession, name: str) -> DataFrame:
+    """Rows of each folder of a table that ``stored_citations`` wrote: ``file_year, in_file_year, n``, from file footers."""
+    schema = _STORED[(_app_id(spark), name)].schema
+    return footer_counts(spark, own_folder(spark, name), schema, [YEAR_COL, IN_YEAR_COL])
+
+
+def clean_ranges(spark: SparkSession, name: str, column: str) -> dict[int, tuple[int, int]]:
+    """Least and largest value of an integral column in each year's clean rows, from file footers, asked once."""
+    key = (_app_id(spark), f"{name}:{column}")
+    with _lock_of(key):
+        if key not in _RANGES:
+            schema = _STORED[(_app_id(spark), name)].schema
+            found = column_ranges(spark, own_folder(spark, name), schema, [YEAR_COL, IN_YEAR_COL], column)
+            _RANGES[key] = {year: (lo, hi) for (year, clean), lo, hi in found if clean and lo is not None}
+        return _RANGES[key]
+
+
 @contextmanager
 def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Iterator[DataFrame]:
     """Keep ``df`` cached while a block reuses it; release it afterwards.
@@ -186,7 +222,7 @@ def forget(spark: SparkSession) -> None:
     """
     app = _app_id(spark)
     with _LOCK:
-        for cache in (_STORED, _VIEWS, _YEARS):
+        for cache in (_STORED, _VIEWS, _YEARS, _RANGES):
             for key in [k for k in cache if k[0] == app]:
                 del cache[key]
         own = [_OWN_PATHS.pop(k) for k in list(_OWN_PATHS) if k[0] == app]

@@ -47,6 +47,7 @@ from pyspark.sql import types as T
 from ..operators.clean import issued_in_file_year
 from ..schema import TICKET_COLUMNS, YEAR_COL, build_name
 from .csv import BROKEN_COL, SOURCE_COL, Part, inferred, parts_of, year_of
+from .layout import indexed, ordered
 from .store import IN_YEAR_COL, MAX_RECORDS_PER_FILE, own_folder
 from .types import stated
 
@@ -157,10 +158,10 @@ def _load(spark: SparkSession, target: str, year: int, parts: Sequence[Part], ty
     rows = year_of(spark, parts, year, columns, types, broken=True, watched=watched)
     entry = Entry(year, load, "", "", rows.drop(YEAR_COL).schema.json(), 0, 0, 0, 0, "")
     folder = entry.folder(target)
+    flagged = rows.withColumns({IN_YEAR_COL: issued_in_file_year(), IS_BROKEN_COL: F.col(BROKEN_COL).isNotNull()})
     (
-        rows.withColumns({IN_YEAR_COL: issued_in_file_year(), IS_BROKEN_COL: F.col(BROKEN_COL).isNotNull()})
-        .drop(YEAR_COL)
-        .write.mode("errorifexists")
+        indexed(ordered(flagged.drop(YEAR_COL), [IS_BROKEN_COL, IN_YEAR_COL]).write)
+        .mode("errorifexists")
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
         .partitionBy(IS_BROKEN_COL, IN_YEAR_COL)
         .parquet(folder)
