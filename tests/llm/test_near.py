@@ -97,12 +97,25 @@ def test_one_of_each_group_stays(make_docs, pool):
     assert sorted(r.doc_id for r in got.collect()) == [3, 7, 9]
 
 
+def test_repeated_rows_and_rows_without_an_id(make_docs, pool):
+    """One row of each group stays, whatever its rows have for an id."""
+    a, b, c = (" ".join(pool(100, k)) for k in (1, 2, 3))
+    rows = [(4, a), (4, a), (4, a.upper()), (None, a), (None, a + " x"), (None, b), (None, b), (6, c), (6, b + " y"), (8, ""), (8, ""), (None, None), (None, None)]
+    got = sorted(((r.doc_id, r.text) for r in N.deduplicated(make_docs(rows, extra=True)).collect()), key=repr)
+    # 6 has two texts and stays with both; b without an id is a copy of its second one.
+    assert sorted((i, (t or "").lower()) for i, t in got if i == 4) == [(4, a)]
+    rest = sorted([(6, c), (6, b + " y"), (8, ""), (8, ""), (None, None), (None, None)], key=repr)
+    assert [x for x in got if x[0] != 4] == rest
+
+
 def test_empty(make_docs):
     assert N.groups(make_docs([])).count() == 0
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_components(spark, seed):
+@pytest.mark.parametrize(("seed", "together"), [(0, 400_000), (1, 400_000), (2, 400_000), (0, 7), (1, 20), (2, 40)])
+def test_components(spark, seed, together, monkeypatch):
+    """In one task, and in many that contract their own edges between rounds."""
+    monkeypatch.setattr(C, "TOGETHER", together)
     rnd = random.Random(seed)
     n = 60
     edges = [(rnd.randrange(n), rnd.randrange(n)) for _ in range(40)] + [(i, i + 1) for i in range(n, n + 40)] + [(500, k) for k in range(501, 530)]
@@ -118,5 +131,21 @@ def test_components(spark, seed):
         a, b = find(a), find(b)
         parent[max(a, b)] = min(a, b)
     want = {x: find(x) for x in list(parent) if find(x) != x}
-    got = C.components(spark.createDataFrame(edges, "u long, v long")).collect()
-    assert {r.id: r.root for r in got} == want
+    got = C.components(spark.createDataFrame(edges, "u long, v long").repartition(5)).collect()
+    assert {r.id: r.root for r in got} == want and len(got) == len(want)
+    # Links that come later extend what is known.
+    first, later = (spark.createDataFrame(e, "u long, v long") for e in (edges[:70], edges[70:]))
+    got = C.extended(C.extended(None, first), later).collect()
+    assert {r.id: r.root for r in got} == want and len(got) == len(want)
+
+
+def test_least_reachable():
+    rnd = np.random.default_rng(4)
+    for n in (1, 5, 300):
+        u, v = rnd.integers(0, n, 2 * n), rnd.integers(0, n, 2 * n)
+        nodes, root = C.least_reachable(u, v)
+        of = dict(zip(nodes.tolist(), root.tolist(), strict=True))
+        assert all(of[a] == of[b] for a, b in zip(u.tolist(), v.tolist(), strict=True))
+        assert all(r <= x and of[r] == r for x, r in of.items())
+    chain = np.arange(5000)
+    assert (C.least_reachable(chain[1:], chain[:-1])[1] == 0).all()

@@ -26,7 +26,8 @@ parts classes that met by a common passage. Levels go on until every node is sma
 Defined cases: words are compared with A-Z in lower case; a document of fewer words than a run
 has these as its one run; a null text, an empty one or one without words
 has no set, is linked with nothing and kept; rows with one id share the links
-of all of them, and stay together; rows without an id are in no component and kept; an empty table
+of all of them, and stay together; rows without an id are in no component of ``groups`` and kept there, while
+``deduplicated`` has them compared, too, and keeps one of the rows that have one id and the same words; an empty table
 gives an empty result; extra columns are kept by ``deduplicated`` and not
 read by ``groups``.
 """
@@ -45,7 +46,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .base import mixed, text_or_empty, written
-from .components import components
+from .components import extended, sized
 from .idset import id_set
 
 #: Words of a run, and a link's parts of a hundred in common, at least, unless others are asked for.
@@ -59,6 +60,8 @@ LOST = 1e-6
 SMALL, SAMPLES = 1024, 64
 #: Classes of a large node outside its largest component that go to all its parts, at most.
 OTHERS = 512
+#: Documents without an id are numbered from here on: beyond all ids.
+_NO_ID = 1 << 62
 #: Pairs of a node from which on intersections are worked out for all at once.
 MANY = 100
 
@@ -313,13 +316,16 @@ def _around(rows: DataFrame) -> DataFrame:
     return dealt.unionByName(rows.where(~inside).withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))))
 
 
-def links(classes: DataFrame, docs: DataFrame, by: Measure = Measure()) -> DataFrame:
-    """Links ``u``, ``v`` between classes that connect all that similarity connects.
+def linked_roots(classes: DataFrame, docs: DataFrame, by: Measure = Measure()) -> DataFrame:
+    """``id`` and ``root`` of the classes that similarity connects to a smaller one.
 
-    ``classes`` has ``cid`` (an id of the class), ``n``, ``key``, ``roots``, ``sketch``.
+    A level's links extend the roots of the levels before it, and the full set of a class
+    is worked out once, when it first has a possible link. ``classes`` has ``cid`` (an id of the class), ``n``, ``key``, ``roots``, ``sketch``.
     """
     spark = classes.sparkSession
-    found = spark.createDataFrame([], "u long, v long")
+    found: DataFrame | None = None  # ``id`` and ``root`` of what is linked
+    sets: list[DataFrame] = []
+    linked = 0
     carried = ["cid", "key", "n", "sketch"]
     for turn in (F.col("pos") < BRANCHES, F.col("pos") >= BRANCHES):
         rows = (
@@ -328,7 +334,7 @@ def links(classes: DataFrame, docs: DataFrame, by: Measure = Measure()) -> DataF
             .select(F.xxhash64("pos", "col").alias("node"), *carried)
         )
         while True:
-            roots = written(components(found).withColumnRenamed("id", "cid"), "roots")
+            roots = spark.createDataFrame([], "cid long, root long") if found is None else found.withColumnRenamed("id", "cid")
             rows = rows.join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
             nodes = written(
                 rows.groupBy("node", "root")
@@ -348,13 +354,21 @@ def links(classes: DataFrame, docs: DataFrame, by: Measure = Measure()) -> DataF
                 (x.select("node", "part", "cid", "key", "root", "n", "sketch") for x in (small, _around(crowd), _parted(large))),
             )
             involved = written(_involved(parts, by), "involved")
-            if not involved.isEmpty():
-                sets = _sets(docs, involved.select("cid").distinct(), by)
-                found = found.unionByName(written(_confirmed(involved.join(sets, ["cid", "key"]), by), "links"))
+            new = involved.select("cid", "key").distinct()
+            if sets:
+                new = new.join(reduce(DataFrame.unionByName, sets).select("cid", "key"), ["cid", "key"], "left_anti")
+            new = written(new, "new")
+            if n := new.count():
+                sets.append(written(_sets(docs, sized(new.select("cid"), n), by).join(new, ["cid", "key"], "left_semi"), "sets"))
+            if sets:
+                links = written(_confirmed(involved.join(reduce(DataFrame.unionByName, sets), ["cid", "key"]), by), "links")
+                if n := links.count():
+                    linked += n
+                    found = written(sized(extended(found, links), linked), "roots")
             if large.isEmpty():
                 break
             rows = _children(large)
-    return found
+    return spark.createDataFrame([], "id long, root long") if found is None else found
 
 
 def groups(docs: DataFrame, run: int = RUN, percent: int = PERCENT) -> DataFrame:
@@ -374,7 +388,7 @@ def groups(docs: DataFrame, run: int = RUN, percent: int = PERCENT) -> DataFrame
     )
     # One text stands for a class; classes are told apart by id and key.
     named = classes.select(F.col("least").alias("cid"), "n", "key", "roots", "sketch")
-    roots = components(links(named, docs, by))
+    roots = linked_roots(named, docs, by)
     of_class = classes.join(roots.withColumnRenamed("id", "least"), "least", "left").select(
         "key", F.coalesce("root", "least").alias("component_id")
     )
@@ -388,6 +402,25 @@ def groups(docs: DataFrame, run: int = RUN, percent: int = PERCENT) -> DataFrame
 
 
 def deduplicated(docs: DataFrame, run: int = RUN, percent: int = PERCENT) -> DataFrame:
-    """The documents of which each group keeps one, with their columns."""
-    dropped = groups(docs, run, percent).where("NOT kept").select(F.col("doc_id").alias("_dropped")).distinct()
-    return docs.join(dropped, docs["doc_id"] == F.col("_dropped"), "left_anti")
+    """The documents of which each group keeps one, with their columns.
+
+    Documents without an id take part under a number of their text's, beyond all ids, so
+    they lose to copies that have one. Of rows with one id and the same words one is kept.
+    """
+    own = F.lit(_NO_ID) + F.shiftrightunsigned(F.xxhash64("text"), 2)
+    rows = docs.withColumn("_own", F.coalesce(F.col("doc_id").cast("long"), own))
+    found = groups(rows.select(F.col("_own").alias("doc_id"), "text"), run, percent)
+    dropped = found.where("NOT kept").select(F.col("doc_id").alias("_dropped")).distinct()
+    kept = rows.join(dropped, F.col("_own") == F.col("_dropped"), "left_anti")
+    # Ids of several rows are few; only their rows are compared, all others pass.
+    several = kept.groupBy("_own").agg(F.count("*").alias("_rows")).where("_rows > 1").select("_own")
+    words = F.array_join(F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)")), " ")
+    same = F.md5(F.translate(words, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+    wordless = ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    repeated = kept.join(several, "_own", "left_semi")
+    one_each = repeated.where(~wordless).withColumn("_same", same).dropDuplicates(["_own", "_same"])
+    return (
+        kept.join(several, "_own", "left_anti").select(*docs.columns)
+        .unionByName(repeated.where(wordless).select(*docs.columns))
+        .unionByName(one_each.select(*docs.columns))
+    )
