@@ -4,12 +4,13 @@ A document is the set of its runs of ``run`` words (three); documents are linked
 ``percent`` of a hundred (85). Documents with equal sets are
 one class; only classes are compared.
 
-Every class has 64 minwise tokens (more if more trees need them). A tree of nodes branches by them: the roots' children are
+Every class has minwise tokens. A tree of nodes branches by them: the roots' children are
 the classes that agree in one of ``BRANCHES`` tokens of the tree, and a node with more than
-``SMALL`` classes passes each to the children of two more tokens, chosen by the
-node's path. Two documents of similarity ``s`` are lost by a tree with the probability ``q`` for
-which ``q = (1 - s + s q) ** BRANCHES`` at most, however deep it goes: 3.1 % at 0.85, so
-one in a million with 4 independent trees; 6.3 % at 0.8, so 5 trees.
+``SMALL`` classes passes each to ``BRANCHES`` children, by two more tokens each, chosen by the
+node's path. Two tokens at once part classes that met by a common passage in half the levels that one would
+take. Two documents of similarity ``s`` are lost below a node with a chance ``q`` of at most ``((1 - p) / p) ** 2``, the solution of
+``q = (1 - p + p q) ** 2`` for ``p = s ** 2``, however deep it goes, and by a tree with ``(1 - s + s q) ** 2``: 7.6 % at 0.85, so
+one in a million with 6 independent trees; 20 % at 0.8, so 9 trees.
 
 Small nodes are compared exhaustively. Sketches of one byte per token sort out the pairs that
 agree in so few as linked ones do once in a million times; the others, the likeliest first,
@@ -42,7 +43,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .base import mixed, text_or_empty, written
@@ -62,6 +63,8 @@ SMALL, SAMPLES = 1024, 64
 OTHERS = 512
 #: Documents without an id are numbered from here on: beyond all ids.
 _NO_ID = 1 << 62
+#: Rows of nodes that a task compares, about.
+EACH = 2048
 #: Pairs of a node from which on intersections are worked out for all at once.
 MANY = 100
 
@@ -74,15 +77,16 @@ class Measure:
     percent: int = PERCENT
 
     def __post_init__(self) -> None:
-        # Two branches find nothing for sure where half of the tokens differ.
-        if self.run < 1 or not 50 < self.percent <= 100:
-            raise ValueError("run must be 1 or more, percent over 50 and at most 100")
+        # Two branches find nothing for sure where half of the pairs of tokens differ.
+        if self.run < 1 or not 71 <= self.percent <= 100:
+            raise ValueError("run must be 1 or more, percent from 71 to 100")
 
     @property
     def first(self) -> int:
         """Tokens of the roots: ``BRANCHES`` for each tree, as many trees as ``LOST`` asks for."""
         s = self.percent / 100
-        one = ((1 - s) / s) ** 2
+        below = ((1 - s * s) / (s * s)) ** 2
+        one = (1 - s + s * below) ** 2
         return BRANCHES * max(1, math.ceil(math.log(LOST) / math.log(one)) if one else 1)
 
     @property
@@ -148,10 +152,11 @@ def _signed(docs: DataFrame, by: Measure = Measure()) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, n_shingles long, key binary, roots array<long>, sketch binary")
 
 
-def _together(rows: DataFrame, work, schema: str) -> DataFrame:
+def _together(rows: DataFrame, number: int, work, schema: str) -> DataFrame:
     """``work`` on Arrow tables that hold whole groups of (node, part), several at once.
 
-    Groups are bounded, so a task holds a batch and what is left of the last one.
+    Groups are bounded, so a task holds a batch and what is left of the last one. Of about ``number``
+    rows in all, a task gets some ``EACH``: more tasks than that would be idle ones.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,7 +171,7 @@ def _together(rows: DataFrame, work, schema: str) -> DataFrame:
         if rest is not None and len(rest):
             yield work(rest, _edges(rest))
 
-    return rows.repartition("node", "part").sortWithinPartitions("node", "part").mapInArrow(run, schema)
+    return sized(rows.repartition("node", "part"), number, EACH).sortWithinPartitions("node", "part").mapInArrow(run, schema)
 
 
 def _edges(rows: pa.Table) -> np.ndarray:
@@ -210,7 +215,7 @@ def _common(sets: list[np.ndarray]) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def _involved(rows: DataFrame, by: Measure) -> DataFrame:
+def _involved(rows: DataFrame, number: int, by: Measure) -> DataFrame:
     """Rows of groups that have a possible link of their own."""
 
     def work(table: pa.Table, edges: np.ndarray) -> pa.RecordBatch:
@@ -222,10 +227,10 @@ def _involved(rows: DataFrame, by: Measure) -> DataFrame:
         found = table.filter(pa.array(keep)).combine_chunks()
         return pa.RecordBatch.from_arrays([c.combine_chunks() if c.num_chunks != 1 else c.chunk(0) for c in found.columns], found.column_names)
 
-    return _together(rows, work, "node long, part int, cid long, key binary, root long, n long, sketch binary")
+    return _together(rows, number, work, "node long, part int, cid long, key binary, root long, n long, sketch binary")
 
 
-def _confirmed(rows: DataFrame, by: Measure) -> DataFrame:
+def _confirmed(rows: DataFrame, number: int, by: Measure) -> DataFrame:
     """Links ``u``, ``v`` that connect what full sets link in each group."""
 
     def work(table: pa.Table, edges: np.ndarray) -> pa.RecordBatch:
@@ -262,7 +267,7 @@ def _confirmed(rows: DataFrame, by: Measure) -> DataFrame:
                     vs.append(cid[a + y])
         return pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], ["u", "v"])
 
-    return _together(rows, work, "u long, v long")
+    return _together(rows, number, work, "u long, v long")
 
 
 def _sets(docs: DataFrame, ids: DataFrame, by: Measure) -> DataFrame:
@@ -288,12 +293,14 @@ def _sets(docs: DataFrame, ids: DataFrame, by: Measure) -> DataFrame:
 
 
 def _children(rows: DataFrame) -> DataFrame:
-    """Classes of nodes passed on to the children of two more tokens."""
-    places = [F.pmod(F.xxhash64("node", F.lit(k)), F.lit(BYTES)).cast("int") for k in range(BRANCHES)]
+    """Classes of nodes passed on to ``BRANCHES`` children, each by two more tokens."""
+
+    def byte(k: int, which: int) -> Column:
+        place = F.pmod(F.xxhash64("node", F.lit(k), F.lit(which)), F.lit(BYTES)).cast("int")
+        return F.substring("sketch", place + 1, F.lit(1))
+
     return rows.select(
-        F.explode(
-            F.array(*(F.xxhash64("node", F.lit(k), F.substring("sketch", p + 1, F.lit(1))) for k, p in enumerate(places)))
-        ).alias("node"),
+        F.explode(F.array(*(F.xxhash64("node", F.lit(k), byte(k, 0), byte(k, 1)) for k in range(BRANCHES)))).alias("node"),
         "cid", "key", "n", "sketch",
     )
 
@@ -353,7 +360,8 @@ def linked_roots(classes: DataFrame, docs: DataFrame, by: Measure = Measure()) -
                 DataFrame.unionByName,
                 (x.select("node", "part", "cid", "key", "root", "n", "sketch") for x in (small, _around(crowd), _parted(large))),
             )
-            involved = written(_involved(parts, by), "involved")
+            # What parts share adds a fraction; the number only sets how many tasks there are.
+            involved = written(_involved(parts, 2 * members.count(), by), "involved")
             new = involved.select("cid", "key").distinct()
             if sets:
                 new = new.join(reduce(DataFrame.unionByName, sets).select("cid", "key"), ["cid", "key"], "left_anti")
@@ -361,7 +369,8 @@ def linked_roots(classes: DataFrame, docs: DataFrame, by: Measure = Measure()) -
             if n := new.count():
                 sets.append(written(_sets(docs, sized(new.select("cid"), n), by).join(new, ["cid", "key"], "left_semi"), "sets"))
             if sets:
-                links = written(_confirmed(involved.join(reduce(DataFrame.unionByName, sets), ["cid", "key"]), by), "links")
+                full = involved.join(reduce(DataFrame.unionByName, sets), ["cid", "key"])
+                links = written(_confirmed(full, involved.count(), by), "links")
                 if n := links.count():
                     linked += n
                     found = written(sized(extended(found, links), linked), "roots")
