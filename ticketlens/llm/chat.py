@@ -28,18 +28,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .base import written
+
 #: Turn numbers that one block spans, and turns of one rendered chunk.
 BLOCK = 256
 CHUNK = 64
+_FIRST = -(1 << 62)
+
+
+#: A conversation's key without NULLs, so that joins and windows by it share one shuffle.
+KEY = ("k", "no_id")
 
 
 def _turns(conversations: DataFrame) -> DataFrame:
+    conv = F.col("conv_id").cast("long")
     return conversations.select(
-        F.col("conv_id").cast("long").alias("conv_id"),
+        F.coalesce(conv, F.lit(0)).alias("k"),
+        conv.isNull().alias("no_id"),
         F.col("turn").cast("long").alias("turn"),
         F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-    ).withColumn("block", F.floor(F.col("turn") / BLOCK))
+        # Turns without a number come first, so does their block.
+        F.coalesce(F.floor(F.col("turn").cast("long") / BLOCK), F.lit(_FIRST)).alias("block"),
+    )
 
 
 def _xor(name: str) -> Column:
@@ -50,20 +61,15 @@ def prefix_keys(turns: DataFrame) -> DataFrame:
     """Each turn with its place ``i`` (from 1), the length ``n`` of its
     conversation, and the keys ``a`` and ``b`` of the prefix that it ends.
 
-    Windows run within a block; what earlier blocks add comes from a table
-    with a row per block.
+    Turns are shuffled once, by conversation and block; windows run within a block, and
+    what earlier blocks add comes from a table with a row per block.
     """
-    key = ["conv_id", "block"]
+    key = [*KEY, "block"]
     inside = Window.partitionBy(*key).orderBy("turn", "role", "text")
     # By the place, which no two rows share: tied turns roll in the order that numbered them.
     running = Window.partitionBy(*key).orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    earlier = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy("conv_id")
-
-    def joined(rows: DataFrame, blocks: DataFrame) -> DataFrame:
-        blocks = blocks.withColumnsRenamed({c: "_" + c for c in key})
-        same = F.col("conv_id").eqNullSafe(F.col("_conv_id")) & F.col("block").eqNullSafe(F.col("_block"))
-        return rows.join(blocks, same).drop(*("_" + c for c in key))
+    earlier = Window.partitionBy(*KEY).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*KEY)
 
     placed = turns.withColumn("at", F.row_number().over(inside))
     counts = (
@@ -73,7 +79,7 @@ def prefix_keys(turns: DataFrame) -> DataFrame:
             *key, F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("before"), F.sum("rows").over(whole).alias("n")
         )
     )
-    numbered = joined(placed, counts).withColumn("i", F.col("before") + F.col("at")).drop("before", "at")
+    numbered = placed.join(counts, key).withColumn("i", F.col("before") + F.col("at")).drop("before", "at")
     hashed = numbered.withColumns(
         {
             "h1": F.xxhash64("i", "role", "text"),
@@ -90,20 +96,20 @@ def prefix_keys(turns: DataFrame) -> DataFrame:
             F.coalesce(_xor("t2").over(earlier), F.lit(0)).alias("e2"),
         )
     )
-    return joined(rolled, totals).select(
-        "conv_id", "turn", "role", "text", "i", "n",
+    return rolled.join(totals, key).select(
+        *KEY, "role", "text", "i", "n",
         F.col("x1").bitwiseXOR(F.col("e1")).alias("a"),
         F.col("x2").bitwiseXOR(F.col("e2")).alias("b"),
     )
 
 
 def maximal(keys: DataFrame) -> DataFrame:
-    """Conversations that are no proper prefix of another: ``conv_id``, ``n``, ``n_copies``."""
-    whole = keys.where("i = n").groupBy("n", "a", "b").agg(
-        F.min("conv_id").alias("conv_id"), F.count("*").alias("n_copies")
-    )
+    """Conversations that are no proper prefix of another: their ``KEY``, ``n``, ``n_copies``."""
+    # A conversation without an id has the greatest one: it stands for its copies only if none has an id.
+    own = F.struct("no_id", "k")
+    whole = keys.where("i = n").groupBy("n", "a", "b").agg(F.min(own).alias("first"), F.count("*").alias("n_copies"))
     prefixes = keys.where("i < n").select(F.col("i").alias("n"), "a", "b").distinct()
-    return whole.join(prefixes, ["n", "a", "b"], "left_anti").select("conv_id", "n", "n_copies")
+    return whole.join(prefixes, ["n", "a", "b"], "left_anti").select("first.k", "first.no_id", "n", "n_copies")
 
 
 def rendered_turn(role: Column, text: Column) -> Column:
@@ -116,19 +122,21 @@ def rendered_turn(role: Column, text: Column) -> Column:
 def collapsed(conversations: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """Maximal conversations, rendered: ``conv_id``, ``chunk`` (from 0),
     ``n_turns`` and ``n_copies`` of the conversation, ``rendered``."""
-    turns = _turns(conversations)
-    kept = maximal(prefix_keys(turns)).withColumnRenamed("conv_id", "_conv_id")
-    placed = prefix_keys(turns).select("conv_id", "role", "text", "i")
+    # The keyed turns are written once and serve both sides.
+    keyed = written(prefix_keys(_turns(conversations)), "keyed-turns")
+    kept = maximal(keyed).drop("n")
+    chunked = keyed.select(
+        *KEY, "i", "n", ((F.col("i") - 1) / chunk).cast("int").alias("chunk"), rendered_turn(F.col("role"), F.col("text")).alias("part")
+    )
     return (
-        placed.join(kept, F.col("conv_id").eqNullSafe(F.col("_conv_id")))
-        .select("conv_id", ((F.col("i") - 1) / chunk).cast("int").alias("chunk"), "n", "n_copies", "i",
-                rendered_turn(F.col("role"), F.col("text")).alias("part"))
-        .groupBy("conv_id", "chunk")
+        chunked.join(kept, [*KEY])
+        .groupBy(*KEY, "chunk")
         .agg(
             F.first("n").cast("long").alias("n_turns"),
             F.first("n_copies").alias("n_copies"),
             F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "part"))), lambda x: x["part"]), "").alias("rendered"),
         )
+        .select(F.when(~F.col("no_id"), F.col("k")).alias("conv_id"), "chunk", "n_turns", "n_copies", "rendered")
     )
 
 
