@@ -114,3 +114,48 @@ def test_queries_with_few_candidates_are_compared_with_all(spark):
     got, want = found(N.nearest(frame(spark, rows), target=0.01)), brute(rows)
     assert {q: len(v) for q, v in got.items()} == dict.fromkeys(want, 20)
     assert sum([i for i, _ in got[q]] == [i for i, _ in want[q]] for q in want) >= len(want) - 1
+
+
+def test_recall_on_the_given_vectors(spark):
+    """Vectors of 64 components without much structure, all of them against brute force."""
+    df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    rows = sorted((r.vec_id, r.embedding) for r in df.collect())
+    ids, x = np.array([i for i, _ in rows]), np.array([v for _, v in rows], np.float64)
+    got = found(N.nearest(df))
+    hit = total = 0
+    for k in np.flatnonzero(ids % 20 == 0):
+        s = x @ x[k]
+        s[k] = -np.inf
+        kth = np.sort(s)[-20] - 1e-9
+        own = got[int(ids[k])]
+        assert len(own) == 20
+        hit += sum(v >= kth for _, v in own)
+        total += 20
+    assert hit / total >= 0.95
+
+
+def rows_shuffled(spark, n):
+    """Rows of both sides that reach the units, for ``n`` vectors around centres."""
+    import unittest.mock as mock
+
+    rnd = np.random.default_rng(n)
+    centres = rnd.normal(size=(40, 8)) * 4
+    rows = [(i, (centres[i % 40] + 0.05 * rnd.normal(size=8)).tolist()) for i in range(n)]
+    counts = []
+    streamed = N._streamed
+
+    def counted(data, asks, top):
+        counts.append((data.count(), asks.count()))
+        return streamed(data, asks, top)
+
+    with mock.patch.object(N, "_streamed", counted):
+        N.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).count()
+    return counts
+
+
+def test_vectors_are_shuffled_once_a_table(spark, monkeypatch):
+    """However many queries there are, a vector goes to one unit of each table."""
+    monkeypatch.setattr(N, "UNIT", 128)
+    for n in (500, 1000, 2000):
+        for data, _ in rows_shuffled(spark, n)[:1]:
+            assert data == N.TABLES * n

@@ -20,8 +20,9 @@ buckets. Queries that get too few candidates are compared with all vectors.
 
 Equal vectors are one class with its smallest ids, so a vector that very many rows share is
 compared once. Buckets are dealt to units of a bounded number of
-vectors; crowded units are split by id, and queries are dealt in parts, each task
-taking one part of each.
+vectors, and crowded units are split by id. A vector goes to one unit of each table; a query goes to the units whose
+buckets it visits. Both are shuffled by unit and sorted so that a unit's vectors come first: a task holds these,
+and the queries stream past them, however many there are.
 
 Defined cases: vectors that are null, empty, zero, of another length than most, or hold null or
 non-finite components take no part, as query or as candidate; ids that are
@@ -35,7 +36,6 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,8 +45,8 @@ from .base import mixed, written
 TOP = 20
 TABLES = 2
 WIDTH = 1.0
-#: Vectors of a bucket, of a unit, and queries of a part, about.
-BUCKET, UNIT, PART = 256, 8192, 4096
+#: Vectors of a bucket and of a unit, about.
+BUCKET, UNIT = 256, 8192
 #: Chance that a neighbour is in a visited bucket, of all tables together.
 TARGET = 0.985
 PROBES = 64
@@ -54,7 +54,7 @@ PROBES = 64
 LEAST_CHANCE, LOWER = 1e-6, 8
 #: Bits that the number of a neighbour's bucket holds for a query, at most: a list is some times two to this power.
 LIST_BITS = 17
-#: Queries compared with a unit at once where they are compared with all vectors.
+#: Queries compared with a unit at once.
 AT_ONCE = 256
 SEED = 20
 
@@ -169,6 +169,86 @@ def _radius(kinds: DataFrame, queries: list[np.ndarray], longest: float, top: in
     return float(max(np.quantile(distance, 0.9), 1e-3))
 
 
+class _Unit:
+    """The vectors of a unit by bucket."""
+
+    def __init__(self, x: np.ndarray, ids: np.ndarray, buckets: np.ndarray):
+        order = np.argsort(buckets, kind="stable")
+        self.x, self.ids = x[order], ids[order]
+        self.buckets, first = np.unique(buckets[order], return_index=True)
+        self.edges = np.append(first, len(order))
+
+    def best(self, q: np.ndarray, own: np.ndarray, lists: list[np.ndarray | None], top: int) -> pa.RecordBatch:
+        """For each query its ``top + 1`` best of the vectors in its buckets; None stands for all buckets."""
+        out_q, out_c, out_s = [], [], []
+        for at in range(0, len(lists), AT_ONCE):
+            some = lists[at : at + AT_ONCE]
+            visited = np.zeros((len(some), len(self.buckets)), bool)
+            for i, visits in enumerate(some):
+                if visits is None:
+                    visited[i] = True
+                    continue
+                place = np.minimum(np.searchsorted(self.buckets, visits), len(self.buckets) - 1)
+                visited[i, place[self.buckets[place] == visits]] = True
+            wanted = np.flatnonzero(np.repeat(visited.any(0), np.diff(self.edges)))
+            if not len(wanted):
+                continue
+            bucket = np.searchsorted(self.edges, wanted, side="right") - 1
+            ids = self.ids[wanted]
+            scores = np.where(visited[:, bucket], q[at : at + AT_ONCE] @ self.x[wanted].T, -np.inf)
+            last = max(0, len(wanted) - top - 1)
+            least = np.partition(scores, last, axis=1)[:, last]  # the smallest of the best, all of its equals stay
+            for i, s in enumerate(scores):
+                near = np.flatnonzero((s >= least[i]) & (s > -np.inf))
+                near = near[np.lexsort((ids[near], -s[near]))[: top + 1]]
+                out_q.append(np.full(len(near), own[at + i]))
+                out_c.append(ids[near])
+                out_s.append(s[near])
+        arrays = [np.concatenate(a) if a else np.empty(0, k) for a, k in ((out_q, np.int64), (out_c, np.int64), (out_s, float))]
+        return pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], ["query", "cid", "score"])
+
+
+def _streamed(data: DataFrame, asks: DataFrame, top: int) -> DataFrame:
+    """``query``, ``cid`` and ``score``: the queries of each (t, unit, split) streamed past its vectors.
+
+    Both sides are shuffled once, each row to its own unit; sorted, a unit's vectors come before its queries.
+    """
+    key = ["t", "unit", "split"]
+    none = F.lit(None)
+    rows = data.select(*key, F.lit(0).alias("asks"), "bucket", none.cast("array<long>").alias("buckets"), "cid", "vec").unionByName(
+        asks.select(*key, F.lit(1).alias("asks"), none.cast("long").alias("bucket"), "buckets", "cid", "vec")
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at: tuple | None = None
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        unit: _Unit | None = None
+        for batch in batches:
+            if not len(batch):
+                continue
+            place = np.stack([batch.column(c).to_numpy() for c in (*key, "asks")], axis=1)
+            edges = np.flatnonzero(np.r_[True, (place[1:] != place[:-1]).any(1), True])
+            for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                now, own = tuple(place[a, :3].tolist()), batch.slice(a, b - a)
+                if now != at:
+                    at, held, unit = now, [], None
+                x, ids = _matrix(own.column("vec")), own.column("cid").to_numpy()
+                if not place[a, 3]:
+                    held.append((x, ids, own.column("bucket").to_numpy()))
+                    continue
+                if not held and unit is None:
+                    continue  # no vector in this unit
+                if unit is None:
+                    unit, held = _Unit(*(np.concatenate([h[k] for h in held]) for k in range(3))), []
+                column = own.column("buckets")
+                offsets, flat = column.offsets.to_numpy(), column.values.to_numpy()
+                valid = np.array(column.is_valid())
+                lists = [flat[offsets[i] : offsets[i + 1]] if valid[i] else None for i in range(len(own))]
+                yield unit.best(x, ids, lists, top)
+
+    return rows.repartition(*key).sortWithinPartitions(*key, "asks").mapInArrow(run, "query long, cid long, score double")
+
+
 def nearest(vectors: DataFrame, every: int = 20, top: int = TOP, target: float = TARGET) -> DataFrame:
     """For each row whose id is divisible by ``every``: ``query_id``, ``rank``, ``vec_id``, ``score``."""
     spark = vectors.sparkSession
@@ -185,7 +265,7 @@ def nearest(vectors: DataFrame, every: int = 20, top: int = TOP, target: float =
     longest = kinds.agg(F.max(F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x)))).first()[0]
     some = [np.array(r["vec"]) for r in asked.orderBy(F.xxhash64("cid")).limit(PROBES).collect()]
     hashing = Hashing(len(some[0]), n, longest, _radius(kinds, some, longest, top), target=target)
-    units, parts = -(-n // UNIT), -(-n_asked // PART)
+    units = -(-n // UNIT)
 
     def unit_of(buckets: np.ndarray) -> np.ndarray:
         return (mixed(buckets.view(np.uint64)) % np.uint64(units)).astype(np.int32)
@@ -224,95 +304,34 @@ def nearest(vectors: DataFrame, every: int = 20, top: int = TOP, target: float =
     dealt = written(kinds.select("cid", "vec").mapInArrow(deal, "t int, unit int, bucket long, cid long, vec array<double>"), "dealt")
     splits = dealt.groupBy("t", "unit").agg(F.ceil(F.count("*") / (2 * UNIT)).cast("int").alias("splits"))
     splits = written(splits, "splits")
-    left = (
-        dealt.join(splits, ["t", "unit"])
-        .withColumn("split", F.pmod(F.xxhash64("cid"), F.col("splits")).cast("int"))
-        .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-        .select("t", "unit", "split", "part", "bucket", "cid", "vec")
-    )
+    left = dealt.join(splits, ["t", "unit"]).withColumn("split", F.pmod(F.xxhash64("cid"), F.col("splits")).cast("int"))
     right = (
         asked.select("cid", "vec").mapInArrow(ask, "t int, unit int, buckets array<long>, cid long, vec array<double>")
         .join(splits, ["t", "unit"])
-        .withColumn("part", F.pmod(F.xxhash64("cid"), F.lit(parts)).cast("int"))
         .withColumn("split", F.explode(F.sequence(F.lit(0), F.col("splits") - 1)))
-        .select("t", "unit", "split", "part", "buckets", "cid", "vec")
     )
 
-    def match(data: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
-        none = pd.DataFrame({"query": pd.Series(dtype="int64"), "cid": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
-        if data.empty or asks.empty:
-            return none
-        x, ids = np.stack(data["vec"].to_numpy()), data["cid"].to_numpy()
-        order = np.argsort(data["bucket"].to_numpy(), kind="stable")
-        buckets, first = np.unique(data["bucket"].to_numpy()[order], return_index=True)
-        members = np.split(order, first[1:])
-        q, own = np.stack(asks["vec"].to_numpy()), asks["cid"].to_numpy()
-        lists = asks["buckets"].to_numpy()
-        visits = np.concatenate(lists)
-        by = np.repeat(np.arange(len(lists)), [len(v) for v in lists])
-        at = np.searchsorted(buckets, visits)
-        there = (at < len(buckets)) & (buckets[np.minimum(at, len(buckets) - 1)] == visits)
-        at, by = at[there], by[there]
-        best: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in lists]
-        turn = np.argsort(at, kind="stable")
-        edges = np.searchsorted(at[turn], np.arange(len(buckets) + 1))
-        for b, member in enumerate(members):
-            who = by[turn[edges[b] : edges[b + 1]]]
-            if len(who):
-                scores = q[who] @ x[member].T
-                for i, s in zip(who.tolist(), scores, strict=True):
-                    best[i].append((s, ids[member]))
-        out_q, out_c, out_s = [], [], []
-        for i, found in enumerate(best):
-            if found:
-                s, c = np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
-                pick = np.lexsort((c, -s))[: top + 1]
-                out_q.append(np.full(len(pick), own[i]))
-                out_c.append(c[pick])
-                out_s.append(s[pick])
-        if not out_q:
-            return none
-        return pd.DataFrame({"query": np.concatenate(out_q), "cid": np.concatenate(out_c), "score": np.concatenate(out_s)})
-
-    def match_all(data: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
-        out = [pd.DataFrame({"query": pd.Series(dtype="int64"), "cid": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})]
-        if not data.empty and not asks.empty:
-            x, ids = np.stack(data["vec"].to_numpy()), data["cid"].to_numpy()
-            for at in range(0, len(asks), AT_ONCE):
-                some = asks.iloc[at : at + AT_ONCE]
-                for own, s in zip(some["cid"], np.stack(some["vec"].to_numpy()) @ x.T, strict=True):
-                    pick = np.lexsort((ids, -s))[: top + 1]
-                    out.append(pd.DataFrame({"query": own, "cid": ids[pick], "score": s[pick]}))
-        return pd.concat(out[1:] or out, ignore_index=True)
-
-    key = ["t", "unit", "split", "part"]
-
-    def best_of(data: DataFrame, asks: DataFrame, work) -> DataFrame:
+    def best_of(data: DataFrame, asks: DataFrame) -> DataFrame:
         found = (
-            data.groupBy(*key).cogroup(asks.groupBy(*key)).applyInPandas(work, "query long, cid long, score double")
+            _streamed(data, asks, top)
             .groupBy("query", "cid").agg(F.max("score").alias("score"))
         )
         rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "cid"))
         found = found.withColumn("rank", rank).where(F.col("rank") <= top + 1)
         return written(found.join(kinds.select("cid", "ids"), "cid").select("query", "score", F.explode("ids").alias("vec_id")), "found")
 
-    found = best_of(left, right, match)
+    found = best_of(left, right)
     # Queries with too few candidates are compared with all vectors, in the units of the first table.
     enough = min(top + 1, kinds.agg(F.sum(F.size("ids"))).first()[0])
     served = found.groupBy("query").agg(F.count("*").alias("n")).where(F.col("n") >= enough)
     lacking = written(asked.join(served, asked["cid"] == served["query"], "left_anti").select("cid", "vec"), "lacking")
-    n_lacking = lacking.count()
-    if n_lacking:
-        parts = -(-n_lacking // PART)
-        one = splits.where("t = 0").withColumn("split", F.explode(F.sequence(F.lit(0), F.col("splits") - 1)))
-        everything = (
-            dealt.where("t = 0").join(splits, ["t", "unit"])
-            .withColumn("split", F.pmod(F.xxhash64("cid"), F.col("splits")).cast("int"))
-            .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-            .select(*key, "cid", "vec")
+    if not lacking.isEmpty():
+        whole = (
+            lacking.withColumns({"t": F.lit(0), "unit": F.explode(F.sequence(F.lit(0), F.lit(units - 1)))})
+            .join(splits, ["t", "unit"])
+            .withColumns({"split": F.explode(F.sequence(F.lit(0), F.col("splits") - 1)), "buckets": F.lit(None).cast("array<long>")})
         )
-        asking = lacking.withColumn("part", F.pmod(F.xxhash64("cid"), F.lit(parts)).cast("int")).crossJoin(one)
-        exact = best_of(everything, asking.select(*key, "cid", "vec"), match_all)
+        exact = best_of(left.where("t = 0"), whole)
         found = found.join(lacking.select(F.col("cid").alias("query")), "query", "left_anti").unionByName(exact)
     # Of a query's class, what any of its queries can get: one more than a result, as its own id may be among them.
     rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id"))
