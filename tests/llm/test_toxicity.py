@@ -74,7 +74,7 @@ def test_kernel_against_its_definition():
         return {k: v / norm for k, v in out.items()}
 
     words = ["banana", "bandana", "a", "nab", "b4nana", "xyzxyz"]
-    dense = X._dense(words)
+    dense = X._marks_of(words).vectors
     for i, a in enumerate(words):
         for j, b in enumerate(words):
             x, y = features(a), features(b)
@@ -98,5 +98,53 @@ def test_without_labels(spark, make_docs):
     assert X.scores(make_docs([]), model).count() == 0
 
 
+def test_folded_weights_give_the_decision_values(spark, monkeypatch):
+    """Margins of words and passages by triple weights are those of the SVM on kernels with the landmarks."""
+    kept = {}
+    hinge = X._squared_hinge
+
+    def seen(x, y, share, free):
+        kept["x"], kept["w"] = x, hinge(x, y, share, free)
+        return kept["w"]
+
+    monkeypatch.setattr(X, "_squared_hinge", seen)
+    bad = [(w, 3.0) for w in INSULTS]
+    good = [(w, 2.0) for w in ("blossom", "ninepins", "scout", "dimmer", "table", "a")]
+    passages = [(["you", "utter", "dimwit"], 1), (["a", "table", "for", "two"], 0), (["scout"], 0)]
+    model = X._fit(bad, good, passages)
+    want = kept["x"] @ kept["w"]
+    words = [w for w, _ in bad + good]
+    assert np.allclose(model.margins(words), np.maximum(want[: len(words)], X.LEAST), atol=1e-4)
+    model.learn(w for p, _ in passages for w in p)
+    got = [float(model.passage_margins(p)[0]) for p, _ in passages]
+    assert np.allclose(got, want[len(words) :], atol=1e-3)
+    # the kernel with the landmarks, worked out the long way
+    z = X._marks_of([w for w, _ in (bad + good)]).vectors
+    assert np.allclose(kept["x"][: len(words), :-2] @ kept["x"][: len(words), :-2].T, z @ z.T, atol=1e-3)
+
+
+def test_passages_cover_all_words():
+    for n in range(80):
+        spans = X.passages_of(n)
+        assert {i for a, b in spans for i in range(a, b)} == set(range(n))
+        assert all(0 < b - a <= X.PASSAGE for a, b in spans) and len(set(spans)) == len(spans)
+
+
+def test_very_long_texts(make_docs, model, pool):
+    clean = " ".join(pool(30_000, 31))
+    rows = [(1, clean), (2, clean + " nincompoop scoundrel nincompoop"), (3, "x" * 300_000), (4, "n i n c o m p o o p " * 5000)]
+    got = {r.doc_id: r.predicted for r in X.scores(make_docs(rows), model).collect()}
+    assert got == {1: 0, 2: 1, 3: 0, 4: 1}
+
+
+def test_what_stands_behind_a_piece_is_learned(spark, make_docs, pool):
+    """What is toxic in a long word's second piece is among the training strings."""
+    tail = "nincompoopblockheadscoun"
+    assert len(tail) == X.PIECE
+    rows = [(i, " ".join(pool(30, 900 + i)) + (" " + "".join(pool(12, i))[: X.PIECE] + tail if i % 5 == 0 else "")) for i in range(300)]
+    got = X.fitted(make_docs(rows), spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(300)], "doc_id long, toxic int"))
+    assert got.margins([tail])[0] > 0.5 > max(got.margins(pool(20, 4)))
+
+
 def test_long_words_are_read_whole(model):
     assert model.margins(["x" * 500 + "blockhead" + "y" * 500])[0] > model.margins(["x" * 1000])[0]

@@ -154,12 +154,11 @@ def encoded(df: DataFrame, path: str | None = None, text_col: str = "text") -> D
     Starts and ends count characters of the text. Tokens that split a
     character each get the place of the whole character.
     """
-    path = path or default_vocabulary()
     source = df.drop("ids", "starts", "ends") if text_col not in ("ids", "starts", "ends") else df
     names = [c for c in source.columns if c not in ("ids", "starts", "ends")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = byte_bpe(path)
+        bpe = byte_bpe(path or default_vocabulary())  # the worker's own, unless one is given
         ints = pa.list_(pa.int32())
         for batch in batches:
             texts = [t or "" for t in batch.column(text_col).to_pylist()]
@@ -176,11 +175,10 @@ def encoded(df: DataFrame, path: str | None = None, text_col: str = "text") -> D
 
 def decoded(df: DataFrame, path: str | None = None, ids_col: str = "ids") -> DataFrame:
     """``df`` with ``decoded``, the bytes of its ids (null ids: no bytes)."""
-    path = path or default_vocabulary()
     names = [c for c in df.columns if c != "decoded"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = byte_bpe(path)
+        bpe = byte_bpe(path or default_vocabulary())  # the worker's own, unless one is given
         for batch in batches:
             out = [bpe.decode(x or ()) for x in batch.column(ids_col).to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -200,10 +198,9 @@ def round_trip(
     joined by one blank), ``decoded_sha256`` (decoded bytes) and ``lossless``
     (the decoded bytes are the text's), and the columns to ``keep``. The ids stay in the worker, so only digests travel.
     """
-    path = path or default_vocabulary()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = byte_bpe(path)
+        bpe = byte_bpe(path or default_vocabulary())  # the worker's own, unless one is given
         for batch in batches:
             texts = batch.column(1).to_pylist()
             counts, ids_digest, digest, lossless = [], [], [], []

@@ -8,19 +8,21 @@ mark before the first letter and one after the last; signs and digits inside a w
 match nothing; letters that stand alone one after another are read as one word.
 
 Training: labelled documents of the training folds, a bounded sample of
-``SAMPLE`` rows, near copies left out. Their sentences bring the words; words that are found in
-toxic documents beyond chance are the positive strings, words of clean
-documents the negative ones, and some of both the landmarks. A linear SVM
-(squared hinge) on the Nyström features is trained again with the clean
-words that it rates highest. A logistic curve over the highest margins of a
-document, fitted on the sample, makes the score.
+``SAMPLE`` rows, near copies left out. Two kinds of strings are labelled. Passages of ``PASSAGE`` words
+(sentences, as texts don't always mark their ends) have the label of their document, but for those of toxic documents
+without any suspect word, which say nothing; the kernel of two passages is the sum of their words' kernels over the root of their
+lengths. Suspect words are those found in toxic documents beyond chance; they are positive strings, too,
+and words of clean documents negative ones, and some of both the landmarks. One linear SVM
+(squared hinge) on the Nyström features, with a bias for words and one for passages, is trained on
+both, again and again with the clean words and clean passages that it rates highest. A logistic curve over the highest margins of a
+document's words and passages, fitted on the sample, makes the score.
 
 Scoring: as the kernel has explicit features, landmarks and weights fold into
 one weight for each triple of characters, so a word's margin is a sum over its own
-triples. A worker remembers the margins of words; a document's score depends
+triples, and a passage's is a sum over its words. A worker remembers the margins of words; a document's score depends
 on nothing but its text: the three highest margins among its words (each
 occurrence counts, so an insult that comes again weighs more than one
-likeness).
+likeness), and the highest among its passages.
 
 Defined cases: a null or empty text has no words and gets the score of
 the lowest margins; without labels of both kinds every score is 0; labels that are
@@ -35,7 +37,7 @@ import heapq
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -54,6 +56,13 @@ SAMPLE = 16_000
 LANDMARKS = 192
 POSITIVES, NEGATIVES = 2_000, 9_000
 ROUNDS = 3
+#: Words of a passage and of the step to the next one; passages of a fit at most, of toxic and of clean documents.
+PASSAGE, PASSAGE_STEP = 12, 6
+PASSAGES, CLEAN_PASSAGES = 1_500, 4_500
+#: Share of the passages in the weight of all training strings.
+PASSAGE_SHARE = 0.1
+#: Words whose Nyström features are worked out at once.
+MAPPED_AT_ONCE = 100
 #: A word is positive if toxic documents have it so many deviations beyond chance.
 BEYOND_CHANCE = 5.5
 COST = 4.0
@@ -165,31 +174,72 @@ def _by_length(pieces: list[str]) -> Iterator[np.ndarray]:
             yield at[i : i + 50_000]
 
 
-def _dense(words: list[str]) -> np.ndarray:
-    """Feature vectors of a few words, one row each."""
-    out = np.zeros((len(words), _CLASSES**3))
+@dataclass(frozen=True)
+class _Marks:
+    """Landmarks as dense vectors over the triples that they have: ``column`` numbers these, -1 for all others."""
+
+    column: np.ndarray
+    vectors: np.ndarray
+
+
+def _marks_of(words: list[str]) -> _Marks:
+    """Feature vectors of a few words, one row each; words without a triple have none."""
     row, code, value = _features([w.strip(_AROUND) for w in words])
-    out[row, code] = value
-    return out
+    used, at = np.unique(code, return_inverse=True)
+    column = np.full(_CLASSES**3, -1, np.int32)
+    column[used] = np.arange(len(used))
+    out = np.zeros((len(words), len(used)), np.float32)
+    out[row, at] = value
+    return _Marks(column, out[np.abs(out).sum(1) > 0])
 
 
-def _mapped(words: list[str], table: np.ndarray) -> np.ndarray:
-    """Feature vectors times a table of a row per triple, without making them dense."""
-    out = np.zeros((len(words), table.shape[1]))
-    for i in range(0, len(words), 1000):
-        row, code, value = _features([w.strip(_AROUND) for w in words[i : i + 1000]])
+def _mapped(words: list[str], marks: _Marks, table: np.ndarray) -> np.ndarray:
+    """Feature vectors times a table of a row per triple of the landmarks, without making them dense.
+
+    Other triples have no part in the product, only in a vector's length.
+    """
+    out = np.zeros((len(words), table.shape[1]), np.float32)
+    for i in range(0, len(words), MAPPED_AT_ONCE):
+        row, code, value = _features([w.strip(_AROUND) for w in words[i : i + MAPPED_AT_ONCE]])
+        at = marks.column[code]
+        row, at, value = row[at >= 0], at[at >= 0], value[at >= 0].astype(np.float32)
         if len(row):
             first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
-            out[i + row[first]] = np.add.reduceat(table[code] * value[:, None], first)
+            out[i + row[first]] = np.add.reduceat(table[at] * value[:, None], first)
     return out
 
 
+def passages_of(n: int) -> list[tuple[int, int]]:
+    """Where the passages of ``n`` words begin and end: all words are in one, the last ends with the text."""
+    if n <= PASSAGE:
+        return [(0, n)] if n else []
+    return [(a, a + PASSAGE) for a in range(0, n - PASSAGE, PASSAGE_STEP)] + [(n - PASSAGE, n)]
+
+
+def _mapped_passages(passages: list[list[str]], marks: _Marks, table: np.ndarray) -> np.ndarray:
+    """Nyström features of passages: the sum of their words' over the root of their number."""
+    out = np.zeros((len(passages), table.shape[1]), np.float32)
+    for i in range(0, len(passages), 50):
+        some = passages[i : i + 50]
+        sizes = np.array([len(p) for p in some])
+        x = _mapped([w for p in some for w in p], marks, table)
+        first = np.cumsum(sizes) - sizes
+        out[i : i + len(some)] = np.add.reduceat(x, first) / np.sqrt(sizes)[:, None]
+    return out
+
+
+def _squashed(margin: float) -> float:
+    """Evidence of a margin, from 0 to 1."""
+    return 1 / (1 + math.exp(-STEEP * (margin - MIDDLE)))
+
+
 @dataclass
 class Model:
-    """Triple weights, the bias, and the curve from margins to scores."""
+    """Triple weights, the biases, and the curve from margins to scores."""
 
     weights: np.ndarray | None = None
     bias: float = LEAST
+    passage_bias: float = LEAST
     curve: np.ndarray | None = None
     known: dict[str, float] = field(default_factory=dict)
 
@@ -209,8 +259,23 @@ class Model:
                 np.maximum.at(out, of[at], got)
         return out
 
-    def evidence(self, texts: list[str | None]) -> list[float]:
-        """For each text the three highest margins among its words, each occurrence counted, as a sum of 0 to 3.
+    def passage_margins(self, words: list[str]) -> np.ndarray:
+        """The margin of each passage of a text's words, whose own margins are known."""
+        m = np.fromiter(map(self.known.__getitem__, words), float, len(words)) - self.bias
+        sums = np.concatenate([[0.0], np.cumsum(m)])
+        a, b = np.array(passages_of(len(words)) or [(0, 0)]).T
+        return (sums[b] - sums[a]) / np.sqrt(np.maximum(1, b - a)) + self.passage_bias
+
+    def learn(self, words: Iterable[str]) -> None:
+        """Remember the margins of words."""
+        if len(self.known) > REMEMBERED:
+            self.known = {}
+        new = list(set(words).difference(self.known))
+        self.known.update(zip(new, self.margins(new).tolist(), strict=True))
+
+    def evidence(self, texts: list[str | None]) -> list[tuple[float, float]]:
+        """For each text the three highest margins among its words, each occurrence counted, as a sum of 0 to 3, and
+        the highest among its passages, from 0 to 1.
 
         Margins of words not yet known are worked out for ``TOGETHER`` texts at once.
         """
@@ -218,32 +283,30 @@ class Model:
         for at in range(0, len(texts), TOGETHER):
             some = [(t or "").lower() for t in texts[at : at + TOGETHER]]
             words = [words_of(t) for t in some]
-            if len(self.known) > REMEMBERED:
-                self.known = {}
-            new = list(set().union(*words).difference(self.known))
-            self.known.update(zip(new, self.margins(new).tolist(), strict=True))
+            self.learn(set().union(*words))
             for text, own in zip(some, words, strict=True):
                 best = heapq.nlargest(3, zip(map(self.known.__getitem__, own), own, strict=True))
                 top = [m for m, w in best for _ in range(max(1, min(3, text.count(w))) if m > 0 else 1)]
-                out.append(sum(1 / (1 + math.exp(-STEEP * (m - MIDDLE))) for m in top[:3]))
+                passage = float(self.passage_margins(text.split()).max())
+                out.append((sum(map(_squashed, top[:3])), _squashed(max(LEAST, min(-LEAST, passage)))))
         return out
 
     def score(self, evidence: np.ndarray) -> np.ndarray:
         if self.curve is None:
             return np.zeros(len(evidence))
-        return 1 / (1 + np.exp(-np.clip(np.c_[evidence, np.ones(len(evidence))] @ self.curve, -30, 30)))
+        x = np.asarray(evidence, float).reshape(-1, 2)
+        return 1 / (1 + np.exp(-np.clip(np.c_[x, np.ones(len(x))] @ self.curve, -30, 30)))
 
 
 def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string")) % 4 == 2
 
 
-def _squared_hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, float]:
-    """Primal Newton steps for a linear SVM; the last coefficient is the bias."""
-    x = np.hstack([x, np.ones((len(x), 1))])
+def _squared_hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray, free: int) -> np.ndarray:
+    """Primal Newton steps for a linear SVM; the last ``free`` columns are biases."""
     w = np.zeros(x.shape[1])
     ridge = np.full(x.shape[1], 1.0)
-    ridge[-1] = 1e-3
+    ridge[-free:] = 1e-3
     for turn in range(30):
         inside = y * (x @ w) < 1
         z, c = x[inside], COST * weight[inside]
@@ -251,28 +314,79 @@ def _squared_hinge(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np
         if np.abs(new - w).max() < 1e-6:
             break
         w = 0.5 * (w + new) if turn > 10 else new
-    return w[:-1], float(w[-1])
+    return w
 
 
-def _fit(positive: list[tuple[str, float]], negative: list[tuple[str, float]]) -> Model:
-    """An SVM on Nyström features, folded into weights of triples."""
+def _halves(y: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """Weights of both labels alike, one in all."""
+    out = share.astype(float)
+    for side in (y > 0, y < 0):
+        out[side] *= 0.5 / max(out[side].sum(), 1e-12)
+    return out
+
+
+def _fit(positive: list[tuple[str, float]], negative: list[tuple[str, float]], passages: list[tuple[list[str], int]] = ()) -> Model:
+    """An SVM on Nyström features of words and passages, folded into weights of triples."""
     half = LANDMARKS * 2 // 3
-    marks = [w for w, _ in positive[:half]]
-    marks += [w for w, _ in negative[: LANDMARKS - len(marks)]]
-    z = _dense(marks)
-    z = z[np.abs(z).sum(1) > 0]
-    values, vectors = np.linalg.eigh(z @ z.T)
-    good = values > 1e-6 * values.max()
+    chosen = [w for w, _ in positive[:half]]
+    chosen += [w for w, _ in negative[: LANDMARKS - len(chosen)]]
+    marks = _marks_of(chosen)
+    values, vectors = np.linalg.eigh((marks.vectors @ marks.vectors.T).astype(float))
+    good = values > 1e-5 * values.max()
     root = vectors[:, good] / np.sqrt(values[good])  # landmarks' kernel matrix to the power -1/2
-    map_of = z.T @ root
-    words = [w for w, _ in positive] + [w for w, _ in negative]
-    x = _mapped(words, map_of)
-    y = np.r_[np.ones(len(positive)), -np.ones(len(negative))]
-    share = np.r_[*(np.sqrt([n for _, n in part]) for part in (positive, negative))]
-    share[y > 0] *= 0.5 / share[y > 0].sum()
-    share[y < 0] *= 0.5 / share[y < 0].sum()
-    w, bias = _squared_hinge(x, y, share * len(words))
-    return Model(weights=map_of @ w, bias=bias)
+    map_of = marks.vectors.T @ root.astype(np.float32)
+    n, m = len(positive) + len(negative), len(passages)
+    x = np.zeros((n + m, map_of.shape[1] + 2), np.float32)
+    x[:n, :-2] = _mapped([w for w, _ in positive] + [w for w, _ in negative], marks, map_of)
+    x[n:, :-2] = _mapped_passages([p for p, _ in passages], marks, map_of)
+    x[:n, -2], x[n:, -1] = 1, 1
+    y = np.r_[np.ones(len(positive)), -np.ones(len(negative)), [label * 2 - 1 for _, label in passages]]
+    share = _halves(y[:n], np.sqrt([n for _, n in (*positive, *negative)]))
+    if m:
+        share = np.r_[(1 - PASSAGE_SHARE) * share, PASSAGE_SHARE * _halves(y[n:], np.ones(m))]
+    w = _squared_hinge(x, y, share * n, 2)
+    weights = np.zeros(_CLASSES**3)
+    weights[marks.column >= 0] = map_of @ w[:-2]
+    return Model(weights=weights, bias=float(w[-2]), passage_bias=float(w[-1]) if m else LEAST)
+
+
+def _passages(picked: DataFrame, suspect: set[str], model: Model | None) -> list[tuple[list[str], int]]:
+    """Labelled passages of the sample: of toxic documents those with a suspect word, of clean ones the
+    first that a model rates highest, or any without one. A bounded number comes to the driver."""
+    shared = picked.sparkSession.sparkContext.broadcast((suspect, model))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        suspect, model = shared.value
+        for batch in batches:
+            words, labels, margins = [], [], []
+            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
+                own = text.lower().split()
+                spans = passages_of(len(own))
+                if not spans:
+                    continue
+                if toxic:
+                    bad = [not suspect.isdisjoint(_pieces(own[a:b])[0]) for a, b in spans]
+                    some = [(span, 0.0) for span, b in zip(spans, bad, strict=True) if b]
+                elif model is None:
+                    some = [(spans[xxhash.xxh3_64_intdigest(text) % len(spans)], 0.0)]
+                else:
+                    model.learn(own)
+                    m = model.passage_margins(own)
+                    some = [(spans[int(m.argmax())], float(m.max()))]
+                for (a, b), margin in some:
+                    words.append(own[a:b])
+                    labels.append(toxic)
+                    margins.append(margin)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(words, pa.list_(pa.string())), pa.array(labels, pa.int32()), pa.array(margins, pa.float64())], ["words", "toxic", "margin"]
+            )
+
+    found = written(picked.mapInArrow(run, "words array<string>, toxic int, margin double"), "toxicity-passages").distinct()
+    out = []
+    for toxic, most in ((1, PASSAGES), (0, CLEAN_PASSAGES // (ROUNDS + 1))):
+        rows = found.where(F.col("toxic") == toxic).orderBy(F.desc("margin"), F.xxhash64("words")).limit(most).collect()
+        out += [(r["words"], toxic) for r in rows]
+    return out
 
 
 def _curve(evidence: np.ndarray, label: np.ndarray) -> np.ndarray:
@@ -350,7 +464,7 @@ def fitted(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> Model:
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = [sorted({w[:PIECE] for w in words_of(t.lower())}) for t in batch.column("text").to_pylist()]
+            lists = [sorted(set(_pieces(sorted(words_of(t.lower())))[0])) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(lists, pa.list_(pa.string())), batch.column("toxic")], ["words", "toxic"])
 
     both = picked.agg(F.sum("toxic").alias("toxic"), F.count("*").alias("n")).first()
@@ -370,15 +484,18 @@ def fitted(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> Model:
         for r in counted.where((beyond >= BEYOND_CHANCE) & (F.col("bad") >= 0.8 * F.col("n")))
         .orderBy(beyond.desc(), "word").limit(POSITIVES).collect()
     ]
+    chosen = counted.sparkSession.createDataFrame([(w,) for w, _ in positive], "word string")
     clean = counted.where("bad < n").select("word", (F.col("n") - F.col("bad")).alias("n"))
-    clean = clean.where(~F.col("word").isin([w for w, _ in positive[:500]]))
+    clean = clean.join(F.broadcast(chosen), "word", "left_anti")  # POSITIVES rows at most
     negative = [
         (r["word"], float(r["n"]))
         for r in clean.orderBy(F.when(F.col("n") > 20, -F.col("n")).otherwise(0), F.xxhash64("word")).limit(NEGATIVES // 2).collect()
     ]
     if not positive or not negative:
         return Model()
-    model = _fit(positive, negative)
+    suspect = {w for w, _ in positive}
+    passages = _passages(picked, suspect, None)
+    model = _fit(positive, negative, passages)
     taken = {w for w, _ in negative}
     for _ in range(ROUNDS):
 
@@ -392,18 +509,21 @@ def fitted(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> Model:
             .where("margin > -0.7").orderBy(F.desc("margin"), "word").limit(NEGATIVES // (2 * ROUNDS)).collect()
         )
         new = [(r["word"], float(r["n"])) for r in hard if r["word"] not in taken]
-        if not new:
+        seen = {tuple(p) for p, _ in passages}
+        more = [(p, toxic) for p, toxic in _passages(picked, suspect, model) if not toxic and tuple(p) not in seen]
+        if not new and not more:
             break
         taken.update(w for w, _ in new)
         negative = [*new, *negative]
-        model = _fit(positive, negative)
+        passages += more
+        model = _fit(positive, negative, passages)
 
     def rate_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got = model.evidence(batch.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([pa.array(got, pa.float64()), batch.column("toxic")], ["evidence", "toxic"])
+            yield pa.RecordBatch.from_arrays([pa.array(got, pa.list_(pa.float64())), batch.column("toxic")], ["evidence", "toxic"])
 
-    seen = picked.mapInArrow(rate_documents, "evidence double, toxic int").collect()
+    seen = picked.mapInArrow(rate_documents, "evidence array<double>, toxic int").collect()
     model.curve = _curve(np.array([r["evidence"] for r in seen]), np.array([r["toxic"] for r in seen], float))
     return model
 
@@ -414,7 +534,7 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            score = shared.value.score(np.array(shared.value.evidence(batch.column("text").to_pylist()), np.float64))
+            score = shared.value.score(np.array(shared.value.evidence(batch.column("text").to_pylist())))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(score), pa.array((score >= THRESHOLD).astype(np.int32))],
                 ["doc_id", "held_out", "score", "predicted"],
@@ -433,7 +553,7 @@ def filtered(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            score = shared.value.score(np.array(shared.value.evidence(batch.column("text").to_pylist()), np.float64))
+            score = shared.value.score(np.array(shared.value.evidence(batch.column("text").to_pylist())))
             yield batch.filter(pa.array(score < THRESHOLD))
 
     return docs.mapInArrow(run, docs.schema)
