@@ -45,7 +45,11 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every whole text encoded and decoded: digests of the ids and of the bytes, with ``slot``, ``in_block`` and ``position`` in the mix."""
-    return bpe.round_trip(mixing.positions(docs), keep=("slot", "in_block", "position"))
+    # Encoded first: what is shuffled for the positions are digests, not texts.
+    coded = written(bpe.round_trip(docs, keep=("source",)), "encoded")
+    return mixing.positions(coded).select(
+        "doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "lossless", "slot", "in_block", "position"
+    )
 
 
 STAGES = [
