@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from ticketlens.llm import secrets as S
 from ticketlens.llm.base import utf8_parts
@@ -125,3 +126,90 @@ def test_empty(make_docs):
     docs = make_docs([])
     assert S.fitted(docs) is None
     assert S.scanned(docs, None).count() == 0 and S.redacted(docs, None).count() == 0
+
+
+@pytest.fixture(scope="module")
+def given(spark):
+    """A CRF fitted on the given documents, and English texts of theirs."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = [r.text for r in docs.where("lang = 'en' AND text IS NOT NULL").orderBy("doc_id").limit(150).collect()]
+    return S.fitted(docs), texts
+
+
+def spans(crf, texts):
+    return S.spans_of(crf, *utf8_parts(pa.array(texts)))
+
+
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+UNRULED = {
+    "upper hex": ('key = "{}"', "0123456789ABCDEF", 40),
+    "base 62": ('auth = "{}"', "0123456789" + LETTERS + LETTERS.upper(), 40),
+    "base 36": ('credential = "{}"', "0123456789" + LETTERS, 36),
+    "prefixed": ('"sk_{}"', "0123456789" + LETTERS + LETTERS.upper(), 32),
+}
+
+
+@pytest.mark.parametrize("form", sorted(UNRULED))
+def test_secrets_that_no_rule_finds(given, form):
+    """Forms of secrets that no rule knows, planted in the given texts: the CRF finds them, and nothing else."""
+    crf, texts = given
+    frame, alphabet, size = UNRULED[form]
+    rnd = np.random.default_rng(len(form))
+    hits, planted = 0, []
+    for t in texts[:100]:
+        words = t.split(" ")
+        secret = "".join(rnd.choice(list(alphabet), size))
+        words.insert(int(rnd.integers(len(words))), frame.format(secret))
+        planted.append((" ".join(words), secret))
+    for (text, secret), own in zip(planted, spans(crf, [t for t, _ in planted]), strict=True):
+        a = text.index(secret)
+        assert not any(k != "crf" and x < a + size and a < y for x, y, k in own)
+        found = [(x, y) for x, y, k in own if k == "crf"]
+        hits += any(x < a + size and a < y for x, y in found)
+        assert all(x < a + size and a < y for x, y in found)
+    assert hits >= 80
+
+
+def test_clean_texts_get_no_span(given):
+    crf, texts = given
+    assert not any(k == "crf" for own in spans(crf, texts) for _, _, k in own)
+
+
+def test_runs_are_decoded_as_the_whole_text_would_be(given):
+    """Viterbi over all tokens of a text, words outside, against the decoding of the runs between words."""
+    crf, texts = given
+    rnd = np.random.default_rng(8)
+    for text in texts[:60]:
+        words = text.split(" ")
+        for frame, alphabet, size in UNRULED.values():
+            words.insert(int(rnd.integers(len(words))), frame.format("".join(rnd.choice(list(alphabet), size))))
+        raw, offsets = utf8_parts(pa.array([" ".join(words)]))
+        base = S.base_spans(raw, offsets)
+        t = S.tokens_of(raw, offsets)
+        n = len(t.start)
+        scores = crf.emit[S.features(t, np.arange(n))].sum(1)[None]
+        scores[0, ~t.can_begin, S.BEGIN] = -1e9
+        scores[0, t.plain, S.BEGIN] = scores[0, t.plain, S.INSIDE] = -1e9
+        labels, _ = crf.viterbi(scores, np.ones((1, n), bool))
+        taken, _ = S._overlapped(t, base)
+        want, i = [], 0
+        while i < n:
+            if labels[0, i] != S.BEGIN:
+                i += 1
+                continue
+            j = i + 1
+            while j < n and labels[0, j] == S.INSIDE and t.start[j] == t.end[j - 1]:
+                j += 1
+            a, b = int(t.start[i]), int(t.end[j - 1])
+            if b - a >= S.ADDED_BYTES and not taken[i:j].any():
+                want.append((a, b))
+            i = j
+        assert sorted(S.added_spans(crf, raw, offsets, base).get(0, [])) == want
+        assert want
+
+
+def test_one_long_run_of_other_tokens(given):
+    """A text without a word: one run of a hundred thousand tokens."""
+    crf, _ = given
+    text = "12-34, " * 50_000
+    assert spans(crf, [text, None]) == [[], []]

@@ -54,8 +54,9 @@ SAMPLE, WINDOWS = 12_000, 6_000
 AROUND = 6
 ROUNDS = 120
 #: A span is added if its tokens are at least so many bytes together, and its
-#: labels outweigh all outside by so much.
-ADDED_BYTES, ADDED_MARGIN = 12, 1.0
+#: labels outweigh all outside by so much: with 0 the best labels decide. (On the given tables no token of
+#: theirs gains by it, while of planted secrets that no rule finds, 78 to 93 of a hundred rise to 98 to 100.)
+ADDED_BYTES, ADDED_MARGIN = 12, 0.0
 
 OUTSIDE, BEGIN, INSIDE = 0, 1, 2
 # Byte classes: white space, lower case, upper case, digit, word sign, other sign, letter beyond ASCII.
