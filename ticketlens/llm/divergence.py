@@ -48,7 +48,7 @@ from .base import text_or_empty, written
 #: Documents that have a kept term, at least; terms listed for a source; the scale of shares.
 LEAST, TERMS, SCALE = 3, 200, 1_000_000_000
 #: Entries that a task's counts, or a chunk of a tree, hold at once.
-ENTRIES = 200_000
+ENTRIES = 300_000
 #: Node-ancestor combinations worked on at once.
 COMBINATIONS = 1 << 19
 #: Parts among which a language's counts of counts are dealt to meet its sources.
@@ -58,46 +58,46 @@ _TERM = re.compile(rb"[a-z\x80-\xff]+")
 
 
 def counted(docs: DataFrame) -> DataFrame:
-    """``lang``, ``source``, ``term``, occurrences ``n`` and documents ``docs``; a null term for each group."""
+    """Counts of tasks, to be added up: ``lang``, ``source``, ``term``, occurrences ``n`` and documents ``docs``
+    (the language's, in the row of one of its sources); a null term for each group."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+        terms_of: dict[tuple[str, str], Counter] = {}
+        docs_of: dict[str, Counter] = {}
         held = 0
         for batch in batches:
             for lang, source, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (group := groups.get((lang, source))) is None:
-                    group = groups[lang, source] = (Counter(), Counter())
+                if (group := terms_of.get((lang, source))) is None:
+                    group = terms_of[lang, source] = Counter()
+                    docs_of.setdefault(lang, Counter())
                 terms = _TERM.findall(text.encode().lower())
-                held -= len(group[0])
-                group[0].update(terms)
-                group[1].update(set(terms))
-                held += len(group[0])
+                held -= len(group)
+                group.update(terms)
+                docs_of[lang].update(set(terms))
+                held += len(group)
                 if held > ENTRIES:
-                    yield flushed(groups)
-                    groups, held = {}, 0
-        if groups:
-            yield flushed(groups)
-
-    def flushed(groups: dict[tuple[str, str], tuple[Counter, Counter]]) -> pa.RecordBatch:
-        langs, sources, terms, n, docs = [], [], [], [], []
-        for (lang, source), (all_of, docs_of) in groups.items():
-            size = len(all_of) + 1
-            langs += [lang] * size
-            sources += [source] * size
-            terms += [None, *all_of]
-            n += [0, *all_of.values()]
-            docs += [0, *map(docs_of.__getitem__, all_of)]
-        kinds = (pa.string(), pa.string(), pa.binary(), pa.int64(), pa.int64())
-        arrays = [pa.array(v, k) for v, k in zip((langs, sources, terms, n, docs), kinds, strict=True)]
-        arrays[2] = arrays[2].cast(pa.string())
-        return pa.RecordBatch.from_arrays(arrays, ["lang", "source", "term", "n", "docs"])
+                    yield from flushed(terms_of, docs_of)
+                    terms_of, docs_of, held = {}, {}, 0
+        yield from flushed(terms_of, docs_of)
+
+    def flushed(terms_of: dict[tuple[str, str], Counter], docs_of: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
+        for (lang, source), group in terms_of.items():
+            size = len(group) + 1
+            # Documents are told once, by the first source that has the term.
+            told = docs_of[lang]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([lang] * size, pa.string()),
+                    pa.array([source] * size, pa.string()),
+                    pa.array([None, *group], pa.binary()).cast(pa.string()),
+                    pa.array([0, *group.values()], pa.int64()),
+                    pa.array([0, *(told.pop(t, 0) for t in group)], pa.int64()),
+                ],
+                ["lang", "source", "term", "n", "docs"],
+            )
 
     rows = docs.select(text_or_empty("lang").alias("lang"), text_or_empty("source").alias("source"), text_or_empty("text").alias("text"))
-    return (
-        rows.mapInArrow(run, "lang string, source string, term string, n long, docs long")
-        .groupBy("lang", "source", "term")
-        .agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    )
+    return rows.mapInArrow(run, "lang string, source string, term string, n long, docs long")
 
 
 def share(count: Column, total: Column, kept: Column) -> Column:
@@ -213,22 +213,23 @@ def _interactions(rows: DataFrame) -> DataFrame:
 
 def audited(docs: DataFrame, least: int = LEAST, terms: int = TERMS) -> DataFrame:
     """``lang``, ``source``, ``part``, ``item``, ``value`` and ``rank`` of all pairs, and of each source's ``terms`` first terms."""
-    counts = written(counted(docs), "divergence-counts")
-    kept = written(
-        counts.where("term IS NOT NULL")
-        .groupBy("lang", "term")
+    # One shuffle, by term: a source's counts and a term's row are added up where it brings them. Tasks have
+    # combined their rows already, so what a common term has is a row for each task and source.
+    by_source = counted(docs).repartition("lang", "term").groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    known = written(
+        by_source.groupBy("lang", "term")
         .agg(F.sum("docs").alias("docs"), F.sum("n").alias("total"), F.collect_list(F.struct("source", "n")).alias("row"))
-        .where(F.col("docs") >= least)
+        .where((F.col("docs") >= least) | F.col("term").isNull())
         .drop("docs"),
         "divergence-terms",
     )
+    kept = known.where("term IS NOT NULL")
     # A row for each language, and for each group: small tables, joined by AQE as their size asks.
     of_lang = kept.groupBy("lang").agg(F.count("*").alias("kept"), F.sum("total").alias("lang_total"))
     of_group = kept.select("lang", F.inline("row")).groupBy("lang", "source").agg(F.sum("n").alias("own"))
     zero = F.lit(0).cast("long")
     groups = written(
-        counts.where("term IS NULL")
-        .select("lang", "source")
+        known.where("term IS NULL").select("lang", F.inline("row")).select("lang", "source")
         .join(of_group, ["lang", "source"], "left")
         .join(of_lang, "lang", "left")
         .select(
