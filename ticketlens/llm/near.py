@@ -63,8 +63,8 @@ SMALL, SAMPLES = 1024, 64
 OTHERS = 512
 #: Documents without an id are numbered from here on: beyond all ids.
 _NO_ID = 1 << 62
-#: Rows of nodes that a task compares, about.
-EACH = 2048
+#: Rows of nodes that a task compares by sketches, and by full sets, about.
+EACH, EACH_FULL = 2048, 512
 #: Pairs of a node from which on intersections are worked out for all at once.
 MANY = 100
 
@@ -152,11 +152,11 @@ def _signed(docs: DataFrame, by: Measure = Measure()) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, n_shingles long, key binary, roots array<long>, sketch binary")
 
 
-def _together(rows: DataFrame, number: int, work, schema: str) -> DataFrame:
+def _together(rows: DataFrame, number: int, each: int, work, schema: str) -> DataFrame:
     """``work`` on Arrow tables that hold whole groups of (node, part), several at once.
 
     Groups are bounded, so a task holds a batch and what is left of the last one. Of about ``number``
-    rows in all, a task gets some ``EACH``: more tasks than that would be idle ones.
+    rows in all, a task gets some ``each``: more tasks than that would be idle ones.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,7 +171,7 @@ def _together(rows: DataFrame, number: int, work, schema: str) -> DataFrame:
         if rest is not None and len(rest):
             yield work(rest, _edges(rest))
 
-    return sized(rows.repartition("node", "part"), number, EACH).sortWithinPartitions("node", "part").mapInArrow(run, schema)
+    return sized(rows.repartition("node", "part"), number, each).sortWithinPartitions("node", "part").mapInArrow(run, schema)
 
 
 def _edges(rows: pa.Table) -> np.ndarray:
@@ -227,7 +227,7 @@ def _involved(rows: DataFrame, number: int, by: Measure) -> DataFrame:
         found = table.filter(pa.array(keep)).combine_chunks()
         return pa.RecordBatch.from_arrays([c.combine_chunks() if c.num_chunks != 1 else c.chunk(0) for c in found.columns], found.column_names)
 
-    return _together(rows, number, work, "node long, part int, cid long, key binary, root long, n long, sketch binary")
+    return _together(rows, number, EACH, work, "node long, part int, cid long, key binary, root long, n long, sketch binary")
 
 
 def _confirmed(rows: DataFrame, number: int, by: Measure) -> DataFrame:
@@ -267,7 +267,7 @@ def _confirmed(rows: DataFrame, number: int, by: Measure) -> DataFrame:
                     vs.append(cid[a + y])
         return pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], ["u", "v"])
 
-    return _together(rows, number, work, "u long, v long")
+    return _together(rows, number, EACH_FULL, work, "u long, v long")
 
 
 def _sets(docs: DataFrame, ids: DataFrame, by: Measure) -> DataFrame:

@@ -71,8 +71,8 @@ TOGETHER = 500
 #: A spaced-out word has so many different letters at least, each alone.
 SINGLES = 3
 SPACED, SPACED_STEP = 8, 2
-#: Words of which a worker remembers margins.
-REMEMBERED = 500_000
+#: Words of which a worker remembers margins, and pieces of words whose triples it works out at once.
+REMEMBERED, PIECES_AT_ONCE = 250_000, 6_000
 THRESHOLD = 0.3
 LEAST = -3.0
 #: How a margin counts as evidence: the middle and the steepness of its logistic curve.
@@ -170,8 +170,8 @@ def _by_length(pieces: list[str]) -> Iterator[np.ndarray]:
     sizes = np.array([len(p) for p in pieces])
     for low, high in ((0, 6), (6, 9), (9, 13), (13, PIECE)):
         at = np.flatnonzero((sizes > low) & (sizes <= high) if low else sizes <= high)
-        for i in range(0, len(at), 50_000):
-            yield at[i : i + 50_000]
+        for i in range(0, len(at), PIECES_AT_ONCE):
+            yield at[i : i + PIECES_AT_ONCE]
 
 
 @dataclass(frozen=True)
