@@ -100,9 +100,11 @@ def hist(source: Source, col: str, nbins: int = 12, ranges: Mapping[int, tuple[i
     ``ranges`` are the years' least and largest values where they are known, as from
     file footers; without them they are taken from the counts.
     """
-    per_value = counts(source, [Y, col], n=None).where(F.col(col).isNotNull())
     if ranges is not None:
-        return binned(per_value, col, "n", ranges, nbins)
+        # A row, or a count of the cube, goes straight to its bin.
+        rows = source.cuboid([Y, col]) if isinstance(source, Cube) else source.withColumn("n", F.lit(1).cast("bigint"))
+        return binned(rows.select(Y, col, "n"), col, "n", ranges, nbins)
+    per_value = counts(source, [Y, col], n=None).where(F.col(col).isNotNull())
     return histogram(per_value, col, nbins=nbins, by=Y, weight="n")
 
 

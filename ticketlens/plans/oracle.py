@@ -215,6 +215,13 @@ GROUP BY file_year, issuer_precinct
 SELECT file_year, violation_code, issuer_precinct, {told} FROM clean
 WHERE (violation_code = 7 OR violation_code = 13 OR violation_code = 25) AND (issuer_precinct = 0 OR issuer_precinct = 8 OR issuer_precinct = 19)
 GROUP BY file_year, violation_code, issuer_precinct
+"""
+    )
+    q["csv_top_codes"] = _top_k("violation_code", 3)
+    q["csv_unique_states"] = _with(
+        """
+SELECT file_year, count(DISTINCT registration_state) AS n_states FROM clean
+WHERE registration_state <> '99' GROUP BY file_year
 """
     )
     q["issue_years"] = _with(

@@ -31,7 +31,7 @@ from ..sources.fixture import (
     stored_states,
     stored_tickets,
 )
-from ..sources.roundtrip import csv_broken_records, csv_inferred_types, csv_ingest
+from ..sources.roundtrip import csv_broken_records, csv_inferred_types, csv_ingest, csv_top_codes, csv_unique_states
 from . import analyses as A
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,6 +99,8 @@ def queries() -> dict[str, Query]:
         "csv_ingest": csv_ingest,
         "csv_broken_records": csv_broken_records,
         "csv_inferred_types": csv_inferred_types,
+        "csv_top_codes": csv_top_codes,
+        "csv_unique_states": csv_unique_states,
         "issue_years": _on_tickets(issue_years),
         "clean_counts": _on_cube(A.clean_counts),
         "null_profile": _on_clean(null_profile),

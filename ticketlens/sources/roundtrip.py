@@ -16,7 +16,11 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.agg import top_k_per
+from ..operators.cube import Cube, counts
+from ..operators.distinct import distinct_counts
 from ..schema import EXTRA_COLUMNS, USED_COLUMNS, YEAR_COL, build_name
+from .derived import follow
 from .fixture import fixture_years, stored_tickets
 from .store import own_folder, persisted
 from .yearly import broken_records, store_years
@@ -129,6 +133,30 @@ def _stored(spark: SparkSession, sf_dir: str, **how) -> tuple[DataFrame, str]:
     return rows, target
 
 
+def _followed(spark: SparkSession, sf_dir: str) -> tuple[Cube, str]:
+    """The cube and the states' bitmaps of the stored files, counted after each of the two steps."""
+    paths = _yearly_files(spark, sf_dir)
+    target, path = (own_folder(spark, f"followed-{what}:{sf_dir}") for what in ("table", "cube"))
+    with _LOCKS[target]:
+        if target not in _WRITTEN:
+            store_years(spark, dict(sorted(paths.items())[:-1]) or paths, target)
+            follow(spark, target, path, broken="quarantine")
+            _WRITTEN.add(target)
+        store_years(spark, paths, target)
+        return follow(spark, target, path, broken="quarantine")
+
+
+def csv_top_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 3 most frequent codes per year, from the cube that followed the files: ``file_year, violation_code, n, rk``."""
+    per_code = counts(_followed(spark, sf_dir)[0], [YEAR_COL, "violation_code"], n="violation_code")
+    return top_k_per(per_code, YEAR_COL, "n", 3, "violation_code").orderBy(YEAR_COL, "rk")
+
+
+def csv_unique_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct states per year, from the bitmaps that followed the files: ``file_year, n_states``."""
+    return distinct_counts(spark, _followed(spark, sf_dir)[1], "n_states").orderBy(YEAR_COL)
+
+
 def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per year of the stored files: rows, NULLs and sums of typed columns, broken records left out."""
     rows, _ = _stored(spark, sf_dir)

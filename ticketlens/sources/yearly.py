@@ -38,6 +38,7 @@ from collections import defaultdict
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, replace
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -51,7 +52,8 @@ from .layout import indexed, ordered
 from .store import IN_YEAR_COL, MAX_RECORDS_PER_FILE, own_folder
 from .types import stated
 
-IS_BROKEN_COL = "is_broken"
+#: The folder level that parts broken records from the rest.
+BROKEN = "is_broken"
 ENTRY_SCHEMA = (
     "file_year int, load string, fingerprint string, inferred string, columns string, data_files long, data_bytes long, "
     "rows long, broken long, unreadable string"
@@ -102,10 +104,14 @@ def listed(spark: SparkSession, paths: Sequence[str], content: bool = False) ->
     return files.join(lines, files["path"] == F.col("file"), "left").drop("file")
 
 
-def _fingerprint(files: DataFrame, how: str, content: bool) -> str:
+def _fingerprints(spark: SparkSession, paths: Mapping[int, Sequence[str]], how: str, content: bool) -> dict[int, str]:
+    """A digest of each year's source files and of the way they are read, by one job over all years' listings."""
     mark = F.coalesce("lines", F.lit("empty")) if content else F.date_format("modified", "yyyy-MM-dd'T'HH:mm:ss.SSSXXX")
+    files = [listed(spark, p, content).withColumn("year", F.lit(year)) for year, p in paths.items()]
     rows = F.array_sort(F.collect_list(F.concat_ws("|", "path", F.col("length").cast("string"), mark)))
-    return files.agg(F.sha2(F.concat_ws("\n", F.lit(how), rows), 256)).first()[0]
+    digest = F.sha2(F.concat_ws("\n", F.lit(how), rows), 256)
+    found = reduce(DataFrame.unionByName, files).groupBy("year").agg(digest.alias("digest")).collect() if files else []
+    return {r["year"]: r["digest"] for r in found}
 
 
 def _versions(spark: SparkSession, target: str) -> DataFrame | None:
@@ -135,20 +141,27 @@ def _commit(spark: SparkSession, target: str, number: int, entries: Mapping[int,
         raise RuntimeError(f"two writers committed version {number} of {target}")
 
 
-def _on_disk(spark: SparkSession, folder: str) -> tuple[int, int]:
-    """Number and bytes of a load's data files."""
-    try:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-        row = files.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes")).first()
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e):
-            return 0, -1
-        raise
-    return row["n"], row["bytes"]
+def _on_disk(spark: SparkSession, folders: Mapping[int, str]) -> dict[int, tuple[int, int]]:
+    """Number and bytes of the data files of each year's load, by one job; a missing folder has none."""
+
+    def listing(year: int, folder: str) -> DataFrame | None:
+        try:
+            files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+        except AnalysisException as e:
+            if "PATH_NOT_FOUND" in str(e):
+                return None
+            raise
+        return files.select(F.lit(year).alias("year"), "length")
 
+    found = [x for x in (listing(y, f) for y, f in folders.items()) if x is not None]
+    rows = reduce(DataFrame.unionByName, found).groupBy("year").agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("bytes")).collect() if found else []
+    return {y: (0, 0) for y in folders} | {r["year"]: (r["n"], r["bytes"]) for r in rows}
 
-def _whole(spark: SparkSession, target: str, entry: Entry) -> bool:
-    return _on_disk(spark, entry.folder(target)) == (entry.data_files, entry.data_bytes)
+
+def _whole(spark: SparkSession, target: str, entries: Mapping[int, Entry]) -> set[int]:
+    """The years whose data files are those that were written."""
+    disk = _on_disk(spark, {y: e.folder(target) for y, e in entries.items()})
+    return {y for y, e in entries.items() if disk[y] == (e.data_files, e.data_bytes)}
 
 
 def _load(spark: SparkSession, target: str, year: int, parts: Sequence[Part], types: Mapping, columns: str, files: DataFrame) -> Entry:
@@ -158,12 +171,12 @@ def _load(spark: SparkSession, target: str, year: int, parts: Sequence[Part], ty
     rows = year_of(spark, parts, year, columns, types, broken=True, watched=watched)
     entry = Entry(year, load, "", "", rows.drop(YEAR_COL).schema.json(), 0, 0, 0, 0, "")
     folder = entry.folder(target)
-    flagged = rows.withColumns({IN_YEAR_COL: issued_in_file_year(), IS_BROKEN_COL: F.col(BROKEN_COL).isNotNull()})
+    flagged = rows.withColumns({IN_YEAR_COL: issued_in_file_year(), BROKEN: F.col(BROKEN_COL).isNotNull()})
     (
-        indexed(ordered(flagged.drop(YEAR_COL), [IS_BROKEN_COL, IN_YEAR_COL]).write)
+        indexed(ordered(flagged.drop(YEAR_COL), [BROKEN, IN_YEAR_COL]).write)
         .mode("errorifexists")
         .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-        .partitionBy(IS_BROKEN_COL, IN_YEAR_COL)
+        .partitionBy(BROKEN, IN_YEAR_COL)
         .parquet(folder)
     )
     files.write.mode("errorifexists").parquet(f"{target}/sources/load={load}/{YEAR_COL}={year}")
@@ -171,14 +184,14 @@ def _load(spark: SparkSession, target: str, year: int, parts: Sequence[Part], ty
     for o in watched:
         for name, n in o.get.items():
             counts[name] += n
-    n, size = _on_disk(spark, folder)
+    n, size = _on_disk(spark, {year: folder})[year]
     return replace(
         entry, data_files=n, data_bytes=size, rows=counts.pop("rows", 0), broken=counts.pop("broken", 0),
         unreadable=json.dumps({c: k for c, k in sorted(counts.items()) if k}),
     )
 
 
-def _at_once(work: Callable, years: Iterable[int]) -> dict:
+def at_once(work: Callable, years: Iterable[int]) -> dict:
     """``work`` on several years at a time: each is a job or more of its own."""
     years = sorted(years)
     if not years:
@@ -216,13 +229,11 @@ def store_years(
         number, entries = _latest(spark, target)
         given = {year: [path] if isinstance(path, str) else list(path) for year, path in sorted(paths.items())}
 
-        def changed(year: int) -> str | None:
-            """The fingerprint of a year that is to be loaded; None for one that is there."""
-            mark = _fingerprint(listed(spark, given[year], content), f"{columns}|{infer_schema}|{content}", content)
-            old = entries.get(year)
-            return None if old is not None and old.fingerprint == mark and _whole(spark, target, old) else mark
-
-        new = {year: mark for year, mark in _at_once(changed, given).items() if mark is not None}
+        marks = _fingerprints(spark, given, f"{columns}|{infer_schema}|{content}", content)
+        same = {y: entries[y] for y in given if y in entries and entries[y].fingerprint == marks.get(y)}
+        whole = _whole(spark, target, same)
+        # A year without any file has no fingerprint; it is loaded each time.
+        new = {year: marks.get(year, "") for year in given if year not in whole}
         parts = {year: parts_of(spark, given[year]) for year in new}
         infers = infer_schema and columns == "all"
         found = {year: _inferred_of(entries[year]) for year in given if year not in new}
@@ -238,7 +249,7 @@ def store_years(
             return replace(entry, fingerprint=new[year], inferred=told)
 
         if new:
-            entries |= _at_once(load, new)
+            entries |= at_once(load, new)
             _commit(spark, target, number + 1, entries)
         return _views(spark, target, [entries[y] for y in sorted(paths)], broken)
 
@@ -249,19 +260,23 @@ def _fits(entry: Entry, found: Mapping[str, T.DataType | None], types: Mapping[s
     return all(fields[build_name(c)] == (types[c] or T.StringType()) for c in found)
 
 
+def entries_of(spark: SparkSession, target: str) -> dict[int, Entry]:
+    """The years of a table's last version."""
+    return dict(sorted(_latest(spark, target.rstrip("/"))[1].items()))
+
+
 def open_years(spark: SparkSession, target: str, broken: str = "keep") -> tuple[DataFrame, DataFrame]:
     """``(all rows, clean rows)`` of all years of a table, without its source files."""
     target = target.rstrip("/")
     _, entries = _latest(spark, target)
     if not entries:
         raise DamagedTable(f"no committed table at {target}")
-    for e in entries.values():
-        if not _whole(spark, target, e):
-            raise DamagedTable(f"{target}: data files of {e.file_year} are missing or cut; store the year again")
+    if damaged := sorted(set(entries) - _whole(spark, target, entries)):
+        raise DamagedTable(f"{target}: data files of {damaged} are missing or cut; store these years again")
     return _views(spark, target, [e for _, e in sorted(entries.items())], broken)
 
 
-def _scan(spark: SparkSession, target: str, entries: Sequence[Entry]) -> DataFrame:
+def scan_of(spark: SparkSession, target: str, entries: Sequence[Entry]) -> DataFrame:
     """Rows of several loads: one scan for all that were written with the same columns."""
     by_columns: dict[str, list[Entry]] = {}
     for e in entries:
@@ -269,7 +284,7 @@ def _scan(spark: SparkSession, target: str, entries: Sequence[Entry]) -> DataFra
     folders = T.StructType(
         [
             T.StructField(YEAR_COL, T.IntegerType()),
-            T.StructField(IS_BROKEN_COL, T.BooleanType()),
+            T.StructField(BROKEN, T.BooleanType()),
             T.StructField(IN_YEAR_COL, T.BooleanType()),
             T.StructField("load", T.StringType()),
         ]
@@ -287,10 +302,10 @@ def _views(spark: SparkSession, target: str, entries: Sequence[Entry], broken: s
         raise ValueError(f"broken must be 'keep' or 'quarantine', not {broken!r}")
     if not entries:
         raise ValueError("no years to store")
-    rows = _scan(spark, target, entries)
+    rows = scan_of(spark, target, entries)
     if broken == "quarantine":
-        rows = rows.where(~F.col(IS_BROKEN_COL))
-    names = [c for c in rows.columns if c not in (BROKEN_COL, SOURCE_COL, IS_BROKEN_COL, IN_YEAR_COL)]
+        rows = rows.where(~F.col(BROKEN))
+    names = [c for c in rows.columns if c not in (BROKEN_COL, SOURCE_COL, BROKEN, IN_YEAR_COL)]
     names = list(TICKET_COLUMNS) if set(names) == set(TICKET_COLUMNS) else [*(c for c in names if c != YEAR_COL), YEAR_COL]
     return rows.select(*names), rows.where(F.col(IN_YEAR_COL)).select(*names)
 
@@ -298,7 +313,7 @@ def _views(spark: SparkSession, target: str, entries: Sequence[Entry], broken: s
 def broken_records(spark: SparkSession, target: str) -> DataFrame:
     """The quarantine: ``file_year``, ``source_file``, ``reason`` and ``record`` (the line as it stands) of all years."""
     target = target.rstrip("/")
-    rows = _scan(spark, target, list(_latest(spark, target)[1].values())).where(F.col(IS_BROKEN_COL))
+    rows = scan_of(spark, target, list(_latest(spark, target)[1].values())).where(F.col(BROKEN))
     return rows.select(YEAR_COL, F.col(SOURCE_COL).alias("source_file"), F.col(f"{BROKEN_COL}.reason"), F.col(f"{BROKEN_COL}.record"))
 
 
