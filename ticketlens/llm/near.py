@@ -17,7 +17,7 @@ agree in so few as linked ones do once in a million times; the others, the likel
 are confirmed on full sets. As links are wanted for their components, pairs that are
 connected already are passed over: a node whose classes are all connected is done, and so a
 group of copies is done by about as many comparisons as it has members. The first tree's first tokens
-are worked on alone for this reason; what they connect need not meet again.
+are worked on alone for this reason; what they connect need not meet again. The others follow, ``ROOTS_AT_ONCE`` at a time.
 
 A large node of which one component has all but ``OTHERS`` classes is done, too: its parts
 are compared each with all of the others. Any other large node is compared in parts of ``SMALL`` classes, each with the same ``SAMPLES`` classes of
@@ -63,6 +63,8 @@ SMALL, SAMPLES = 1024, 64
 OTHERS = 512
 #: Documents without an id are numbered from here on: beyond all ids.
 _NO_ID = 1 << 62
+#: Root tokens worked on together, after the first ones: what some connect need not meet again at others.
+ROOTS_AT_ONCE = 10
 #: Rows of nodes that a task compares by sketches, and by full sets, about.
 EACH, EACH_FULL = 2048, 512
 #: Pairs of a node from which on intersections are worked out for all at once.
@@ -334,10 +336,11 @@ def linked_roots(classes: DataFrame, docs: DataFrame, by: Measure = Measure()) -
     sets: list[DataFrame] = []
     linked = 0
     carried = ["cid", "key", "n", "sketch"]
-    for turn in (F.col("pos") < BRANCHES, F.col("pos") >= BRANCHES):
+    edges = [0, *range(BRANCHES, by.first, ROOTS_AT_ONCE), by.first]
+    for low, high in zip(edges[:-1], edges[1:], strict=True):
         rows = (
             classes.select(*carried, F.posexplode("roots"))
-            .where(turn)
+            .where(F.col("pos").between(low, high - 1))
             .select(F.xxhash64("pos", "col").alias("node"), *carried)
         )
         while True:

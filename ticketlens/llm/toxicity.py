@@ -72,7 +72,7 @@ TOGETHER = 500
 SINGLES = 3
 SPACED, SPACED_STEP = 8, 2
 #: Words of which a worker remembers margins, and pieces of words whose triples it works out at once.
-REMEMBERED, PIECES_AT_ONCE = 250_000, 6_000
+REMEMBERED, PIECES_AT_ONCE = 400_000, 10_000
 THRESHOLD = 0.3
 LEAST = -3.0
 #: How a margin counts as evidence: the middle and the steepness of its logistic curve.
@@ -90,9 +90,9 @@ for _c in range(0x250):
 _SINGLE = re.compile(r"(?<![^\W\d_])[^\W\d_](?:[^\w\n]+[^\W\d_](?![^\W\d_])){2,}")
 
 
-def words_of(text: str) -> set[str]:
+def words_of(text: str, tokens: list[str] | None = None) -> set[str]:
     """The distinct words of a text in lower case, and its runs of single letters as words."""
-    words = set(text.split())
+    words = set(text.split() if tokens is None else tokens)
     if sum(len(w) == 1 for w in words) >= SINGLES:
         for run in _SINGLE.findall(text):
             word = "".join(c for c in run if c.isalpha())
@@ -260,11 +260,15 @@ class Model:
         return out
 
     def passage_margins(self, words: list[str]) -> np.ndarray:
-        """The margin of each passage of a text's words, whose own margins are known."""
-        m = np.fromiter(map(self.known.__getitem__, words), float, len(words)) - self.bias
-        sums = np.concatenate([[0.0], np.cumsum(m)])
-        a, b = np.array(passages_of(len(words)) or [(0, 0)]).T
-        return (sums[b] - sums[a]) / np.sqrt(np.maximum(1, b - a)) + self.passage_bias
+        """The margin of each passage of a text's words, whose own margins are known; of no words the bias."""
+        n = len(words)
+        sums = np.zeros(n + 1)
+        np.cumsum(np.fromiter(map(self.known.__getitem__, words), float, n), out=sums[1:])
+        if n <= PASSAGE:
+            return np.array([(sums[n] - n * self.bias) / math.sqrt(max(1, n)) + self.passage_bias])
+        # Where passages_of begins them.
+        begin = np.append(np.arange(0, n - PASSAGE, PASSAGE_STEP), n - PASSAGE)
+        return (sums[begin + PASSAGE] - sums[begin] - PASSAGE * self.bias) / math.sqrt(PASSAGE) + self.passage_bias
 
     def learn(self, words: Iterable[str]) -> None:
         """Remember the margins of words."""
@@ -282,12 +286,13 @@ class Model:
         out = []
         for at in range(0, len(texts), TOGETHER):
             some = [(t or "").lower() for t in texts[at : at + TOGETHER]]
-            words = [words_of(t) for t in some]
+            tokens = [t.split() for t in some]
+            words = [words_of(t, x) for t, x in zip(some, tokens, strict=True)]
             self.learn(set().union(*words))
-            for text, own in zip(some, words, strict=True):
+            for text, all_of, own in zip(some, tokens, words, strict=True):
                 best = heapq.nlargest(3, zip(map(self.known.__getitem__, own), own, strict=True))
                 top = [m for m, w in best for _ in range(max(1, min(3, text.count(w))) if m > 0 else 1)]
-                passage = float(self.passage_margins(text.split()).max())
+                passage = float(self.passage_margins(all_of).max())
                 out.append((sum(map(_squashed, top[:3])), _squashed(max(LEAST, min(-LEAST, passage)))))
         return out
 
