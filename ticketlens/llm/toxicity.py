@@ -72,7 +72,7 @@ TOGETHER = 500
 SINGLES = 3
 SPACED, SPACED_STEP = 8, 2
 #: Words of which a worker remembers margins, and pieces of words whose triples it works out at once.
-REMEMBERED, PIECES_AT_ONCE = 400_000, 10_000
+REMEMBERED, PIECES_AT_ONCE = 300_000, 10_000
 THRESHOLD = 0.3
 LEAST = -3.0
 #: How a margin counts as evidence: the middle and the steepness of its logistic curve.
@@ -385,8 +385,11 @@ def _passages(picked: DataFrame, suspect: set[str], model: Model | None) -> list
             yield pa.RecordBatch.from_arrays(
                 [pa.array(words, pa.list_(pa.string())), pa.array(labels, pa.int32()), pa.array(margins, pa.float64())], ["words", "toxic", "margin"]
             )
+        if model is not None:
+            model.known = {}  # a round's model is not asked again
 
     found = written(picked.mapInArrow(run, "words array<string>, toxic int, margin double"), "toxicity-passages").distinct()
+    shared.destroy()
     out = []
     for toxic, most in ((1, PASSAGES), (0, CLEAN_PASSAGES // (ROUNDS + 1))):
         rows = found.where(F.col("toxic") == toxic).orderBy(F.desc("margin"), F.xxhash64("words")).limit(most).collect()
@@ -527,6 +530,7 @@ def fitted(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE) -> Model:
         for batch in batches:
             got = model.evidence(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([pa.array(got, pa.list_(pa.float64())), batch.column("toxic")], ["evidence", "toxic"])
+        model.known = {}
 
     seen = picked.mapInArrow(rate_documents, "evidence array<double>, toxic int").collect()
     model.curve = _curve(np.array([r["evidence"] for r in seen]), np.array([r["toxic"] for r in seen], float))
