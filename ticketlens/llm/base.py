@@ -17,8 +17,16 @@ from ..sources.store import ensure_shared_dir
 SPACE_BYTES = b"\x20\x09\x0a\x0b\x0c\x0d"
 
 
+#: Rows and bytes of an Arrow batch of texts, unless the session has settings of its own: texts are long, and a
+#: task's memory is that of a few batches on either side.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "2000"), "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "8m")}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan of one table of a data folder (any path Spark's readers open)."""
+    for key, (usual, own) in BATCHES.items():
+        if spark.conf.get(key, usual) == usual:
+            spark.conf.set(key, own)
     # Python workers import this library from where the driver has it, unless it is installed.
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
