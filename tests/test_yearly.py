@@ -285,3 +285,17 @@ def test_storage_is_released_after_errors(spark, monkeypatch, tmp_path):
     with pytest.raises(Exception):
         roundtrip.write_yearly_csv(df, [2015], f"{tmp_path}/fine")  # the folders are there
     assert kept() == before
+
+
+def test_sums_beyond_a_bigint(spark):
+    """Millions of long summons numbers in a year add up to more than a bigint holds; small sums stay one."""
+    from helpers import ticket, tickets_df
+    from ticketlens.plans import analyses as A
+    from ticketlens.sources import roundtrip
+
+    many = [ticket(summons_number=n, file_year=y) for n, y in ((2**62, 2015), (2**62, 2015), (5, 2015), (7, 2016), (None, 2017))]
+    for rows, kind, want in ((many, "decimal(38,0)", {2015: 2**63 + 5, 2016: 7, 2017: None}), (many[2:], "bigint", {2015: 5, 2016: 7, 2017: None})):
+        df = tickets_df(spark, rows)
+        for got in (roundtrip.profiled(df), A.code_lookup(df, [21], [19])):
+            assert dict(got.dtypes)["sum_summons"] == kind
+            assert {r["file_year"]: r["sum_summons"] for r in got.collect()} == want

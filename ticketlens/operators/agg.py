@@ -44,6 +44,20 @@ def counts_by(
     return df.groupBy(*_cols(keys)).agg(F.count(target).alias(name))
 
 
+def exact_sum(column: str) -> Column:
+    """Sum of whole numbers in decimals: numbers of thirteen digits exceed a bigint in some millions of rows."""
+    return F.sum(F.col(column).cast("decimal(20,0)")).cast("decimal(38,0)")
+
+
+def fitted(rows: DataFrame, column: str) -> DataFrame:
+    """``rows`` with an ``exact_sum`` as bigint, or, if one of them is beyond that, as the decimal that it is.
+
+    Asks for the sums, so ``rows`` is worked out once more.
+    """
+    fits = F.col(column).try_cast("bigint").isNotNull() | F.col(column).isNull()
+    return rows.withColumn(column, F.col(column).cast("bigint")) if rows.where(~fits).isEmpty() else rows
+
+
 def top_k_per(
     counts: DataFrame,
     group: str | Sequence[str],

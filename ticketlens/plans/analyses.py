@@ -23,7 +23,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.agg import binned, counts_by, histogram, ranked_within, top_k_per, within_top_groups
+from ..operators.agg import binned, counts_by, exact_sum, fitted, histogram, ranked_within, top_k_per, within_top_groups
 from ..operators.clean import issued_in_file_year, without_state
 from ..operators.cube import Cube, counts
 from ..operators.joins import attach_fines, fine_table, semi_join_keys
@@ -157,7 +157,7 @@ def code_overlap(source: Source, n_precincts: int = 3, k: int = 10) -> DataFrame
 def _told(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum("summons_number").cast("bigint").alias("sum_summons"),
+        exact_sum("summons_number").alias("sum_summons"),
         F.count_if(F.col("house_number").isNull() | F.col("street_name").isNull()).alias("n_missing_address"),
         F.count_if(F.col("violation_time").isNull()).alias("n_missing_time"),
     )
@@ -174,7 +174,7 @@ def peak_year_precincts(clean: DataFrame, source: Source, n_precincts: int = 3)
     per_precinct = counts(source, [Y, "issuer_precinct"], n="issuer_precinct").where("issuer_precinct IS NOT NULL")
     keys = top_k_per(per_precinct, Y, "n", n_precincts, "issuer_precinct").join(peak, Y, "left_semi")
     picked = semi_join_keys(clean, keys, [Y, "issuer_precinct"])
-    return _told(picked, Y, "issuer_precinct").orderBy(Y, F.desc("n"), "issuer_precinct")
+    return fitted(_told(picked, Y, "issuer_precinct"), "sum_summons").orderBy(Y, F.desc("n"), "issuer_precinct")
 
 
 def code_lookup(clean: DataFrame, codes: Sequence[int], precincts: Sequence[int]) -> DataFrame:
@@ -184,7 +184,7 @@ def code_lookup(clean: DataFrame, codes: Sequence[int], precincts: Sequence[int]
     Both lists reach the scan; in files ordered by code and precinct it passes over what can't have them.
     """
     picked = clean.where(F.col("violation_code").isin(*codes) & F.col("issuer_precinct").isin(*precincts))
-    return _told(picked, Y, "violation_code", "issuer_precinct").orderBy(Y, "violation_code", "issuer_precinct")
+    return fitted(_told(picked, Y, "violation_code", "issuer_precinct"), "sum_summons").orderBy(Y, "violation_code", "issuer_precinct")
 
 
 # --- time of day ------------------------------------------------------------------

@@ -16,13 +16,13 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.agg import top_k_per
+from ..operators.agg import exact_sum, fitted, top_k_per
 from ..operators.cube import Cube, counts
 from ..operators.distinct import distinct_counts
 from ..schema import EXTRA_COLUMNS, USED_COLUMNS, YEAR_COL, build_name
 from .derived import follow
 from .fixture import fixture_years, stored_tickets
-from .store import own_folder, persisted
+from .store import own_folder, persisted, spooled
 from .yearly import broken_records, store_years
 
 #: Carried columns whose parts hold different kinds of values, with the type that holds both.
@@ -158,22 +158,29 @@ def csv_unique_states(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per year of the stored files: rows, NULLs and sums of typed columns, broken records left out."""
-    rows, _ = _stored(spark, sf_dir)
-    return (
+    """Per year of the stored files: rows, NULLs and sums of typed columns, broken records left out.
+
+    ``sum_summons`` is a bigint; if a year's sum is beyond it, a decimal.
+    """
+    return profiled(_stored(spark, sf_dir)[0])
+
+
+def profiled(rows: DataFrame) -> DataFrame:
+    """What ``csv_ingest`` tells of a citation table; its row a year is written before the sums are looked at."""
+    per_year = (
         rows.groupBy(YEAR_COL)
         .agg(
             F.count(F.lit(1)).alias("n"),
             *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in ("summons_number", "registration_state", "issue_date", "violation_time", "house_number", "street_name")],
-            F.sum("summons_number").alias("sum_summons"),
+            exact_sum("summons_number").alias("sum_summons"),
             F.sum("violation_code").alias("sum_code"),
             F.sum("violation_precinct").alias("sum_precinct"),
             F.sum("issuer_precinct").alias("sum_issuer"),
             F.count_distinct("vehicle_make").alias("n_makes"),
             F.count_distinct("vehicle_body_type").alias("n_body_types"),
         )
-        .orderBy(YEAR_COL)
     )
+    return fitted(spooled(per_year, "profile"), "sum_summons").orderBy(YEAR_COL)
 
 
 def csv_broken_records(spark: SparkSession, sf_dir: str) -> DataFrame:
