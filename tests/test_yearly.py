@@ -299,3 +299,16 @@ def test_sums_beyond_a_bigint(spark):
         for got in (roundtrip.profiled(df), A.code_lookup(df, [21], [19])):
             assert dict(got.dtypes)["sum_summons"] == kind
             assert {r["file_year"]: r["sum_summons"] for r in got.collect()} == want
+
+
+def test_a_year_is_written_by_several_tasks(spark, tmp_path):
+    """No task gathers a year for the CSV files: each writes the rows that it reads."""
+    from helpers import ticket, tickets_df
+    from ticketlens.sources import roundtrip
+
+    df = tickets_df(spark, [ticket(summons_number=n, file_year=2015 + n % 2, street_name="A" * (1 + n % 4 // 2)) for n in range(400)]).repartition(4)
+    paths = roundtrip.write_yearly_csv(df, [2015, 2016], str(tmp_path))
+    assert [len(paths[y]) for y in (2015, 2016)] == [2, 3]
+    for year, of in paths.items():
+        assert all(len(glob.glob(f"{p}/*.csv")) >= 4 for p in of[:2])
+        assert sorted(r["summons_number"] for r in read_years(spark, {year: of[:2]}).collect()) == [n for n in range(400) if 2015 + n % 2 == year]
