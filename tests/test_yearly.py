@@ -312,3 +312,14 @@ def test_a_year_is_written_by_several_tasks(spark, tmp_path):
     for year, of in paths.items():
         assert all(len(glob.glob(f"{p}/*.csv")) >= 4 for p in of[:2])
         assert sorted(r["summons_number"] for r in read_years(spark, {year: of[:2]}).collect()) == [n for n in range(400) if 2015 + n % 2 == year]
+
+
+def test_years_are_inferred_side_by_side(spark, tmp_path, monkeypatch):
+    """The passes over one year's text don't wait for those over another's."""
+    import threading
+
+    both, own = threading.Barrier(2, timeout=60), Y.inferred
+    monkeypatch.setattr(Y, "inferred", lambda *given: (both.wait(), own(*given))[1])
+    paths = {y: _file(tmp_path / f"{y}.csv", [_row(1, y, **{"Feet From Curb": feet})]) for y, feet in ((2015, "1"), (2016, "2.5"))}
+    rows, _ = Y.store_years(spark, paths, f"{tmp_path}/table", columns="all", infer_schema=True)
+    assert {r["file_year"]: r["feet_from_curb"] for r in rows.collect()} == {2015: 1.0, 2016: 2.5}

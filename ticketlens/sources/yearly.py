@@ -234,10 +234,10 @@ def store_years(
         whole = _whole(spark, target, same)
         # A year without any file has no fingerprint; it is loaded each time.
         new = {year: marks.get(year, "") for year in given if year not in whole}
-        parts = {year: parts_of(spark, given[year]) for year in new}
+        parts = at_once(lambda year: parts_of(spark, given[year]), new)
         infers = infer_schema and columns == "all"
         found = {year: _inferred_of(entries[year]) for year in given if year not in new}
-        found |= {year: inferred(spark, parts[year]) if infers else {} for year in new}
+        found |= at_once(lambda year: inferred(spark, parts[year]) if infers else {}, new)
         types = stated(found.values())
         for year in given:
             if year not in new and not _fits(entries[year], found[year], types):
