@@ -102,3 +102,32 @@ def test_forget_removes_own_files(spark):
     assert os.path.exists(name)
     store.forget(spark)
     assert not os.path.exists(name)
+
+
+def test_joins_move_numbers_and_have_tasks_for_their_lines(spark, sf_dir, monkeypatch):
+    """Text is formed above every exchange; few shuffle partitions don't make a task's lines grow with the table."""
+    from ticketlens.sources import fixture
+
+    rows = tickets(spark, sf_dir)
+    monkeypatch.setattr(fixture, "EACH", 500)
+    dealt = tickets(spark, sf_dir)
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and plan.count(", 12), REPARTITION_BY_NUM") == 2, plan
+    below = plan[plan.index("Exchange"):]
+    assert "violation_time" in plan and not any(c in below for c in ("violation_time", "registration_state", "house_number")), plan
+    assert dealt.exceptAll(rows).count() == 0 and dealt.count() == rows.count()
+
+
+def test_stored_rows_are_formed_after_the_deal(spark):
+    from ticketlens.sources import store
+
+    df = spark.createDataFrame([(2015, 1), (2016, 2), (2015, None)], "file_year int, x int")
+    seen = []
+
+    def formed(rows):
+        seen.append(rows._jdf.queryExecution().analyzed().toString())
+        return rows.select("file_year", (rows["x"] * 2).alias("y"))
+
+    scan = store.stored(spark, "formed-test", lambda: df, formed=formed)
+    assert sorted(map(tuple, scan.collect()), key=repr) == [(2015, 2), (2015, None), (2016, 4)]
+    assert "RebalancePartitions" in seen[0] or "rebalance" in seen[0].lower()

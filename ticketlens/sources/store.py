@@ -119,20 +119,22 @@ def stored(
     build: Callable[[], DataFrame],
     partition_by: Sequence[str] = (YEAR_COL,),
     sort_by: Sequence[str] = (),
+    formed: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> DataFrame:
     """Scan of ``build()``, written by a job of this call unless it was before.
 
     ``name`` must tell apart whatever ``build`` makes of different arguments. ``sort_by``
     orders the rows within files, so a filter on these columns passes over the row groups and
     pages without a match; the order begins with the partition columns, by which a task writes
-    anyway.
+    anyway. ``formed`` makes the table's rows of the built ones, row by row, once these are dealt to their
+    tasks: what it adds crosses no shuffle.
     """
     key = (_app_id(spark), name)
     with _lock_of(key):
         if key not in _STORED:
-            built, path = build(), own_folder(spark, name)
+            path = own_folder(spark, name)
             # A first write that failed leaves files without a handle: they are written over.
-            dealt = built.hint("rebalance", *partition_by)
+            dealt = built = formed(build().hint("rebalance", *partition_by))
             if sort_by:
                 dealt = ordered(dealt, partition_by, sort_by)
             (
@@ -148,9 +150,13 @@ def stored(
         return _STORED[key]
 
 
-def stored_citations(spark: SparkSession, name: str, build: Callable[[], DataFrame]) -> tuple[DataFrame, DataFrame]:
+def stored_citations(
+    spark: SparkSession, name: str, build: Callable[[], DataFrame], formed: Callable[[DataFrame], DataFrame] = lambda rows: rows
+) -> tuple[DataFrame, DataFrame]:
     """Store a citation table once; return ``(all rows, clean rows)``.
 
+    ``build`` may leave all columns but ``file_year`` and ``issue_date`` to ``formed``, which keeps those that it doesn't know.
+
     The table is partitioned by ``file_year`` and by ``in_file_year``, the
     year-filter predicate evaluated once at ingest. The clean view is then a
     partition filter: its scans open only the folders of kept rows.
@@ -166,6 +172,7 @@ def stored_citations(spark: SparkSession, name: str, build: Callable[[], DataFra
                 lambda: build().withColumn(IN_YEAR_COL, issued_in_file_year()),
                 partition_by=(YEAR_COL, IN_YEAR_COL),
                 sort_by=LOOKUP_COLS,
+                formed=formed,
             )
             cols = [c for c in scan.columns if c != IN_YEAR_COL]
             _VIEWS[key] = (scan.select(*cols), scan.where(F.col(IN_YEAR_COL)).select(*cols))
