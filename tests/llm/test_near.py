@@ -73,6 +73,28 @@ def test_large_nodes(make_docs, pool, monkeypatch):
     assert got == brute(rows)
 
 
+def test_classes_are_passed_on_once(spark, make_docs, pool, monkeypatch):
+    """A node's children are worked out once, however many steps read them."""
+    for name, value in (("SMALL", 24), ("SAMPLES", 6), ("OTHERS", 12)):
+        monkeypatch.setattr(N, name, value)
+    made, own, want = spark.sparkContext.accumulator(0), N._children, []
+
+    def children(rows):
+        out = own(rows)
+        want.append(out.count())
+
+        def run(batches):
+            for batch in batches:
+                made.add(len(batch))
+                yield batch
+
+        return out.mapInArrow(run, out.schema)
+
+    monkeypatch.setattr(N, "_children", children)
+    N.groups(make_docs(rows_of(pool)[100:230])).count()
+    assert made.value == sum(want) > 0
+
+
 def test_long_texts_branch(make_docs):
     """Unlinked long texts with a common passage part by their tokens, whose bytes are not all 0."""
     rnd = random.Random(3)

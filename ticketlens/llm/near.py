@@ -379,7 +379,8 @@ def linked_roots(classes: DataFrame, docs: DataFrame, by: Measure = Measure()) -
                     found = written(sized(extended(found, links), linked), "roots")
             if large.isEmpty():
                 break
-            rows = _children(large)
+            # Two readers follow: written, a class is passed on once.
+            rows = written(_children(large), "children")
     return spark.createDataFrame([], "id long, root long") if found is None else found
 
 
